@@ -1 +1,9 @@
 """Telemetry analytics for Spark: plain DataFrame -> DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run in tasks travel with the job, so that executors need
+# no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

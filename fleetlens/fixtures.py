@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators.ordered import numbered
 from fleetlens.session import use_utc
+from fleetlens.sources.files import folder_stream
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +21,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def telemetry(spark: SparkSession, sf_dir: str, sequence: bool = True) -> DataFrame:
     """Telemetry rows. Numbering the events of a device needs a shuffle, so queries that
     do not use ``deviceSequenceNumber`` leave it out."""
-    rows = events(spark, sf_dir)
+    return view(events(spark, sf_dir), sequence)
+
+
+def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as a file stream. A stream cannot number them."""
+    use_utc(spark)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    files = folder_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
+    return view(files, sequence=False)
+
+
+def view(rows: DataFrame, sequence: bool) -> DataFrame:
     if sequence:
         rows = numbered(rows, ["user_id"], ["ts", "event_id"], "_n")
     kind = (

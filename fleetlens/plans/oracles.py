@@ -560,3 +560,26 @@ FROM placed GROUP BY 1""",
 SELECT deviceId, eventId, round(value, 6) AS temperature, type, deviceId AS subject
 FROM telemetry WHERE event_id % 10 <> 0""",
 }
+
+NO_SEQUENCE = EVENT_COLUMNS.replace("deviceSequenceNumber, ", "")
+
+ORACLES |= {
+    "stream_ingest": _with()
+    + """
+SELECT eventId, k, value, type, deviceId, createdAt, enqueuedAt FROM telemetry""",
+    "stream_minute_rates": ORACLES["minute_rate_latency"],
+    "stream_summary": ORACLES["device_type_summary"],
+    "stream_merge": _with(DUPLICATES, TABLES)
+    + f"""
+SELECT {NO_SEQUENCE} FROM target UNION ALL
+SELECT {NO_SEQUENCE} FROM (
+  SELECT *, row_number() OVER (PARTITION BY PartitionId, eventId ORDER BY enqueuedAt) AS r
+  FROM staging) s
+WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM target t
+  WHERE t.PartitionId = s.PartitionId AND t.eventId = s.eventId)""",
+    "stream_pattern_tags": ORACLES["pattern_tags"],
+    "stream_lru_dedup": f"""
+SELECT CASE k WHEN 'view' THEN 'TEMP' WHEN 'click' THEN 'CO2' ELSE upper(k) END AS k,
+       id, event_id
+FROM ({ORACLES["lru_dedup"]})""",
+}

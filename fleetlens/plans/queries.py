@@ -24,6 +24,10 @@ from fleetlens.operators import (
     series,
     windows,
 )
+from fleetlens.operators.ordered import first_rows
+from fleetlens.session import ROCKSDB_PROVIDER
+from fleetlens.streaming import runs, sinks, stateful
+from fleetlens.streaming.windows import minute_rate_stream, summary_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -704,3 +708,84 @@ def patch_flatten(spark, sf_dir):
         F.get_json_object("props", "$.type").alias("type"),
         F.get_json_object("props", "$.deviceId").alias("subject"),
     )
+
+
+# -- streams: drained into a folder, which is then read ------------------------------
+
+
+def _drained(spark, rows: DataFrame, write: sinks.Write, out: str, mode: str = "append"):
+    """Run a stream to its end; what it has written under ``out``."""
+    checkpoint = runs.shared_folder(spark, "checkpoint")
+    writer = runs.pipeline(rows, [], checkpoint, mode).foreachBatch(runs.retried(write))
+    runs.drain(writer, timeout_s=1800, need_rows=True)
+    return sinks.read_batches(spark, out, rows.schema)
+
+
+def _use_state_store(spark) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    out = runs.shared_folder(spark, "ingest")
+    rows = decode.decode_events(envelope(fixtures.stream(spark, sf_dir)))
+    rows = rows.withColumn("k", F.col("complexData")["k"]).drop(
+        "complexData", "deviceSequenceNumber"
+    )
+    return _drained(spark, rows, sinks.append_once(out), out).drop(sinks.BATCH)
+
+
+@query
+def stream_minute_rates(spark, sf_dir):
+    out = runs.shared_folder(spark, "rates")
+    rates = minute_rate_stream(fixtures.stream(spark, sf_dir))
+    written = _drained(spark, rates, sinks.append_once(out), out, "update")
+    newest = first_rows(written, ["stored_minute"], [F.col(sinks.BATCH).desc()])
+    return newest.drop(sinks.BATCH)
+
+
+@query
+def stream_summary(spark, sf_dir):
+    out = runs.shared_folder(spark, "summary")
+    rows = summary_stream(fixtures.stream(spark, sf_dir))
+    written = _drained(spark, rows, sinks.append_once(out), out, "update")
+    newest = first_rows(written, ["deviceId", "type"], [F.col(sinks.BATCH).desc()])
+    return newest.drop(sinks.BATCH)
+
+
+@query
+def stream_merge(spark, sf_dir):
+    out = runs.shared_folder(spark, "merge")
+    target, _ = thirds_and_halves(fixtures.telemetry(spark, sf_dir, False))
+    names = [c for c in EVENT_COLUMNS if c != "deviceSequenceNumber"]
+    write = sinks.merge_append(out)
+    write(target.select(*names), 0)
+    _, staging = thirds_and_halves(fixtures.stream(spark, sf_dir))
+    rows = staging.select(*names)
+    merged = _drained(spark, rows, lambda batch, n: write(batch, n + 1), out)
+    return merged.select(*names)
+
+
+@query
+def stream_pattern_tags(spark, sf_dir):
+    _use_state_store(spark)
+    out = runs.shared_folder(spark, "tags")
+    rows = stateful.tag_stream(
+        fixtures.stream(spark, sf_dir), BAND, silence_ms=None, tie="_event_id"
+    )
+    return _drained(spark, rows, sinks.append_once(out), out).drop(sinks.BATCH)
+
+
+@query
+def stream_lru_dedup(spark, sf_dir):
+    _use_state_store(spark)
+    out = runs.shared_folder(spark, "lru")
+    rows = fixtures.stream(spark, sf_dir).select(
+        F.col("type").alias("k"),
+        F.col("_user_id").alias("id"),
+        "createdAt",
+        F.col("_event_id").alias("event_id"),
+    )
+    kept = stateful.lru_stream(rows, ["k"], "id", ["createdAt", "event_id"], size=20)
+    written = _drained(spark, kept, sinks.append_once(out), out)
+    return written.select("k", "id", "event_id")
