@@ -66,9 +66,10 @@ def view(rows: DataFrame, sequence: bool) -> DataFrame:
 
 def with_duplicates(df: DataFrame) -> DataFrame:
     """One row in a thousand arrives again 30 seconds later."""
-    again = df.where(F.col("_event_id") % 1000 == 0)
-    later = F.timestamp_add("SECOND", F.lit(30), F.col("enqueuedAt"))
-    return df.unionByName(again.withColumn("enqueuedAt", later))
+    once = F.array("enqueuedAt")
+    twice = F.array("enqueuedAt", F.timestamp_add("SECOND", F.lit(30), F.col("enqueuedAt")))
+    arrivals = F.when(F.col("_event_id") % 1000 == 0, twice).otherwise(once)
+    return df.withColumn("enqueuedAt", F.explode(arrivals))
 
 
 def with_gaps(df: DataFrame) -> DataFrame:

@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalars import partition_of
-from fleetlens.operators.ordered import COLD, DEFAULT, RUN, Limits, cut, first_rows
+from fleetlens.operators.ordered import COLD, RUN, Limits, cut, first_rows
+
+# A run is one Arrow table in a Python worker here, so runs are shorter than elsewhere.
+REPLAY = Limits(max_rows=100_000)
 
 
 def staging_dedup(
@@ -24,14 +27,20 @@ def staging_dedup(
     return first_rows(df, keys, [F.col(c) for c in order])
 
 
-def not_in(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def not_in(
+    df: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    candidates: DataFrame | None = None,
+) -> DataFrame:
     """Rows whose key the target does not hold.
 
-    The target is read by key only, and reduced to the keys of ``df`` and to one row
-    each before the anti join, so neither a large target nor a hot target key is spread
-    over the network.
+    The target is read by key only, and reduced to the keys of ``candidates`` (``df``
+    itself, or a cheaper table with the same keys) and to one row each before the anti
+    join. So neither a large target nor a hot target key goes over the network if the
+    candidates are few enough for Spark to broadcast them.
     """
-    mine = df.select(*keys).distinct()
+    mine = (df if candidates is None else candidates).select(*keys).distinct()
     held = target.select(*keys).join(mine, list(keys), "left_semi").distinct()
     return df.join(held, list(keys), "left_anti")
 
@@ -44,8 +53,7 @@ def merge_insert(
 ) -> DataFrame:
     """The rows of the staging table that a merge has to insert into the target."""
     fresh = staging_dedup(staging, keys, order)
-    held = target.select(*keys).distinct()
-    return fresh.join(held, list(keys), "left_anti")
+    return not_in(fresh, target, keys, candidates=staging)
 
 
 def merge_result(staging: DataFrame, target: DataFrame, **how) -> DataFrame:
@@ -123,7 +131,7 @@ def lru_dedup(
     id_column: str,
     order: Sequence[str],
     size: int = 100,
-    limits: Limits = DEFAULT,
+    limits: Limits = REPLAY,
 ) -> DataFrame:
     """Drop an event if its id is among the ``size`` ids last met for its key.
 

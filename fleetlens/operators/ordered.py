@@ -21,7 +21,7 @@ from dataclasses import dataclass, replace
 from itertools import accumulate
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,7 @@ class Runs:
     order: tuple[str, ...]
     is_cut: bool
     limits: Limits
+    has_copies: bool = False  # some run stayed large: its rows are equal in ``order``
 
     @property
     def window(self) -> WindowSpec:
@@ -91,10 +92,10 @@ class Runs:
         backwards = self.whole.orderBy(*[F.col(c).desc() for c in self.order])
         for size, window, step in ((before, backwards, 1), (after, self.window, -1)):
             if size:
-                edge = hot.withColumn("_rank", F.row_number().over(window))
+                edge = hot.withColumn("_edge", F.row_number().over(window))
                 out = out.unionByName(
-                    edge.where(F.col("_rank") <= size)
-                    .drop("_rank")
+                    edge.where(F.col("_edge") <= size)
+                    .drop("_edge")
                     .withColumn(RUN, F.col(RUN) + step)
                     .where(F.col(RUN) > COLD)
                     .withColumn(NEIGHBOUR, F.lit(True))
@@ -102,17 +103,24 @@ class Runs:
         return replace(self, df=out)
 
     def with_carry(
-        self, name: str, per_run: Column, fold: Callable[[Column], Column]
+        self,
+        name: str,
+        per_run: Column,
+        fold: Callable[[Column], Column],
+        whole: bool = False,
     ) -> Runs:
         """Add ``fold`` of the ``per_run`` aggregate over all earlier runs of the key,
-        null in the first run. One row per run, so at most ``max_cuts`` of them."""
+        or over all its runs if ``whole``. Null in the first run, and for keys that are
+        not cut. One row per run, so at most ``max_cuts`` of them."""
         if not self.is_cut:
             kind = self.df.groupBy().agg(per_run.alias(name)).schema[name].dataType
             return replace(self, df=self.df.withColumn(name, F.lit(None).cast(kind)))
         earlier = (
             Window.partitionBy(*self.keys)
             .orderBy(RUN)
-            .rowsBetween(Window.unboundedPreceding, -1)
+            .rowsBetween(
+                Window.unboundedPreceding, Window.unboundedFollowing if whole else -1
+            )
         )
         runs = (
             self.df.where(F.col(RUN) > COLD)
@@ -138,17 +146,18 @@ def cut(
 ) -> Runs:
     """Cut the hot keys of ``df`` into runs along the ascending ``order``.
 
-    ``order`` should be total: rows equal in all of it stay in the same run. In a log
-    ``(enqueuedAt, partition, offset)`` is total. With no ``keys`` the whole input is
+    ``order`` should be total: rows equal in all of it stay in the same run, and
+    ``has_copies`` tells if such a run is large. In a log ``(enqueuedAt, partition,
+    offset)`` is total. With no ``keys`` the whole input is
     one ordered sequence.
     """
     keys, order = tuple(keys), tuple(order)
     if not keys:
         df, keys = df.withColumn(ALL, F.lit(0)), (ALL,)
-    table = None
+    found = None
     if planned_bytes(df) > limits.small_bytes:
-        table = _cut_table(df, keys, order, limits)
-    if table is None:
+        found = _cut_table(df, keys, order, limits)
+    if found is None:
         df = df.withColumns(
             {
                 RUN: F.lit(COLD),
@@ -157,13 +166,15 @@ def cut(
             }
         )
         return Runs(df, keys, order, False, limits)
-    return Runs(_assign(df, table, keys, order), keys, order, True, limits)
+    table, has_copies = found
+    return Runs(_assign(df, table, keys, order), keys, order, True, limits, has_copies)
 
 
 def _cut_table(
     df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], limits: Limits
-) -> DataFrame | None:
-    """One row per hot key: cut points, first positions of the runs, row count."""
+) -> tuple[DataFrame, bool] | None:
+    """One row per hot key: cut points, first positions of the runs, row count. Also
+    whether some run is far too large, which only rows equal in ``order`` can cause."""
     spark = df.sparkSession
     rows_seen = Observation()
     counts = (
@@ -202,8 +213,8 @@ def _cut_table(
     )
     point = cuts.schema["_cuts"].dataType
     found = cuts.collect()  # at most about max_cuts points
-    if not found:
-        return None
+    missing = {tuple(row[:-1]) for row in hot} - {tuple(r[k] for k in keys) for r in found}
+    found += [Row(**dict(zip(keys, key, strict=True)), _cuts=[]) for key in missing]
 
     draft_schema = T.StructType(
         [
@@ -222,13 +233,15 @@ def _cut_table(
     ):
         sizes.setdefault(tuple(row[k] for k in keys), {})[row[RUN]] = row["count"]
 
-    table = []
+    table, longest = [], 0
     for row in found:
         key = tuple(row[k] for k in keys)
         points, lengths = _merge_short(row["_cuts"], sizes[key], limits.min_rows)
+        longest = max(longest, *lengths)
         starts = [0, *accumulate(lengths)]
         table.append((*key, points, starts[:-1], starts[-1]))
-    return spark.createDataFrame(table, draft_schema)
+    has_copies = longest > 4 * (max_rows + limits.min_rows)
+    return spark.createDataFrame(table, draft_schema), has_copies
 
 
 def _merge_short(
@@ -375,4 +388,4 @@ def first_rows(
     a hot key costs no more than any other.
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return df.withColumn("_nth", rank).where(F.col("_nth") <= n).drop("_nth")

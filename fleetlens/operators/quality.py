@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.scalars import is_json
 from fleetlens.operators.aggregate import minute_rates, rate_summary
-from fleetlens.operators.ordered import DEFAULT, Limits
-from fleetlens.operators.windows import middle_delta, stored_order_delta
+from fleetlens.operators.ordered import DEFAULT, Limits, Runs, cut
+from fleetlens.operators.windows import SEQUENCE, middle_delta, stored_order_delta
+
+COPIES = "_copies"
 
 
 @dataclass(frozen=True)
@@ -43,28 +45,41 @@ def duplicate_fraction(df: DataFrame) -> DataFrame:
     )
 
 
-def _jumps(df: DataFrame) -> DataFrame:
+def _jumps(df: DataFrame, copies: str | None) -> DataFrame:
+    rows = F.count(F.lit(1)) if copies is None else F.sum(copies)
     return _fraction(
-        df.agg(
-            F.count_if(F.col("delta") > 1).alias("n_bad"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
+        df.agg(F.count_if(F.col("delta") > 1).alias("n_bad"), rows.alias("n_rows"))
     )
 
 
+def _in_runs(df: DataFrame, order: list[str], limits: Limits) -> tuple[Runs, str | None]:
+    """Rows for a sequence check, and the name of their count column, if any.
+
+    Copies have the step 0, so one row can stand for all rows equal in device and
+    ``order``. That costs a further shuffle, and is done only if the copies of one event
+    are too many for a task.
+    """
+    rows = df.select("deviceId", *order)
+    runs = cut(rows, ["deviceId"], order, limits)
+    if not runs.has_copies:
+        return runs, None
+    rows = rows.groupBy("deviceId", *order).agg(F.count(F.lit(1)).alias(COPIES))
+    return cut(rows, ["deviceId"], order, limits), COPIES
+
+
 def out_of_sequence(df: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     """Rows stored after a row whose sequence number is not the one before theirs.
 
     Only jumps forward count; steps back and repeats do not.
     """
-    narrow = df.select("deviceId", "storedAt", "deviceSequenceNumber")
-    return _jumps(stored_order_delta(narrow, limits))
+    runs, copies = _in_runs(df, ["storedAt", SEQUENCE], limits)
+    return _jumps(stored_order_delta(runs.df, runs=runs), copies)
 
 
 def missing_events(df: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     """Gaps in the sequence of a device, without its first and last tenth."""
-    narrow = df.select("deviceId", "deviceSequenceNumber")
-    return _jumps(middle_delta(narrow, limits=limits))
+    runs, copies = _in_runs(df, [SEQUENCE], limits)
+    return _jumps(middle_delta(runs.df, copies=copies, runs=runs), copies)
 
 
 def quality_report(

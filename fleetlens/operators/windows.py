@@ -4,41 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.operators.ordered import DEFAULT, Limits, cut, first_rows, previous
+from fleetlens.operators.ordered import DEFAULT, Limits, Runs, cut, first_rows
 
 SEQUENCE = "deviceSequenceNumber"
 
 
-def stored_order_delta(df: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def stored_order_delta(
+    df: DataFrame, limits: Limits = DEFAULT, runs: Runs | None = None
+) -> DataFrame:
     """Step of the sequence number from the row stored before, per device."""
-    out = previous(
-        df, ["deviceId"], ["storedAt", SEQUENCE], {"_before": F.col(SEQUENCE)}, limits
-    )
-    return out.withColumn("delta", F.col(SEQUENCE) - F.col("_before")).drop("_before")
+    runs = runs or cut(df, ["deviceId"], ["storedAt", SEQUENCE], limits)
+    runs = runs.with_neighbours(before=1)
+    step = F.col(SEQUENCE) - F.lag(SEQUENCE).over(runs.window)
+    return runs.result(runs.df.withColumn("delta", step))
 
 
 def middle_delta(
-    df: DataFrame, low: float = 0.1, high: float = 0.9, limits: Limits = DEFAULT
+    df: DataFrame,
+    low: float = 0.1,
+    high: float = 0.9,
+    limits: Limits = DEFAULT,
+    copies: str | None = None,
+    runs: Runs | None = None,
 ) -> DataFrame:
     """Step of the sequence number in sequence order, in the middle part of each device.
 
     All rows come back; ``delta`` is null outside ``low..high`` and for the first row
     inside. The kept ranks are contiguous, so the row before in rank is the row before
-    among the kept ones, and one window pass is enough.
+    among the kept ones, and one window pass is enough. A row may stand for several with
+    the same sequence number, counted in the column ``copies``.
     """
-    runs = cut(df, ["deviceId"], [SEQUENCE], limits)
-    runs = runs.with_columns({"_rank": runs.numbered(), "_of": runs.counted()})
+    runs = runs or cut(df, ["deviceId"], [SEQUENCE], limits)
+    if copies is None:
+        runs = runs.with_columns({"_rank": runs.numbered(), "_of": runs.counted()})
+    else:
+        total = F.sum(copies)
+        runs = runs.with_carry("_before", total, F.sum).with_carry(
+            "_all_rows", total, F.sum, whole=True
+        )
+        to_here = total.over(runs.window.rowsBetween(Window.unboundedPreceding, 0))
+        earlier = F.coalesce("_before", F.lit(0)) + to_here - F.col(copies)
+        runs = runs.with_columns(
+            {
+                "_rank": earlier + 1,
+                "_of": F.coalesce("_all_rows", total.over(runs.whole)),
+            }
+        )
     runs = runs.with_neighbours(before=1)
     step = F.col(SEQUENCE) - F.lag(SEQUENCE).over(runs.window)
     share = F.col("_rank").cast("double") / F.col("_of")
     share_before = (F.col("_rank") - 1).cast("double") / F.col("_of")
     inside = (share >= low) & (share <= high) & (share_before >= low)
-    return runs.result(
-        runs.df.withColumn("_step", step).withColumn("delta", F.when(inside, F.col("_step")))
-    ).drop("_rank", "_of", "_step")
+    out = runs.df.withColumn("_step", step)
+    return runs.result(out.withColumn("delta", F.when(inside, F.col("_step")))).drop(
+        "_rank", "_of", "_step", "_before", "_all_rows"
+    )
 
 
 def latest_per_device(

@@ -102,7 +102,7 @@ def merge_append(
             earlier = read_batches(batch.sparkSession, path, rows.schema, before=batch_id)
             if day_of is not None:
                 earlier = _same_days(earlier, rows)
-            fresh = not_in(staging_dedup(rows, keys, order), earlier, keys)
+            fresh = not_in(staging_dedup(rows, keys, order), earlier, keys, rows)
             writer = fresh.write.mode("overwrite")
             if day_of is not None:
                 writer = writer.partitionBy("_day")
@@ -304,7 +304,7 @@ def jdbc_merge(
             .options(url=url, query=f"SELECT {', '.join(keys)} FROM {table}")
             .load()
         )
-        fresh = not_in(staging_dedup(batch, keys, order), held, keys)
+        fresh = not_in(staging_dedup(batch, keys, order), held, keys, batch)
         fresh.write.format("jdbc").options(**jdbc_write_options(url, table)).mode(
             "append"
         ).save()
