@@ -116,14 +116,15 @@ class TagEvents(StatefulProcessor):
             if self.silence_ms is not None:
                 self.handle.registerTimer(created // 1000 + self.silence_ms)
         self.memory.update((memory.dump(),))
-        yield _frame(key[0], tags)
+        if tags:
+            yield _frame(key[0], tags)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         memory = self._load()
         tags = memory.silence(expiredTimerInfo.getExpiryTimeInMs(), self.silence_ms)
         if tags:
             self.memory.update((memory.dump(),))
-        yield _frame(key[0], tags)
+            yield _frame(key[0], tags)
 
     def close(self) -> None:
         pass
