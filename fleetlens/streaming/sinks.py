@@ -53,7 +53,8 @@ def read_batches(
     folders = [batch_folder(path, n) for n in committed(spark, path, before)]
     if not folders:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(*folders)
+    rows = spark.read.schema(full).option("basePath", path).parquet(*folders)
+    return rows.select(*full.fieldNames())
 
 
 # -- append and merge ----------------------------------------------------------------
