@@ -100,16 +100,14 @@ def split_malformed(
         T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
     )
-    rows = df.withColumn("_event", parsed)
+    others = [c for c in df.columns if c != text]
+    # As a generator, the parser runs once per message for both the test and the fields.
+    readable = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[corrupt].isNull())
+    good = df.select(*others, text, F.inline(readable)).drop(corrupt)
     reason = F.when(F.col(text).isNull(), "empty message").when(
-        F.col("_event").isNull() | F.col(f"_event.{corrupt}").isNotNull(),
-        "not a JSON event",
+        parsed.isNull() | parsed[corrupt].isNotNull(), "not a JSON event"
     )
-    rows = rows.withColumn("reason", reason)
-    others = [c for c in df.columns if c != text]
-    fields = [F.col(f"_event.{f.name}") for f in schema.fields]
-    good = rows.where(F.col("reason").isNull()).select(*others, text, *fields)
-    bad = rows.where(F.col("reason").isNotNull()).select(*others, text, "reason")
+    bad = df.select(*others, text, reason.alias("reason")).where("reason is not null")
     return good, bad
 
 
