@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalars import partition_of
-from fleetlens.operators.ordered import COLD, RUN, Limits, cut, first_rows
+from fleetlens.operators.ordered import RUN, Limits, cut, first_rows
 
 # A run is one Arrow table in a Python worker here, so runs are shorter than elsewhere.
 REPLAY = Limits(max_rows=100_000)
@@ -170,8 +170,7 @@ def _memories(runs, id_column: str, size: int) -> DataFrame:
     """For each run but the first: the ids its key remembers when the run begins."""
     keys = list(runs.keys)
     last_met = (
-        runs.df.where(F.col(RUN) > COLD)
-        .groupBy(*keys, RUN, id_column)
+        runs.hot_rows.groupBy(*keys, RUN, id_column)
         .agg(F.max(F.struct(*runs.order)).alias("_met"))
     )
     newest = first_rows(last_met, [*keys, RUN], [F.col("_met").desc()], size)

@@ -4,8 +4,8 @@ A window partitioned by device puts all rows of a device into one task. When one
 device holds a third of the input that task never ends. ``cut`` looks for such keys
 with one partially aggregated count, and cuts each of them along its own order into
 *runs* of about ``max_rows`` rows. The cut points come from a hash sample of the order
-columns, so a repeated task attempt always finds the same runs. Windows are then
-partitioned by ``(keys, run)``; what crosses the border of two runs is handed over by
+columns, so a repeated task attempt always finds the same runs; they are searched in one
+array that all tasks share, so no row carries them. Windows are then partitioned by ``(keys, run)``; what crosses the border of two runs is handed over by
 
 * ``numbered`` / ``counted``: run offsets known from the cut table,
 * ``with_neighbours``: the few rows before or after a run,
@@ -21,11 +21,12 @@ from dataclasses import dataclass, replace
 from itertools import accumulate
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Observation, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RUN, START, TOTAL, NEIGHBOUR, ALL = "_run", "_start", "_total", "_neighbour", "_all"
+RUN, START, TOTAL, HOT = "_run", "_start", "_total", "_hot"
+NEIGHBOUR, ALL = "_neighbour", "_all"
 COLD = -1
 SAMPLES_PER_RUN = 32
 
@@ -36,7 +37,7 @@ class Limits:
 
     max_rows: int = 1_000_000  # rows of one key that one task may hold
     min_rows: int = 1_000  # no run of a cut key is smaller; bounds ``with_neighbours``
-    max_cuts: int = 200_000  # entries of the broadcast cut table
+    max_cuts: int = 200_000  # cut points in all, some ten bytes each, sent to all tasks
     small_bytes: int = 256 << 20  # inputs planned below this are not counted at all
 
 
@@ -66,6 +67,11 @@ class Runs:
     def whole(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, RUN)
 
+    @property
+    def hot_rows(self) -> DataFrame:
+        """Rows of cut keys. A filter on the run itself would pull the search into it."""
+        return self.df.where(F.col(HOT).isNotNull())
+
     def numbered(self) -> Column:
         """1-based position of a row in its key. Not after ``with_neighbours``."""
         return F.col(START) + F.row_number().over(self.window)
@@ -88,7 +94,7 @@ class Runs:
                 f"{max(before, after)} neighbours asked for, but a run may have only "
                 f"{self.limits.min_rows} rows; raise Limits.min_rows"
             )
-        hot = self.df.where(F.col(RUN) > COLD)
+        hot = self.hot_rows
         backwards = self.whole.orderBy(*[F.col(c).desc() for c in self.order])
         for size, window, step in ((before, backwards, 1), (after, self.window, -1)):
             if size:
@@ -97,7 +103,6 @@ class Runs:
                     edge.where(F.col("_edge") <= size)
                     .drop("_edge")
                     .withColumn(RUN, F.col(RUN) + step)
-                    .where(F.col(RUN) > COLD)
                     .withColumn(NEIGHBOUR, F.lit(True))
                 )
         return replace(self, df=out)
@@ -123,8 +128,7 @@ class Runs:
             )
         )
         runs = (
-            self.df.where(F.col(RUN) > COLD)
-            .groupBy(*self.keys, RUN)
+            self.hot_rows.groupBy(*self.keys, RUN)
             .agg(per_run.alias(name))
             .withColumn(name, fold(F.col(name)).over(earlier))
         )
@@ -135,7 +139,7 @@ class Runs:
         df = self.df if df is None else df
         if NEIGHBOUR in df.columns:
             df = df.where(~F.col(NEIGHBOUR))
-        return df.drop(RUN, START, TOTAL, NEIGHBOUR, ALL)
+        return df.drop(RUN, START, TOTAL, HOT, NEIGHBOUR, ALL)
 
 
 def cut(
@@ -167,13 +171,24 @@ def cut(
         )
         return Runs(df, keys, order, False, limits)
     table, has_copies = found
-    return Runs(_assign(df, table, keys, order), keys, order, True, limits, has_copies)
+    return Runs(_assign(df, table), keys, order, True, limits, has_copies)
+
+
+@dataclass(frozen=True)
+class CutTable:
+    """The hot keys with their number, and one row with the arrays of all of them."""
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    numbers: DataFrame  # keys, _hot
+    arrays: DataFrame  # cuts, starts, totals: each indexed by _hot
+    longest: int
 
 
 def _cut_table(
     df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], limits: Limits
-) -> tuple[DataFrame, bool] | None:
-    """One row per hot key: cut points, first positions of the runs, row count. Also
+) -> tuple[CutTable, bool] | None:
+    """Cut points, first positions of the runs and row count of each hot key. Also
     whether some run is far too large, which only rows equal in ``order`` can cause."""
     spark = df.sparkSession
     rows_seen = Observation()
@@ -211,37 +226,45 @@ def _cut_table(
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set(_point(df, order))).alias("_cuts"))
     )
-    point = cuts.schema["_cuts"].dataType
-    found = cuts.collect()  # at most about max_cuts points
-    missing = {tuple(row[:-1]) for row in hot} - {tuple(r[k] for k in keys) for r in found}
-    found += [Row(**dict(zip(keys, key, strict=True)), _cuts=[]) for key in missing]
-
-    draft_schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("_cuts", point),
-            T.StructField("_starts", T.ArrayType(T.LongType())),
-            T.StructField("_count", T.LongType()),
-        ]
-    )
-    draft = spark.createDataFrame(
-        [(*[r[k] for k in keys], r["_cuts"], None, None) for r in found], draft_schema
-    )
+    points = cuts.schema["_cuts"].dataType
+    found = {tuple(r[k] for k in keys): r["_cuts"] for r in cuts.collect()}  # ~ max_cuts
+
+    def table(rows: list[tuple[tuple, list, list, int]]) -> CutTable:
+        numbers = [(*key, i) for i, (key, _, _, _) in enumerate(rows)]
+        arrays = [tuple(list(column) for column in zip(*[r[1:] for r in rows], strict=True))]
+        return CutTable(
+            keys,
+            order,
+            spark.createDataFrame(
+                numbers, T.StructType([*key_fields, T.StructField(HOT, T.IntegerType())])
+            ),
+            spark.createDataFrame(
+                arrays,
+                T.StructType(
+                    [
+                        T.StructField("cuts", T.ArrayType(points)),
+                        T.StructField("starts", T.ArrayType(T.ArrayType(T.LongType()))),
+                        T.StructField("totals", T.ArrayType(T.LongType())),
+                    ]
+                ),
+            ),
+            max(len(r[1]) for r in rows),
+        )
+
+    all_keys = [tuple(row[:-1]) for row in hot]
+    draft = table([(key, found.get(key, []), [], 0) for key in all_keys])
     sizes: dict[tuple, dict[int, int]] = {}
-    for row in (
-        _assign(narrow, draft, keys, order, "inner").groupBy(*keys, RUN).count().collect()
-    ):
+    counted = _assign(narrow, draft).where(F.col(HOT).isNotNull()).groupBy(*keys, RUN).count()
+    for row in counted.collect():
         sizes.setdefault(tuple(row[k] for k in keys), {})[row[RUN]] = row["count"]
 
-    table, longest = [], 0
-    for row in found:
-        key = tuple(row[k] for k in keys)
-        points, lengths = _merge_short(row["_cuts"], sizes[key], limits.min_rows)
-        longest = max(longest, *lengths)
+    final, largest = [], 0
+    for key in all_keys:
+        kept, lengths = _merge_short(found.get(key, []), sizes[key], limits.min_rows)
         starts = [0, *accumulate(lengths)]
-        table.append((*key, points, starts[:-1], starts[-1]))
-    has_copies = longest > 4 * (max_rows + limits.min_rows)
-    return spark.createDataFrame(table, draft_schema), has_copies
+        final.append((key, kept, starts[:-1], starts[-1]))
+        largest = max(largest, *lengths)
+    return table(final), largest > 4 * (max_rows + limits.min_rows)
 
 
 def _merge_short(
@@ -277,38 +300,34 @@ def _point(df: DataFrame, order: Sequence[str]) -> Column:
     )
 
 
-def _assign(
-    df: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    how: str = "left",
-) -> DataFrame:
-    """Find the run of each row by binary search in the cut points of its key."""
-    joined = _join_small(df, table, keys, how)
-    cuts, here = F.col("_cuts"), _point(df, order)
-
-    def halve(state: Column, _step: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.shiftright(low + high, 1)
-        passed = F.get(cuts, middle) <= here
-        return F.when(
-            low < high,
-            F.struct(
-                F.when(passed, middle + 1).otherwise(low).alias("low"),
-                F.when(passed, high).otherwise(middle).alias("high"),
-            ),
-        ).otherwise(state)
-
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + F.lit(1.0))).cast("int"))
-    begin = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    run = F.aggregate(steps, begin, halve, lambda state: state["low"])
-    return (
-        joined.withColumn(RUN, F.when(cuts.isNull(), COLD).otherwise(run))
-        .withColumn(START, F.coalesce(F.get("_starts", F.col(RUN)), F.lit(0)))
-        .withColumn(TOTAL, F.col("_count"))
-        .drop("_cuts", "_starts", "_count")
-    )
+def _assign(df: DataFrame, table: CutTable) -> DataFrame:
+    """Find the run of each row by binary search in the cut points of its key.
+
+    The arrays are a scalar subquery, one value for all tasks. Each halving is a column
+    of its own, so that the search stays in generated code.
+    """
+    if table.keys == (ALL,):
+        df = df.withColumn(HOT, F.lit(0))
+    else:
+        df = _join_small(df, table.numbers, table.keys)
+    arrays = table.arrays.select(F.struct("*").alias("arrays")).scalar()
+    cuts, here = F.get(arrays["cuts"], F.col(HOT)), _point(df, table.order)
+    passed = F.lit(0)
+    for bit in reversed(range(table.longest.bit_length())):
+        name = f"_passed_{bit}"
+        next_point = F.get(cuts, passed + F.lit((1 << bit) - 1))
+        step = F.when(next_point <= here, 1 << bit).otherwise(0)
+        df = df.withColumn(name, passed + step)
+        passed = F.col(name)
+    start = F.get(F.get(arrays["starts"], F.col(HOT)), passed)
+    helpers = [c for c in df.columns if c.startswith("_passed_")]
+    return df.withColumns(
+        {
+            RUN: F.when(F.col(HOT).isNull(), COLD).otherwise(passed),
+            START: F.coalesce(start, F.lit(0)),
+            TOTAL: F.get(arrays["totals"], F.col(HOT)),
+        }
+    ).drop(*helpers)
 
 
 def _join_small(
