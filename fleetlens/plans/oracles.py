@@ -583,3 +583,47 @@ SELECT CASE k WHEN 'view' THEN 'TEMP' WHEN 'click' THEN 'CO2' ELSE upper(k) END
        id, event_id
 FROM ({ORACLES["lru_dedup"]})""",
 }
+
+ORACLES |= {
+    "array_round_trip": _with()
+    + """
+SELECT eventId, k, value, type, deviceId, date_trunc('millisecond', createdAt) AS createdAt,
+       date_trunc('millisecond', enqueuedAt) AS enqueuedAt FROM telemetry""",
+    "spike_dip_robust": _with()
+    + """
+, framed AS (
+  SELECT *, list({'t': enqueuedAt, 'v': value}) OVER (
+     PARTITION BY PartitionId ORDER BY enqueuedAt, event_id
+     ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS before FROM telemetry),
+recent AS (
+  SELECT PartitionId, enqueuedAt, value, list_transform(list_filter(coalesce(before, []),
+           lambda p: p.t >= enqueuedAt - INTERVAL 6 HOUR), lambda p: p.v) AS vs FROM framed),
+middle AS (SELECT *, list_median(vs) AS m FROM recent),
+spread AS (
+  SELECT *, list_median(list_transform(vs, lambda v: abs(v - m))) * 1.4826 AS s FROM middle),
+result AS (
+  SELECT *, CASE WHEN s > 0 THEN (value - m) / s ELSE 0 END AS z FROM spread)
+SELECT PartitionId, enqueuedAt AS time, round(value, 6) AS val, round(z, 4) AS score,
+       CAST(z >= 2.5758293035489 AS BIGINT) AS is_anomaly FROM result""",
+    "stream_upsert": _with(DUPLICATES, TABLES)
+    + f"""
+SELECT {NO_SEQUENCE} FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.eventId = t.eventId)
+UNION ALL
+SELECT {NO_SEQUENCE} FROM (
+  SELECT *, row_number() OVER (PARTITION BY eventId ORDER BY enqueuedAt DESC) AS r
+  FROM staging) WHERE r = 1""",
+    "stream_history_and_status": _with()
+    + """
+SELECT deviceId, arg_max(eventId, event_id) AS eventId,
+       arg_max(createdAt, event_id) AS createdAt,
+       round(arg_max(value, event_id), 6) AS value,
+       arg_max(k, event_id) AS MoreData1, count(*) AS n_stored
+FROM telemetry GROUP BY 1""",
+    "stream_watermark_dedup": _with() + " SELECT eventId, type, deviceId FROM telemetry",
+    "stream_summary_export": _with()
+    + """
+SELECT deviceId, type, count(*) AS n, date_trunc('millisecond', min(createdAt)) AS first_at,
+       date_trunc('millisecond', max(createdAt)) AS last_at
+FROM telemetry GROUP BY 1, 2""",
+}

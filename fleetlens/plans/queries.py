@@ -318,6 +318,20 @@ def capture_decode(spark, sf_dir):
     return out.withColumn("k", F.col("complexData")["k"]).drop("complexData")
 
 
+@query
+def array_round_trip(spark, sf_dir):
+    """Packed into JSON arrays of up to 100 events and unpacked again."""
+    rows = fixtures.telemetry(spark, sf_dir, False)
+    names = ["eventId", "complexData", "value", "type", "deviceId", "createdAt", "enqueuedAt"]
+    packed = sinks.array_messages(rows.select(*names), 100)
+    sent = packed.select(
+        F.col("value").cast("binary").alias("body"),
+        F.lit(None).cast("timestamp").alias("enqueuedTime"),
+    )
+    out = decode.explode_array(sent).select(*names)
+    return out.withColumn("k", F.col("complexData")["k"]).drop("complexData")
+
+
 @query
 def relay(spark, sf_dir):
     rows = fixtures.telemetry(spark, sf_dir, False).withColumn("timestamp", F.col("enqueuedAt"))
@@ -513,6 +527,20 @@ def spike_dip(spark, sf_dir):
     return out.withColumn("score", F.round("score", 4))
 
 
+@query
+def spike_dip_robust(spark, sf_dir):
+    rows = fixtures.telemetry(spark, sf_dir, False)
+    out = anomaly.spike_dip(
+        rows,
+        tie=("_event_id",),
+        duration_ms=DAY_MS // 4,
+        mode=anomaly.SPIKES,
+        robust=True,
+        confidence=99.0,
+    )
+    return out.withColumn("score", F.round("score", 4))
+
+
 # -- series --------------------------------------------------------------------------
 
 
@@ -789,3 +817,63 @@ def stream_lru_dedup(spark, sf_dir):
     kept = stateful.lru_stream(rows, ["k"], "id", ["createdAt", "event_id"], size=20)
     written = _drained(spark, kept, sinks.append_once(out), out)
     return written.select("k", "id", "event_id")
+
+
+@query
+def stream_upsert(spark, sf_dir):
+    out = runs.shared_folder(spark, "documents")
+    target, _ = thirds_and_halves(fixtures.telemetry(spark, sf_dir, False))
+    names = [c for c in EVENT_COLUMNS if c != "deviceSequenceNumber"]
+    write = sinks.upsert(out, ("eventId",), [F.col("enqueuedAt").desc()], buckets=8)
+    write(target.select(*names), 0)
+    _, changes = thirds_and_halves(fixtures.stream(spark, sf_dir))
+    rows = changes.select(*names)
+    _drained(spark, rows, lambda batch, n: write(batch, n + 1), out)
+    return sinks.latest_buckets(spark, out, rows.schema)
+
+
+@query
+def stream_history_and_status(spark, sf_dir):
+    history, status = runs.shared_folder(spark, "history"), runs.shared_folder(spark, "status")
+    rows = fixtures.stream(spark, sf_dir).select(
+        "deviceId",
+        "eventId",
+        F.col("_event_id").alias("deviceSequenceNumber"),
+        "createdAt",
+        "value",
+        F.to_json(F.struct(F.col("complexData")["k"].alias("moreData1"))).alias("ComplexData"),
+    )
+    write = sinks.history_and_status(history, status, buckets=8)
+    stored = _drained(spark, rows, write, history)
+    kind = device.status_rows(spark.createDataFrame([], rows.schema)).schema
+    newest = sinks.latest_buckets(spark, status, kind)
+    stored = stored.groupBy("deviceId").agg(F.count(F.lit(1)).alias("n_stored"))
+    return newest.join(stored, "deviceId").select(
+        "deviceId",
+        "eventId",
+        "createdAt",
+        "value",
+        F.col("MoreData1").cast("double").alias("MoreData1"),
+        "n_stored",
+    )
+
+
+@query
+def stream_watermark_dedup(spark, sf_dir):
+    out = runs.shared_folder(spark, "unique")
+    rows = fixtures.with_duplicates(fixtures.stream(spark, sf_dir))
+    unique = dedup.within_watermark(rows, ["eventId"], "enqueuedAt", "10 minutes")
+    unique = unique.select("eventId", "type", "deviceId")
+    return _drained(spark, unique, sinks.append_once(out), out).drop(sinks.BATCH)
+
+
+@query
+def stream_summary_export(spark, sf_dir):
+    """The summary of each run as CSV, then read back."""
+    out = runs.shared_folder(spark, "export")
+    rows = fixtures.stream(spark, sf_dir).select("deviceId", "type", "createdAt")
+    write = sinks.csv_export(out, aggregate.device_type_summary)
+    checkpoint = runs.shared_folder(spark, "checkpoint")
+    runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(write), 1800, need_rows=True)
+    kind = "deviceId string, type string, n long, first_at timestamp, last_at timestamp"
+    return spark.read.csv(out, schema=f"{kind}, batch_id long", header=True).drop("batch_id")

@@ -30,11 +30,11 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 def committed(spark: SparkSession, path: str, before: int | None = None) -> list[int]:
     """Numbers of the finished batches in a folder."""
-    found = []
-    for name in _children(spark, path):
-        if name.startswith(f"{BATCH}=") and "_SUCCESS" in _children(spark, f"{path}/{name}"):
-            found.append(int(name.removeprefix(f"{BATCH}=")))
-    return sorted(n for n in found if before is None or n < before)
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}=*/_SUCCESS")
+    files = marks.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [mark.getPath().getParent().getName() for mark in files.globStatus(marks) or []]
+    found = sorted(int(name.removeprefix(f"{BATCH}=")) for name in names)
+    return [n for n in found if before is None or n < before]
 
 
 def _children(spark: SparkSession, path: str) -> list[str]:

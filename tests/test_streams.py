@@ -126,6 +126,18 @@ def test_typed_export_and_external_table(spark, tmp_path):
     assert stats.collect()[0]["actual"] == 0.0
 
 
+def test_external_table_finds_partitions(spark, tmp_path):
+    base = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1, 2023), (2, 2024)], "n int, year int")
+    rows.write.partitionBy("year").parquet(base)
+    try:
+        assert files.external_table(spark, "exported", base).where("year = 2024").count() == 1
+        rows.withColumn("year", F.lit(2025)).write.mode("append").partitionBy("year").parquet(base)
+        assert files.external_table(spark, "exported", base).count() == 4
+    finally:
+        spark.sql("DROP TABLE IF EXISTS exported")
+
+
 def test_first_of_table(spark, rows):
     sinks.as_view(rows, "recent_events")
     assert files.first_of_table(spark, "recent_events").count() == 100
