@@ -1,6 +1,6 @@
 """Event logs: option builders for the Kafka source, and the envelope they give.
 
-The Kafka connector is an external jar. Event Hubs is read through its Kafka endpoint.
+The Kafka connector is an external jar. Logs with a Kafka endpoint are read the same way.
 """
 
 from __future__ import annotations
