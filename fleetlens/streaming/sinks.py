@@ -17,6 +17,7 @@ from fleetlens.functions.scalars import ISO_MILLIS, now, partition_of, timestamp
 from fleetlens.operators.decode import record_to_json
 from fleetlens.operators.dedup import not_in, staging_dedup, upsert_latest
 from fleetlens.operators.device import status_rows, update_status
+from fleetlens.operators.ordered import first_rows
 from fleetlens.sources.logs import producer_options
 
 Write = Callable[[DataFrame, int], None]
@@ -153,7 +154,11 @@ def upsert(
     combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> Write:
     """Keep the newest row per key. Only the hash buckets that a batch touches are
-    written again; ``combine(existing, changes)`` may replace the default rule."""
+    written again; ``combine(existing, changes)`` may replace the default rule.
+
+    For tables with few rows per device. A large table, where each batch would touch all
+    buckets, is better appended (:func:`append_once`) and read with :func:`newest_rows`.
+    """
     newest = order or [F.col("enqueuedAt").desc()]
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -166,7 +171,10 @@ def upsert(
             out = combine(stored, rows)
         else:
             out = upsert_latest(stored, rows, keys, newest)
-        out.write.mode("overwrite").partitionBy(BUCKET).parquet(batch_folder(path, batch_id))
+        # One task per bucket, so that a batch does not leave a file per task and bucket.
+        out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
+            batch_folder(path, batch_id)
+        )
 
     return write
 
@@ -198,6 +206,19 @@ def latest_buckets(
     return reader.parquet(*folders.values()).select(*schema.fieldNames())
 
 
+def newest_rows(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str] = ("id",),
+    order: Sequence[str] = ("enqueuedAt",),
+) -> DataFrame:
+    """The upserted state of a folder of appended changes: merged when it is read."""
+    rows = read_batches(spark, path, schema)
+    by = [F.col(c).desc() for c in (*order, BATCH)]
+    return first_rows(rows, keys, by).drop(BATCH)
+
+
 def document_upsert(path: str, buckets: int = 64) -> Write:
     """Documents by ``id``, times as ISO texts."""
     write = upsert(path, ("id",), [F.col("enqueuedAt").desc()], buckets)

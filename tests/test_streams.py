@@ -256,6 +256,17 @@ def test_document_upsert(spark, tmp_path, rows):
     assert got.where("createdAt not like '____-__-__T__:__:__.___Z'").count() == 0
 
 
+def test_changes_merged_on_read(spark, tmp_path, rows):
+    out = str(tmp_path / "changes")
+    newer = rows.where("PartitionId = 0").withColumn("value", F.lit(-1.0))
+    write = sinks.append_once(out)
+    write(rows, 0)
+    write(newer, 1)
+    write(newer, 1)
+    got = sinks.newest_rows(spark, out, rows.schema, ["eventId"])
+    assert bag(got) == bag(rows.where("PartitionId <> 0").union(newer))
+
+
 def test_history_and_status(spark, tmp_path, rows):
     history, status = str(tmp_path / "h"), str(tmp_path / "s")
     events = rows.withColumns(
