@@ -24,11 +24,17 @@ def telemetry(spark: SparkSession, sf_dir: str, sequence: bool = True) -> DataFr
     return view(events(spark, sf_dir), sequence)
 
 
+MAX_FILES = 32
+
+
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as a file stream. A stream cannot number them."""
+    """The same rows as a file stream, in micro-batches of bounded size. A stream cannot
+    number them."""
     use_utc(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    files = folder_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
+    files = folder_stream(
+        spark, sf_dir, schema, "parquet", max_files=MAX_FILES, glob="events.parquet"
+    )
     return view(files, sequence=False)
 
 

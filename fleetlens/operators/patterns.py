@@ -41,8 +41,10 @@ def pattern_tags(
     arrival: tuple[str, ...] = ("enqueuedAt", "eventId"),
     rules: Rules = Rules(),
     limits: Limits = DEFAULT,
+    only: Column | None = None,
 ) -> DataFrame:
     """Tags that each arriving event causes, from a frame over the last ``ring`` events.
+    ``only`` selects the events to tag; the others just fill the frame.
 
     An event that did not qualify on arrival never does later, because the ring only
     loses events; so looking at each event once, when it is the newest, is enough.
@@ -64,6 +66,8 @@ def pattern_tags(
         F.when(several & (F.col("_co2") == 1), BAND_AND_CO2),
     )
     rows = runs.result(held.withColumn("_tags", F.array_compact(tags)))
+    if only is not None:
+        rows = rows.where(only)
     tagged = rows.select(
         "deviceId",
         F.col("createdAt").alias("trigger_at"),

@@ -189,7 +189,8 @@ SELECT check_name, expected, round(actual, 6) AS actual, passed FROM report""",
     "missing_events": _with(GAPS, _middle_deltas("gaps"))
     + _fraction("SELECT count(*) FROM middle WHERE delta > 1", "gaps"),
     "stored_order_delta": _with(LATE, _stored_deltas("late", "enqueuedAt"))
-    + " SELECT eventId, deviceId, deviceSequenceNumber, delta FROM stored",
+    + """
+SELECT eventId, deviceId, deviceSequenceNumber, delta FROM stored WHERE delta IS NOT NULL""",
     "middle_delta": _with(GAPS, _middle_deltas("gaps"))
     + """
 SELECT eventId, deviceId, deviceSequenceNumber, delta FROM middle WHERE delta IS NOT NULL""",
@@ -627,3 +628,8 @@ SELECT deviceId, type, count(*) AS n, date_trunc('millisecond', min(createdAt))
        date_trunc('millisecond', max(createdAt)) AS last_at
 FROM telemetry GROUP BY 1, 2""",
 }
+
+ORACLES |= {
+    "stream_tag_batches": ORACLES["pattern_tags"],
+    "stream_dedup_batches": ORACLES["stream_lru_dedup"],
+}

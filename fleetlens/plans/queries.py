@@ -25,8 +25,9 @@ from fleetlens.operators import (
     windows,
 )
 from fleetlens.operators.ordered import first_rows
+from fleetlens.schema import TAG
 from fleetlens.session import ROCKSDB_PROVIDER
-from fleetlens.streaming import runs, sinks, stateful
+from fleetlens.streaming import batches, runs, sinks, stateful
 from fleetlens.streaming.windows import minute_rate_stream, summary_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,7 +172,7 @@ def missing_events(spark, sf_dir):
 def stored_order_delta(spark, sf_dir):
     late = fixtures.with_late(fixtures.telemetry(spark, sf_dir))
     rows = windows.stored_order_delta(late.withColumn("storedAt", F.col("enqueuedAt")))
-    return rows.select("eventId", "deviceId", "deviceSequenceNumber", "delta")
+    return rows.where("delta is not null").select("eventId", "deviceId", "deviceSequenceNumber", "delta")
 
 
 @query
@@ -877,3 +878,26 @@ def stream_summary_export(spark, sf_dir):
     runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(write), 1800, need_rows=True)
     kind = "deviceId string, type string, n long, first_at timestamp, last_at timestamp"
     return spark.read.csv(out, schema=f"{kind}, batch_id long", header=True).drop("batch_id")
+
+
+@query
+def stream_tag_batches(spark, sf_dir):
+    tags, memory = runs.shared_folder(spark, "tags"), runs.shared_folder(spark, "rings")
+    write = batches.tag_batches(tags, memory, BAND, tie="_event_id", buckets=8)
+    checkpoint = runs.shared_folder(spark, "checkpoint")
+    writer = runs.pipeline(fixtures.stream(spark, sf_dir), [], checkpoint)
+    runs.drain(writer.foreachBatch(write), 1800, need_rows=True)
+    return sinks.read_batches(spark, tags, TAG).drop(sinks.BATCH)
+
+
+@query
+def stream_dedup_batches(spark, sf_dir):
+    out, memory = runs.shared_folder(spark, "unique"), runs.shared_folder(spark, "ids")
+    rows = fixtures.stream(spark, sf_dir).select(
+        F.col("type").alias("k"),
+        F.col("_user_id").alias("id"),
+        "createdAt",
+        F.col("_event_id").alias("event_id"),
+    )
+    write = batches.dedup_batches(out, memory, ["k"], "id", ["createdAt", "event_id"], 20, 4)
+    return _drained(spark, rows, write, out).select("k", "id", "event_id")

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fleetlens.operators import dedup, patterns
-from fleetlens.streaming import runs, sinks, stateful
+from fleetlens.streaming import batches, runs, sinks, stateful
 from models import remembered, scan_tags
 
 AT = datetime(2019, 10, 15, 12, 43, 27, 748000)
@@ -202,6 +202,31 @@ def test_streams_equal_batch_over_several_batches_and_a_restart(spark, tmp_path)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect())), name
 
 
+def test_micro_batches_equal_batch(spark, tmp_path, tiny):
+    """Hot keys cut inside small micro-batches, repeated ids, and a replayed batch."""
+    events = random_events(random.Random(3), devices=2, n=160, ids=60)
+    df = spark.createDataFrame(events, EVENTS)
+    tags, unique = str(tmp_path / "tags"), str(tmp_path / "unique")
+    writes = (
+        batches.tag_batches(tags, str(tmp_path / "rings"), tie="n", buckets=2, limits=tiny),
+        batches.dedup_batches(
+            unique, str(tmp_path / "ids"), order=["n"], size=7, buckets=2, limits=tiny
+        ),
+    )
+    for i, start in enumerate((0, 5, 60, 140)):
+        part = df.where(f"n >= {start} and n < {(5, 60, 140, 160)[i]}")
+        for write in writes:
+            write(part, i)
+            if i == 2:
+                write(part, i)
+    want = patterns.pattern_tags(df, ("enqueuedAt", "n"))
+    got = sinks.read_batches(spark, tags, want.schema).drop("batch_id")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    want = dedup.lru_dedup(df, ["deviceId"], "eventId", ["n"], 7)
+    got = sinks.read_batches(spark, unique, df.schema).drop("batch_id")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_silence_timer(spark, tmp_path):
     """A device that stops is tagged once the watermark has passed its timer."""
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
