@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import mixing, rules, simhash
+from fleetlens.llm import balltree, langid, lines, mixing, packing, rules, simhash, warc
 from fleetlens.llm.shared import written
 
 
@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> tuple[str, str]:
+    """Rank file and split pattern of the byte-level BPE with 50k ids, on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select(
@@ -99,13 +106,83 @@ def _mixing_sql() -> str:
     )
 
 
+def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archived(table(spark, sf_dir, "pages"), payloads=False)
+    return rows.select(
+        F.col("response.fields")["x-page-id"].cast("long").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.size("metadata").alias("n_metadata"),
+        F.col("request").isNotNull().alias("has_request"),
+        F.col("response.fields")["x-refers-to-page"].cast("long").alias("refers_to"),
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.fold(F.col("doc_id")) == 1
+    model = langid.fit(docs.where(~held_out))
+    found = langid.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "found.*")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranks, split = tokenizer()
+    return packing.packed(docs, ranks, split, 2048)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduped(docs, min_words=6)
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_source_mixing": op3_source_mixing,
+    "op4_warc_transactions": op4_warc_transactions,
+    "op5_language_id": op5_language_id,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_top_k": op10_top_k,
 }
 
+#: SHA-1 as base32 from its hex digits: each five bits of a 160-bit number are one letter.
+WARC_SQL = """
+with sized as (select page_id, coalesce(html, '') as body from pages),
+coded as (select page_id, strlen(body)::bigint as payload_bytes, sha1(body) as digest from sized),
+bits as (select digest, list_reduce(list_transform(string_split(digest, ''),
+    lambda x: right(('0000' || bin(('0x' || x)::int)), 4)), lambda a, b: a || b) as bit_text
+  from (select distinct digest from coded)),
+letters as (select digest, list_reduce(list_transform(range(0, 32),
+    lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (list_sum(list_transform(range(0, 5), lambda j: substr(bit_text, (i * 5 + j + 1)::bigint, 1)::int * (16 >> j::int))) + 1)::bigint, 1)),
+    lambda a, b: a || b) as payload_digest from bits),
+owned as (select *, max(page_id) over (partition by digest) as owner from coded)
+select page_id, payload_bytes, payload_digest,
+  case when page_id = owner then 'response' else 'revisit' end as record_type,
+  1 as n_metadata, true as has_request,
+  case when page_id = owner then null else owner end as refers_to
+from owned join letters using (digest)
+"""
+
+TOP_K_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as e from embeddings),
+s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10
+"""
+
 #: Only where SQL can say it on whole tables; the others are tested against brute force.
 ORACLES = {
     "op3_source_mixing": _mixing_sql(),
+    "op4_warc_transactions": WARC_SQL,
+    "op10_top_k": TOP_K_SQL,
 }
