@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import balltree, langid, lines, mixing, packing, rules, simhash, warc
+from fleetlens.llm import balltree, cotrain, langid, licences, lines, mixing, packing, rules, simhash, warc
 from fleetlens.llm.shared import written
 
 
@@ -127,6 +127,16 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "found.*")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = licences.fit(spark, licences.other_paragraphs(docs))
+    return licences.scanned(docs, model)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ranks, split = tokenizer()
@@ -148,6 +158,8 @@ QUERIES = {
     "op3_source_mixing": op3_source_mixing,
     "op4_warc_transactions": op4_warc_transactions,
     "op5_language_id": op5_language_id,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_top_k": op10_top_k,
