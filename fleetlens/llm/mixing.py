@@ -126,3 +126,15 @@ def mix(
             F.when(F.col("epoch") < F.col("full"), F.col("tokens")).otherwise(last).alias("taken"),
         )
     )
+
+
+def mixed_documents(docs: DataFrame, levels: dict[str, Column], **options) -> DataFrame:
+    """``docs`` as far as ``mix`` chooses them in one epoch; all columns stay as they are.
+
+    The last document of a prefix stays whole. Rows that share an id stay or go together,
+    and rows without id go with the empty id's place.
+    """
+    chosen = written(mix(docs, levels, max_epochs=1, **options).select("doc_id").distinct(), "mix-chosen")
+    with_id = docs.join(chosen.where("doc_id is not null"), "doc_id", "left_semi").select(*docs.columns)
+    without = docs.where(F.col("doc_id").isNull())
+    return with_id if chosen.where("doc_id is null").isEmpty() else with_id.union(without)
