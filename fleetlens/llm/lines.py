@@ -18,6 +18,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from fleetlens.llm.shared import WORD, fresh, running_before, unit, written
 
@@ -146,7 +147,14 @@ def later_copies(docs: DataFrame, min_words: int = 6) -> DataFrame:
     return covered.join(base.select("doc_id", "seq", "line"), ["doc_id", "seq"]).select("doc_id", "line").distinct()
 
 
-@F.arrow_udf("text string, words long, runs array<struct<first: int, last: int>>")
+_RUN = StructType([StructField("first", IntegerType()), StructField("last", IntegerType())])
+
+
+@F.arrow_udf(
+    StructType(
+        [StructField("text", StringType()), StructField("words", LongType()), StructField("runs", ArrayType(_RUN))]
+    )
+)
 def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
     out, words, runs = [], [], []
     for text, lines in zip(texts.to_pylist(), gone.to_pylist()):

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fleetlens.llm.shared import fresh, written
 
@@ -95,7 +96,7 @@ def _others(raw: bytes) -> int:
     return len(raw.translate(None, _LETTERS))
 
 
-@F.arrow_udf(", ".join(f"{c} long" for c in COUNTS))
+@F.arrow_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
 def measured(texts: pa.Array) -> pa.Array:
     rows = [measure(t.as_py()) for t in texts]
     columns = list(zip(*rows)) if rows else [[]] * len(COUNTS)
