@@ -135,6 +135,6 @@ def mixed_documents(docs: DataFrame, levels: dict[str, Column], **options) -> Da
     and rows without id go with the empty id's place.
     """
     chosen = written(mix(docs, levels, max_epochs=1, **options).select("doc_id").distinct(), "mix-chosen")
-    with_id = docs.join(chosen.where("doc_id is not null"), "doc_id", "left_semi").select(*docs.columns)
+    with_id = docs.join(chosen.where("doc_id is not null").hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     without = docs.where(F.col("doc_id").isNull())
     return with_id if chosen.where("doc_id is null").isEmpty() else with_id.union(without)

@@ -204,5 +204,5 @@ def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 2) -> DataFrame
     found = near_copies(docs, shingle, radius)
     keep = found.where("doc_id = component_id").select("doc_id").distinct()
     has_id = docs.where(F.col("doc_id").isNotNull())
-    kept = has_id.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = has_id.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
