@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fleetlens.llm.shared import shared_folder, written
 
@@ -37,7 +38,7 @@ def _urn(kind: str, key: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def base32_of_hex(digests: pa.Array) -> pa.Array:
     return pa.array(
         [None if d is None else base64.b32encode(bytes.fromhex(d)).decode() for d in digests.to_pylist()], pa.string()
@@ -60,10 +61,10 @@ def _record(head: Column, block: Column) -> Column:
     return F.concat(F.lit("WARC/1.1\r\n"), head, F.lit("\r\n"), size, F.lit(END), block)
 
 
-def write_captures(pages: DataFrame, path: str, file_bytes: int = 16 << 20) -> None:
-    """Write ``page_id, url, html`` as archives of about ``file_bytes`` of payload each.
+def write_captures(pages: DataFrame, path: str) -> None:
+    """Write ``page_id, url, html`` as archives, one for each partition of the join.
 
-    A null html is an empty payload; a null url has no target. Rows without id have an
+    Adaptive execution sizes these partitions. A null html is an empty payload; a null url has no target. Rows without id have an
     empty one. Repeated rows are written each, under one set of record ids.
     """
     pages = pages.select(
@@ -74,10 +75,9 @@ def write_captures(pages: DataFrame, path: str, file_bytes: int = 16 << 20) -> N
         F.coalesce("html", F.lit("")).alias("html"),
     ).withColumn("sha1", F.sha1("html"))
     shared = written(
-        pages.groupBy("sha1").agg(F.max("n").alias("owner"), F.count("*").alias("c"), F.sum(F.octet_length("html")).alias("b")),
+        pages.groupBy("sha1").agg(F.max("n").alias("owner"), F.count("*").alias("c")),
         "warc-payloads",
     )
-    files = (shared.agg(F.sum("b")).first()[0] or 0) // file_bytes + 1
     owners = shared.where("c > 1 and owner is not null").select("sha1", "owner")
     marked = pages.join(owners, "sha1", "left").withColumn(
         "again", F.col("owner").isNotNull() & ~F.col("n").eqNullSafe(F.col("owner"))
@@ -119,7 +119,6 @@ def write_captures(pages: DataFrame, path: str, file_bytes: int = 16 << 20) -> N
     records = F.array(_record(request, request_block), _record(response, response_block), _record(metadata, metadata_block))
     (
         marked.withColumn("digest", base32_of_hex("sha1"))
-        .repartition(int(files))
         .select(F.explode(records).alias("value"))
         .write.option("lineSep", END)
         .option("compression", "gzip")
