@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetlens.operators.ordered import numbered
 from fleetlens.session import use_utc
 from fleetlens.sources.files import folder_stream
+from fleetlens.streaming.runs import shared_folder
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,18 +25,53 @@ def telemetry(spark: SparkSession, sf_dir: str, sequence: bool = True) -> DataFr
     return view(events(spark, sf_dir), sequence)
 
 
-MAX_FILES = 32
-
-
-def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as a file stream, in micro-batches of bounded size. A stream cannot
-    number them."""
-    use_utc(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    files = folder_stream(
-        spark, sf_dir, schema, "parquet", max_files=MAX_FILES, glob="events.parquet"
+BATCHES = 4
+_SPREAD: dict[tuple, str] = {}
+
+
+def stream(
+    spark: SparkSession, sf_dir: str, in_order: bool = False, late: bool = False
+) -> DataFrame:
+    """The same rows as a file stream of ``BATCHES`` micro-batches. A stream cannot number
+    them.
+
+    The table, file or folder, is first spread over files by time of arrival (``late``: of
+    the late variant). The batches come in that order, or newest first and mixed. The
+    files are written once per session.
+    """
+    rows = events(spark, sf_dir)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    if late:
+        at = at + F.when(F.col("event_id") % 50 == 7, 2 * 86_400_000_000).otherwise(0)
+    # The order of arrival also has the seconds that ``view`` adds.
+    at = at + F.col("event_id") % 7 * 1_000_000
+    name = (spark.sparkContext.applicationId, sf_dir, in_order, late)
+    if name not in _SPREAD:
+        folder = shared_folder(spark, "stream")
+        low, high = rows.agg(F.min(at), F.max(at)).first()
+        part = F.floor((at - F.lit(low)) * BATCHES / F.lit(high - low + 1)) if low is not None else F.lit(0)
+        turns = list(range(BATCHES))
+        for i in turns if in_order else [turns[-1], *turns[1:-1], turns[0]]:
+            rows.where(part == i).write.mode("append").parquet(folder)
+        _SPREAD[name] = folder
+    folder = _SPREAD[name]
+    files = len(spark.read.parquet(folder).inputFiles())
+    source = folder_stream(spark, folder, rows.schema, "parquet", max_files=max(1, files // BATCHES))
+    return view(source, sequence=False)
+
+
+def sample_instances(devices: DataFrame, number: str) -> DataFrame:
+    """Model rows for numbered devices: year 2020, month by number, Car or Bus."""
+    i = F.col(number)
+    return devices.select(
+        "deviceId",
+        F.lit("simulated-device").alias("typeId"),
+        F.concat(F.lit("Device #"), i.cast("string")).alias("name"),
+        F.lit("A simulated device").alias("description"),
+        F.lit(2020).cast("long").alias("year"),
+        (i % 12 + 1).cast("long").alias("month"),
+        F.when(i % 2 == 0, "Car").otherwise("Bus").alias("vehicle"),
     )
-    return view(files, sequence=False)
 
 
 def view(rows: DataFrame, sequence: bool) -> DataFrame:

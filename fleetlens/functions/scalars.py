@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Time texts of the reference's documents and capture files.
+# Time texts of documents and capture files.
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
 CAPTURE_TIME = "M/d/y h:mm:ss a"
 

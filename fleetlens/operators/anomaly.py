@@ -20,9 +20,15 @@ def _behind(
     arrival: Sequence[str],
     tolerance_ms: int,
     limits: Limits,
+    before: str | None,
 ) -> tuple[DataFrame, Column]:
-    """Rows with the highest time seen so far, and the earliest time still accepted."""
+    """Rows with the highest time seen so far, and the earliest time still accepted.
+
+    ``before`` names a column with the highest time (microseconds) before all these rows.
+    """
     rows = running_max(df, keys, arrival, F.unix_micros(time), "_newest", limits)
+    if before is not None:
+        rows = rows.withColumn("_newest", F.greatest("_newest", before))
     return rows, F.col("_newest") - F.lit(tolerance_ms * 1000)
 
 
@@ -33,12 +39,13 @@ def late_drop(
     tolerance_ms: int = 10_000,
     keys: Sequence[str] = (),
     limits: Limits = DEFAULT,
+    before: str | None = None,
 ) -> DataFrame:
     """Drop events older than the newest event time seen so far minus the tolerance.
 
     ``keys`` gives each of them a clock of its own, e.g. one per source partition.
     """
-    rows, accepted = _behind(df, keys, time, arrival, tolerance_ms, limits)
+    rows, accepted = _behind(df, keys, time, arrival, tolerance_ms, limits, before)
     return rows.where(F.unix_micros(time) >= accepted).drop("_newest")
 
 
@@ -50,9 +57,10 @@ def late_adjust(
     keys: Sequence[str] = (),
     name: str = "adjusted_at",
     limits: Limits = DEFAULT,
+    before: str | None = None,
 ) -> DataFrame:
     """Move late event times up to the earliest accepted one."""
-    rows, accepted = _behind(df, keys, time, arrival, tolerance_ms, limits)
+    rows, accepted = _behind(df, keys, time, arrival, tolerance_ms, limits, before)
     moved = F.timestamp_micros(F.greatest(F.unix_micros(time), accepted))
     return rows.withColumn(name, moved).drop("_newest")
 
@@ -69,13 +77,16 @@ def spike_dip(
     mode: str = BOTH,
     robust: bool = False,
     limits: Limits = DEFAULT,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Score each value against at most ``history`` values before it that are no older
     than ``duration_ms``.
 
     The score is the distance from their mean in standard deviations or, if ``robust``,
     from their median in scaled median deviations. A value is anomalous if a normal
-    variable stays closer with the given confidence. Without spread the score is 0.
+    variable stays closer with the given confidence. Off a history without spread (two or
+    more equal values) any other value is infinitely far; with less history the score is 0.
+    ``keep`` names further columns of the result.
     """
     runs = cut(df, keys, [time, *tie], limits).with_neighbours(before=history)
     frame = runs.window.rowsBetween(-history, -1)
@@ -96,9 +107,13 @@ def spike_dip(
             _mean(F.transform("_before", lambda v: F.pow(v - F.col("_middle"), F.lit(2.0))))
         )
     rows = rows.withColumn("_spread", spread)
-    score = F.when(
-        F.col("_spread") > 0, (F.col(value) - F.col("_middle")) / F.col("_spread")
-    ).otherwise(0.0)
+    away = F.col(value) - F.col("_middle")
+    flat = (F.col("_spread") == 0) & (F.size("_before") > 1) & (away != 0)
+    score = (
+        F.when(F.col("_spread") > 0, away / F.col("_spread"))
+        .when(flat, F.signum(away) * F.lit(float("inf")))
+        .otherwise(0.0)
+    )
     limit = NormalDist().inv_cdf(0.5 + confidence / 200)
     high, low = F.col("score") >= limit, F.col("score") <= -limit
     found = {SPIKES: high, DIPS: low, BOTH: high | low}[mode]
@@ -110,6 +125,7 @@ def spike_dip(
         F.col(value).alias("val"),
         "score",
         "is_anomaly",
+        *keep,
     )
 
 

@@ -13,7 +13,8 @@ from fleetlens.schema import EVENT, PROCESSED_EVENT
 
 
 def body_text(body: str = "body") -> Column:
-    return F.decode(F.col(body), "UTF-8")
+    """The body as text, or null if its bytes are no UTF-8."""
+    return F.try_validate_utf8(F.col(body).cast("string"))
 
 
 def decode_events(
@@ -92,11 +93,13 @@ def split_malformed(
 ) -> tuple[DataFrame, DataFrame]:
     """Good events and a quarantine of messages that cannot be read.
 
-    A bad message never fails its batch. The quarantine has the raw text and a reason.
+    A bad message never fails its batch. ``text`` may hold texts or bytes. The quarantine
+    has it as it came, and a reason.
     """
     corrupt = "_corrupt"
+    content = body_text(text)
     parsed = F.from_json(
-        F.col(text),
+        content,
         T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
     )
@@ -104,7 +107,8 @@ def split_malformed(
     # As a generator, the parser runs once per message for both the test and the fields.
     readable = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[corrupt].isNull())
     good = df.select(*others, text, F.inline(readable)).drop(corrupt)
-    reason = F.when(F.col(text).isNull(), "empty message").when(
+    reason = F.when(F.col(text).isNull(), "empty message").when(content.isNull(), "not UTF-8")
+    reason = reason.when(
         parsed.isNull() | parsed[corrupt].isNotNull(), "not a JSON event"
     )
     bad = df.select(*others, text, reason.alias("reason")).where("reason is not null")

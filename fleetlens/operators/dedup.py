@@ -67,10 +67,15 @@ def upsert_latest(
     keys: Sequence[str],
     order: Sequence[Column],
 ) -> DataFrame:
-    """Existing rows, replaced by the newest change of their key; new keys are added."""
-    newest = first_rows(changes, keys, order)
-    untouched = existing.join(newest.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(newest)
+    """The newest row of each key among existing rows and changes, by ``order``.
+
+    Of rows equal in it a change replaces an existing row. One row per key and task is
+    shuffled.
+    """
+    both = existing.withColumn("_change", F.lit(0)).unionByName(
+        changes.withColumn("_change", F.lit(1))
+    )
+    return first_rows(both, keys, [*order, F.col("_change").desc()]).drop("_change")
 
 
 def remove_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:

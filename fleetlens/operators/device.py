@@ -77,13 +77,6 @@ def twins(devices: DataFrame, state: DataFrame) -> DataFrame:
     return devices.join(state, "deviceId", "left")
 
 
-def default_twins(devices: DataFrame, number: str = "i") -> DataFrame:
-    """Names of the provisioned devices from their numbers."""
-    return devices.select(
-        F.format_string("contoso-device-id-%06d", F.col(number)).alias("deviceId")
-    )
-
-
 def merge_twins(current: DataFrame, update: DataFrame) -> DataFrame:
     """Lay a newer partial state over the current one; both have a row per device."""
     names = [c for c in current.columns if c != "deviceId"]

@@ -7,9 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.operators.ordered import planned_bytes
+from fleetlens.operators.ordered import first_rows
 
-BROADCAST_BYTES = 64 << 20
 BY_RANK, BY_NAME, BY_COUNT = "rank", "name", "count"
 ONE_LEVEL, UNTIL_CHILDREN = "one_level", "until_children"
 
@@ -17,20 +16,6 @@ ONE_LEVEL, UNTIL_CHILDREN = "one_level", "until_children"
 HIERARCHIES = {"ManufactureDate": ("year", "month"), "VehicleType": ("vehicle",)}
 
 
-def sample_instances(devices: DataFrame, number: str) -> DataFrame:
-    """Model rows for numbered devices: year 2020, month by number, Car or Bus."""
-    i = F.col(number)
-    return devices.select(
-        "deviceId",
-        F.lit("simulated-device").alias("typeId"),
-        F.concat(F.lit("Device #"), i.cast("string")).alias("name"),
-        F.lit("A simulated device").alias("description"),
-        F.lit(2020).cast("long").alias("year"),
-        (i % 12 + 1).cast("long").alias("month"),
-        F.when(i % 2 == 0, "Car").otherwise("Bus").alias("vehicle"),
-    )
-
-
 def with_model(
     events: DataFrame,
     instances: DataFrame,
@@ -39,23 +24,22 @@ def with_model(
 ) -> DataFrame:
     """Events with the attributes of their instance and its one type.
 
-    The model is broadcast only if its planned size allows, and shuffled otherwise.
+    The joins are Spark's choice: a model is broadcast only if it is small when it runs.
     """
     model = instances
     if default_type is not None:
         model = model.withColumn("typeId", F.coalesce("typeId", F.lit(default_type)))
     if types is not None:
-        model = model.join(_small(types), "typeId")
-    return events.join(_small(model), "deviceId")
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if planned_bytes(df) <= BROADCAST_BYTES else df
+        model = model.join(types, "typeId")
+    return events.join(model, "deviceId")
 
 
 def path_of(fields: Sequence[str]) -> Column:
-    """The path of an instance in one hierarchy: its field values, outermost first."""
-    return F.array(*[F.col(f).cast("string") for f in fields])
+    """The path of an instance in one hierarchy: its field values, outermost first, up to
+    the first that is missing."""
+    steps = F.array(*[F.col(f).cast("string") for f in fields])
+    missing = F.array_position(F.transform(steps, lambda s: s.isNull()), F.lit(True))
+    return F.when(missing > 0, F.slice(steps, F.lit(1), (missing - 1).cast("int"))).otherwise(steps)
 
 
 def instance_search(
@@ -102,15 +86,18 @@ def hierarchy_tree(
 ) -> DataFrame:
     """Every node of the hierarchies with the number of instances at or below it.
 
-    ``path`` starts with the hierarchy name. ``below`` keeps one subtree, and
+    ``path`` starts with the hierarchy name. An instance whose level is missing counts at
+    the level above it. A column ``hierarchyIds``, if there, names the hierarchies that an
+    instance belongs to; without it an instance is in all of them. ``below`` keeps one subtree, and
     ``one_level`` its direct children. Instances are first counted per full path, so the
     prefixes multiply counts and not instances.
     """
     paths = None
     for name, fields in hierarchies.items():
-        one = instances.select(
-            F.array_compact(F.concat(F.array(F.lit(name)), path_of(fields))).alias("_path")
-        )
+        members = instances
+        if "hierarchyIds" in instances.columns:
+            members = members.where(F.array_contains("hierarchyIds", name))
+        one = members.select(F.concat(F.array(F.lit(name)), path_of(fields)).alias("_path"))
         paths = one if paths is None else paths.unionByName(one)
     full = paths.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
     depth = F.explode(F.sequence(F.lit(1), F.size("_path")))
@@ -123,9 +110,11 @@ def hierarchy_tree(
         nodes = nodes.where(F.size("_node") > len(below))
     if expand == ONE_LEVEL:
         nodes = nodes.where(F.size("_node") == len(below) + 1)
-    tree = nodes.groupBy(
-        F.array_join("_node", "/").alias("path"), F.size("_node").alias("level")
-    ).agg(F.sum("_n").alias("n"))
+    # Grouped by the steps: a step may hold the sign that joins them in the text.
+    tree = nodes.groupBy("_node").agg(F.sum("_n").alias("n"))
+    tree = tree.select(
+        F.array_join("_node", "/").alias("path"), F.size("_node").alias("level"), "n"
+    )
     if sort == BY_COUNT:
         return tree.orderBy(F.col("n").desc(), "path")
     return tree.orderBy("path") if sort == BY_NAME else tree
@@ -152,8 +141,13 @@ def model_get(model: DataFrame, ids: Sequence, key: str = "deviceId") -> DataFra
     return model.where(F.col(key).isin(*ids))
 
 
-def model_put(model: DataFrame, changes: DataFrame, key: str = "deviceId") -> DataFrame:
-    """Create or replace; ``changes`` has one row per key."""
+def model_put(
+    model: DataFrame, changes: DataFrame, key: str = "deviceId", order: Sequence[Column] = ()
+) -> DataFrame:
+    """Create or replace. Of several changes of one key the first in ``order`` counts, or
+    the largest by all columns if no order is given."""
+    by = order or [F.struct(*[c for c in changes.columns if c != key]).desc()]
+    changes = first_rows(changes, [key], by)
     return model.join(changes.select(key), key, "left_anti").unionByName(changes)
 
 

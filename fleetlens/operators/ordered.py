@@ -5,7 +5,9 @@ device holds a third of the input that task never ends. ``cut`` looks for such k
 with one partially aggregated count, and cuts each of them along its own order into
 *runs* of about ``max_rows`` rows. The cut points come from a hash sample of the order
 columns, so a repeated task attempt always finds the same runs; they are searched in one
-array that all tasks share, so no row carries them. Windows are then partitioned by ``(keys, run)``; what crosses the border of two runs is handed over by
+array that all tasks share, so no row carries them. Keys are judged by their rows, never
+by the planned size of the input. Windows are then partitioned by ``(keys, run)``; what
+crosses the border of two runs is handed over by
 
 * ``numbered`` / ``counted``: run offsets known from the cut table,
 * ``with_neighbours``: the few rows before or after a run,
@@ -38,18 +40,11 @@ class Limits:
     max_rows: int = 1_000_000  # rows of one key that one task may hold
     min_rows: int = 1_000  # no run of a cut key is smaller; bounds ``with_neighbours``
     max_cuts: int = 200_000  # cut points in all, some ten bytes each, sent to all tasks
-    small_bytes: int = 256 << 20  # inputs planned below this are not counted at all
 
 
 DEFAULT = Limits()
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, used to leave out work on small inputs only."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 @dataclass(frozen=True)
 class Runs:
     df: DataFrame
@@ -86,14 +81,14 @@ class Runs:
     def with_neighbours(self, before: int = 0, after: int = 0) -> Runs:
         """Copy the last ``before`` rows of a run into the next run, and the first
         ``after`` rows into the previous one, marked in ``_neighbour``."""
-        out = self.df.withColumn(NEIGHBOUR, F.lit(False))
-        if not self.is_cut:
-            return replace(self, df=out)
-        if max(before, after) > self.limits.min_rows:
+        if max(before, after) > self.limits.min_rows:  # asked of every input alike
             raise ValueError(
                 f"{max(before, after)} neighbours asked for, but a run may have only "
                 f"{self.limits.min_rows} rows; raise Limits.min_rows"
             )
+        out = self.df.withColumn(NEIGHBOUR, F.lit(False))
+        if not self.is_cut:
+            return replace(self, df=out)
         hot = self.hot_rows
         backwards = self.whole.orderBy(*[F.col(c).desc() for c in self.order])
         for size, window, step in ((before, backwards, 1), (after, self.window, -1)):
@@ -158,9 +153,7 @@ def cut(
     keys, order = tuple(keys), tuple(order)
     if not keys:
         df, keys = df.withColumn(ALL, F.lit(0)), (ALL,)
-    found = None
-    if planned_bytes(df) > limits.small_bytes:
-        found = _cut_table(df, keys, order, limits)
+    found = _cut_table(df, keys, order, limits)
     if found is None:
         df = df.withColumns(
             {

@@ -301,8 +301,10 @@ def series_interpolate(
     before = F.last("_last", ignorenulls=True).over(
         by.rowsBetween(Window.unboundedPreceding, -1)
     )
-    after = F.first("_first", ignorenulls=True).over(
-        by.rowsBetween(0, Window.unboundedFollowing)
+    # Backwards, so that a frame only grows: from each row to the end it is quadratic.
+    back = Window.partitionBy(key).orderBy(F.col("_i").desc())
+    after = F.last("_first", ignorenulls=True).over(
+        back.rowsBetween(Window.unboundedPreceding, 0)
     )
     start = F.col("_i") * F.lit(step)
     around = slots.withColumns({"_a": before, "_b": after}).where(wanted)

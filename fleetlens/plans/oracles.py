@@ -37,7 +37,7 @@ late AS (
 
 TABLES = f"""
 target AS (SELECT * FROM telemetry WHERE event_id % 3 = 0),
-staging AS (SELECT * FROM duplicates WHERE event_id % 2 = 0)"""
+staging AS (SELECT * FROM duplicates WHERE event_id % 3 <> 0 OR event_id % 2 = 0)"""
 
 INSTANCES = """
 instances AS (
@@ -282,7 +282,15 @@ SELECT eventId, k, value, type, deviceId, deviceSequenceNumber, createdAt,
        date_trunc('second', enqueuedAt) AS enqueuedAt FROM telemetry""",
     "relay": _with()
     + """
-SELECT eventId AS id, eventId, createdAt AS enqueuedAt, processedAt FROM telemetry""",
+SELECT eventId, enqueuedAt, processedAt FROM telemetry""",
+    "created_as_enqueued": _with()
+    + """
+SELECT eventId AS id, eventId, createdAt AS enqueuedAt FROM telemetry""",
+    "partition_assign": _with()
+    + """
+SELECT count(DISTINCT deviceId) AS devices, count(DISTINCT deviceId) AS same,
+       count(DISTINCT deviceId) AS in_range, least(count(DISTINCT deviceId), 8) AS used
+FROM telemetry""",
     "payload_rows": _with()
     + """
 SELECT eventId AS EventId, 'batch-1' AS BatchId, k, CAST(round(value) AS BIGINT) AS Value,
@@ -342,12 +350,9 @@ counted AS (
 SELECT k, id, event_id FROM counted WHERE before IS NULL OR others >= 20""",
     "upsert_latest": _with(DUPLICATES, TABLES)
     + f"""
-SELECT {EVENT_COLUMNS} FROM target t
-WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.eventId = t.eventId)
-UNION ALL
 SELECT {EVENT_COLUMNS} FROM (
   SELECT *, row_number() OVER (PARTITION BY eventId ORDER BY enqueuedAt DESC) AS r
-  FROM staging) WHERE r = 1""",
+  FROM (SELECT * FROM target UNION ALL SELECT * FROM staging)) WHERE r = 1""",
     "unique_violations": _with(DUPLICATES)
     + " SELECT eventId, count(*) AS n FROM duplicates GROUP BY 1 HAVING count(*) > 1",
     "remove_members": _with()
@@ -368,7 +373,7 @@ SELECT deviceId, eventId, deviceSequenceNumber, createdAt, round(value, 6) AS va
        CAST(CAST(k / 4 AS DECIMAL(18, 4)) AS DOUBLE) AS MoreData4,
        CAST(CAST(k / 5 AS DECIMAL(18, 4)) AS DOUBLE) AS MoreData5
 FROM (SELECT *, row_number() OVER (PARTITION BY deviceId ORDER BY deviceSequenceNumber DESC)
-        AS r FROM telemetry WHERE event_id % 3 = 0 OR event_id % 2 = 0) WHERE r = 1""",
+        AS r FROM telemetry) WHERE r = 1""",
     "top_per_partition": _with()
     + f"""
 SELECT {EVENT_COLUMNS} FROM (
@@ -436,7 +441,8 @@ scored AS (
   SELECT *, list_avg(vs) AS m,
          CASE WHEN len(vs) > 1 THEN list_stddev_pop(vs) END AS s FROM recent),
 result AS (
-  SELECT *, CASE WHEN s > 1e-9 THEN (value - m) / s ELSE 0 END AS z FROM scored)
+  SELECT *, CASE WHEN list_max(vs) > list_min(vs) THEN (value - m) / s
+       WHEN len(vs) > 1 AND value <> m THEN sign(value - m) * 'inf'::DOUBLE ELSE 0 END AS z FROM scored)
 SELECT PartitionId, enqueuedAt AS time, round(value, 6) AS val, round(z, 4) AS score,
        CAST(abs(z) >= 1.959963984540054 AS BIGINT) AS is_anomaly FROM result""",
     "series_events": _with()
@@ -603,17 +609,15 @@ middle AS (SELECT *, list_median(vs) AS m FROM recent),
 spread AS (
   SELECT *, list_median(list_transform(vs, lambda v: abs(v - m))) * 1.4826 AS s FROM middle),
 result AS (
-  SELECT *, CASE WHEN s > 0 THEN (value - m) / s ELSE 0 END AS z FROM spread)
+  SELECT *, CASE WHEN s > 0 THEN (value - m) / s
+       WHEN len(vs) > 1 AND value <> m THEN sign(value - m) * 'inf'::DOUBLE ELSE 0 END AS z FROM spread)
 SELECT PartitionId, enqueuedAt AS time, round(value, 6) AS val, round(z, 4) AS score,
        CAST(z >= 2.5758293035489 AS BIGINT) AS is_anomaly FROM result""",
     "stream_upsert": _with(DUPLICATES, TABLES)
     + f"""
-SELECT {NO_SEQUENCE} FROM target t
-WHERE NOT EXISTS (SELECT 1 FROM staging s WHERE s.eventId = t.eventId)
-UNION ALL
 SELECT {NO_SEQUENCE} FROM (
   SELECT *, row_number() OVER (PARTITION BY eventId ORDER BY enqueuedAt DESC) AS r
-  FROM staging) WHERE r = 1""",
+  FROM (SELECT * FROM target UNION ALL SELECT * FROM staging)) WHERE r = 1""",
     "stream_history_and_status": _with()
     + """
 SELECT deviceId, arg_max(eventId, event_id) AS eventId,
@@ -633,3 +637,55 @@ ORACLES |= {
     "stream_tag_batches": ORACLES["pattern_tags"],
     "stream_dedup_batches": ORACLES["stream_lru_dedup"],
 }
+
+MILLI_FIELDS = (
+    "eventId, type, deviceId, round(value, 6) AS value, "
+    "date_trunc('millisecond', createdAt) AS createdAt"
+)
+
+ORACLES |= {
+    "stream_late_drop": _with(LATE)
+    + """
+SELECT eventId, createdAt, enqueuedAt FROM (
+  SELECT *, max(createdAt) OVER (ORDER BY enqueuedAt, event_id) AS newest FROM late)
+WHERE createdAt >= newest - INTERVAL 10 SECOND""",
+    "stream_late_adjust": _with(LATE)
+    + """
+SELECT eventId, createdAt, PartitionId,
+       max(createdAt) OVER (PARTITION BY PartitionId ORDER BY enqueuedAt, event_id) AS adjusted_at
+FROM late""",
+    "stream_spike_dip": ORACLES["spike_dip"],
+    "stream_silent_devices": ORACLES["pattern_tags"],
+    "json_folder_stream": _with()
+    + f" SELECT {MILLI_FIELDS} FROM telemetry",
+    "capture_read": _with()
+    + """
+SELECT eventId, deviceId, round(value, 6) AS value, date_trunc('second', enqueuedAt) AS enqueuedAt FROM telemetry""",
+    "document_read": _with()
+    + """
+SELECT eventId, deviceId, date_trunc('millisecond', createdAt) AS createdAt,
+       date_trunc('millisecond', enqueuedAt) AS enqueuedAt, date_trunc('second', storedAt) AS storedAt
+FROM telemetry""",
+    "event_time_only": _with()
+    + " SELECT eventId, createdAt, createdAt AS enqueuedAt, createdAt AS storedAt FROM telemetry",
+    "delimited_read": _with() + " SELECT eventId, type, round(value, 6) AS value FROM telemetry",
+    "sink_json_lines": _with()
+    + f" SELECT {MILLI_FIELDS} FROM telemetry",
+    "sink_payload": "SELECT count(*) AS events, 1::BIGINT AS ids, 1::BIGINT AS times, 1::BIGINT AS several FROM events",
+    "sink_retried": _with() + " SELECT eventId, deviceId FROM telemetry",
+    "sink_restarted": _with() + " SELECT eventId, deviceId FROM telemetry",
+    "clock_columns": """
+SELECT count(*) AS events, count(*) AS processed_later, count(*) AS stored_later,
+       count(*) AS batch_ids, count(*) AS own_ids FROM events""",
+    "events_of_type": _with()
+    + """
+SELECT CAST(CAST(createdAt AS DATE) AS VARCHAR) AS day, round(avg(value) / 60 * 60, 6) AS per_minute
+FROM telemetry WHERE type = 'CO2' GROUP BY 1""",
+    "ranked_newest": _with()
+    + """
+SELECT CAST(row_number() OVER (ORDER BY storedAt DESC, event_id DESC) AS INTEGER) AS place, eventId, storedAt
+FROM telemetry QUALIFY place <= 50""",
+    "json_scalars": _with()
+    + """
+SELECT eventId, CAST(json_valid(props) AS BIGINT) AS valid, k, date_trunc('hour', createdAt) AS hour FROM telemetry""",
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ from fleetlens.operators import (
 from fleetlens.operators.ordered import first_rows
 from fleetlens.schema import TAG
 from fleetlens.session import ROCKSDB_PROVIDER
+from fleetlens.sources import files, stores
+from fleetlens.sources.files import json_stream
 from fleetlens.streaming import batches, runs, sinks, stateful
 from fleetlens.streaming.windows import minute_rate_stream, summary_stream
 
@@ -111,13 +113,13 @@ def device_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hierarchy.sample_instances(device_rows(spark, sf_dir), "i")
+    return fixtures.sample_instances(device_rows(spark, sf_dir), "i")
 
 
 def thirds_and_halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A target table, and a staging table with repeated rows."""
+    """The whole table as a target and a staging table with repeated rows; they overlap."""
     again = fixtures.with_duplicates(rows)
-    return rows.where("_event_id % 3 = 0"), again.where("_event_id % 2 = 0")
+    return rows.where("_event_id % 3 = 0"), again.where("_event_id % 3 <> 0 OR _event_id % 2 = 0")
 
 
 # -- rates and quality ---------------------------------------------------------------
@@ -336,9 +338,15 @@ def array_round_trip(spark, sf_dir):
 @query
 def relay(spark, sf_dir):
     rows = fixtures.telemetry(spark, sf_dir, False).withColumn("timestamp", F.col("enqueuedAt"))
-    out = enrich.relay(rows, processed=F.col("processedAt"))
-    out = enrich.with_document_id(enrich.with_enqueued_from_created(out))
-    return out.select("id", "eventId", "enqueuedAt", "processedAt")
+    out = enrich.relay(rows.drop("enqueuedAt"), processed=F.col("processedAt"))
+    return out.select("eventId", "enqueuedAt", "processedAt")
+
+
+@query
+def created_as_enqueued(spark, sf_dir):
+    rows = fixtures.telemetry(spark, sf_dir, False)
+    out = enrich.with_document_id(enrich.with_enqueued_from_created(rows))
+    return out.select("id", "eventId", "enqueuedAt")
 
 
 @query
@@ -431,8 +439,17 @@ def unique_violations(spark, sf_dir):
 
 @query
 def partition_assign(spark, sf_dir):
-    rows = fixtures.telemetry(spark, sf_dir, False).select("deviceId").distinct()
-    return dedup.assign_partition(rows, "deviceId", 16, "partition_id")
+    """What holds for any good hash: numbers in range, one per device, all of them used."""
+    rows = fixtures.telemetry(spark, sf_dir, False).select("deviceId")
+    first = dedup.assign_partition(rows, "deviceId", 16, "p")
+    both = dedup.assign_partition(first, "deviceId", 16, "again")
+    per_device = both.groupBy("deviceId").agg(F.min("p").alias("low"), F.max("p").alias("high"), F.max("again").alias("again"))
+    return per_device.agg(
+        F.count("*").alias("devices"),
+        F.count_if((F.col("low") == F.col("high")) & (F.col("high") == F.col("again"))).alias("same"),
+        F.count_if(F.col("low").between(0, 15)).alias("in_range"),
+        F.least(F.count_distinct("low"), F.lit(8)).alias("used"),
+    )
 
 
 @query
@@ -458,7 +475,7 @@ def device_status(spark, sf_dir):
     detail = F.to_json(F.struct(*[(k / i).alias(f"moreData{i}") for i in (1, 2, 4, 5)]))
     rows = rows.withColumn("ComplexData", detail)
     stored = device.status_rows(rows.where("_event_id % 3 = 0"))
-    batch = device.status_rows(rows.where("_event_id % 2 = 0"))
+    batch = device.status_rows(rows.where("_event_id % 3 <> 0 OR _event_id % 2 = 0"))
     out = device.update_status(stored, batch)
     numbers = {f"MoreData{i}": F.col(f"MoreData{i}").cast("double") for i in range(1, 6)}
     return out.withColumns(numbers).select(
@@ -746,7 +763,7 @@ def _drained(spark, rows: DataFrame, write: sinks.Write, out: str, mode: str = "
     """Run a stream to its end; what it has written under ``out``."""
     checkpoint = runs.shared_folder(spark, "checkpoint")
     writer = runs.pipeline(rows, [], checkpoint, mode).foreachBatch(runs.retried(write))
-    runs.drain(writer, timeout_s=1800, need_rows=True)
+    runs.drain(writer, timeout_s=1800, need_batches=3)
     return sinks.read_batches(spark, out, rows.schema)
 
 
@@ -767,7 +784,8 @@ def stream_ingest(spark, sf_dir):
 @query
 def stream_minute_rates(spark, sf_dir):
     out = runs.shared_folder(spark, "rates")
-    rates = minute_rate_stream(fixtures.stream(spark, sf_dir))
+    # The watermark has to cover the disorder, here the whole span of the table.
+    rates = minute_rate_stream(fixtures.stream(spark, sf_dir), delay="60 days")
     written = _drained(spark, rates, sinks.append_once(out), out, "update")
     newest = first_rows(written, ["stored_minute"], [F.col(sinks.BATCH).desc()])
     return newest.drop(sinks.BATCH)
@@ -800,7 +818,7 @@ def stream_pattern_tags(spark, sf_dir):
     _use_state_store(spark)
     out = runs.shared_folder(spark, "tags")
     rows = stateful.tag_stream(
-        fixtures.stream(spark, sf_dir), BAND, silence_ms=None, tie="_event_id"
+        fixtures.stream(spark, sf_dir, in_order=True), BAND, silence_ms=None, tie="_event_id"
     )
     return _drained(spark, rows, sinks.append_once(out), out).drop(sinks.BATCH)
 
@@ -809,7 +827,7 @@ def stream_pattern_tags(spark, sf_dir):
 def stream_lru_dedup(spark, sf_dir):
     _use_state_store(spark)
     out = runs.shared_folder(spark, "lru")
-    rows = fixtures.stream(spark, sf_dir).select(
+    rows = fixtures.stream(spark, sf_dir, in_order=True).select(
         F.col("type").alias("k"),
         F.col("_user_id").alias("id"),
         "createdAt",
@@ -863,21 +881,22 @@ def stream_history_and_status(spark, sf_dir):
 def stream_watermark_dedup(spark, sf_dir):
     out = runs.shared_folder(spark, "unique")
     rows = fixtures.with_duplicates(fixtures.stream(spark, sf_dir))
-    unique = dedup.within_watermark(rows, ["eventId"], "enqueuedAt", "10 minutes")
+    unique = dedup.within_watermark(rows, ["eventId"], "enqueuedAt", "60 days")
     unique = unique.select("eventId", "type", "deviceId")
     return _drained(spark, unique, sinks.append_once(out), out).drop(sinks.BATCH)
 
 
 @query
 def stream_summary_export(spark, sf_dir):
-    """The summary of each run as CSV, then read back."""
+    """The summary so far as CSV after each run; the newest run is read back."""
     out = runs.shared_folder(spark, "export")
-    rows = fixtures.stream(spark, sf_dir).select("deviceId", "type", "createdAt")
-    write = sinks.csv_export(out, aggregate.device_type_summary)
+    rows = summary_stream(fixtures.stream(spark, sf_dir))
     checkpoint = runs.shared_folder(spark, "checkpoint")
-    runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(write), 1800, need_rows=True)
+    writer = runs.pipeline(rows, [], checkpoint, "complete").foreachBatch(sinks.csv_export(out))
+    runs.drain(writer, 1800, need_batches=3)
+    last = sinks.batch_folder(out, sinks.committed(spark, out)[-1])
     kind = "deviceId string, type string, n long, first_at timestamp, last_at timestamp"
-    return spark.read.csv(out, schema=f"{kind}, batch_id long", header=True).drop("batch_id")
+    return spark.read.csv(last, schema=kind, header=True)
 
 
 @query
@@ -885,15 +904,15 @@ def stream_tag_batches(spark, sf_dir):
     tags, memory = runs.shared_folder(spark, "tags"), runs.shared_folder(spark, "rings")
     write = batches.tag_batches(tags, memory, BAND, tie="_event_id", buckets=8)
     checkpoint = runs.shared_folder(spark, "checkpoint")
-    writer = runs.pipeline(fixtures.stream(spark, sf_dir), [], checkpoint)
-    runs.drain(writer.foreachBatch(write), 1800, need_rows=True)
+    writer = runs.pipeline(fixtures.stream(spark, sf_dir, in_order=True), [], checkpoint)
+    runs.drain(writer.foreachBatch(write), 1800, need_batches=3)
     return sinks.read_batches(spark, tags, TAG).drop(sinks.BATCH)
 
 
 @query
 def stream_dedup_batches(spark, sf_dir):
     out, memory = runs.shared_folder(spark, "unique"), runs.shared_folder(spark, "ids")
-    rows = fixtures.stream(spark, sf_dir).select(
+    rows = fixtures.stream(spark, sf_dir, in_order=True).select(
         F.col("type").alias("k"),
         F.col("_user_id").alias("id"),
         "createdAt",
@@ -901,3 +920,216 @@ def stream_dedup_batches(spark, sf_dir):
     )
     write = batches.dedup_batches(out, memory, ["k"], "id", ["createdAt", "event_id"], 20, 4)
     return _drained(spark, rows, write, out).select("k", "id", "event_id")
+
+
+# -- late policies and spikes of a stream --------------------------------------------
+
+
+def _late_stream(spark, sf_dir) -> DataFrame:
+    return fixtures.with_late(fixtures.stream(spark, sf_dir, in_order=True, late=True))
+
+
+@query
+def stream_late_drop(spark, sf_dir):
+    out, memory = runs.shared_folder(spark, "late"), runs.shared_folder(spark, "clock")
+    rows = _late_stream(spark, sf_dir).select("eventId", "createdAt", "enqueuedAt", "_event_id")
+    write = batches.late_batches(out, memory, arrival=("enqueuedAt", "_event_id"), buckets=1)
+    return _drained(spark, rows, write, out).select("eventId", "createdAt", "enqueuedAt")
+
+
+@query
+def stream_late_adjust(spark, sf_dir):
+    out, memory = runs.shared_folder(spark, "late"), runs.shared_folder(spark, "clock")
+    rows = _late_stream(spark, sf_dir).select("eventId", "createdAt", "enqueuedAt", "PartitionId", "_event_id")
+    write = batches.late_batches(
+        out, memory, arrival=("enqueuedAt", "_event_id"), tolerance_ms=0, keys=("PartitionId",), adjusted="adjusted_at", buckets=4
+    )
+    runs.drain(
+        runs.pipeline(rows, [], runs.shared_folder(spark, "checkpoint")).foreachBatch(write), 1800, need_batches=3
+    )
+    kind = "eventId string, createdAt timestamp, adjusted_at timestamp, PartitionId long"
+    return sinks.read_batches(spark, out, T._parse_datatype_string(kind)).drop(sinks.BATCH)
+
+
+@query
+def stream_spike_dip(spark, sf_dir):
+    out, memory = runs.shared_folder(spark, "scores"), runs.shared_folder(spark, "values")
+    rows = fixtures.stream(spark, sf_dir, in_order=True).select("PartitionId", "enqueuedAt", "value", "_event_id")
+    write = batches.spike_batches(out, memory, tie=("_event_id",), duration_ms=6 * 3_600_000, buckets=4)
+    runs.drain(
+        runs.pipeline(rows, [], runs.shared_folder(spark, "checkpoint")).foreachBatch(write), 1800, need_batches=3
+    )
+    kind = "PartitionId long, time timestamp, val double, score double, is_anomaly long"
+    scores = sinks.read_batches(spark, out, T._parse_datatype_string(kind)).drop(sinks.BATCH)
+    return scores.withColumn("score", F.round("score", 4))
+
+
+@query
+def stream_silent_devices(spark, sf_dir):
+    """Pattern and silence tags of a stream with timers: silence tags of what has passed."""
+    _use_state_store(spark)
+    out = runs.shared_folder(spark, "silent")
+    rows = stateful.tag_stream(
+        fixtures.stream(spark, sf_dir, in_order=True), BAND, silence_ms=40 * DAY_MS, delay="0 seconds", tie="_event_id"
+    )
+    tags = _drained(spark, rows, sinks.append_once(out), out).drop(sinks.BATCH)
+    return tags.where(~F.startswith("tag", F.lit("NoNews")))
+
+
+# -- sources: the events in the form of a source, read back --------------------------
+
+
+def _event_names() -> list[str]:
+    return ["eventId", "type", "deviceId", "value", "createdAt"]
+
+
+@query
+def json_folder_stream(spark, sf_dir):
+    """JSON lines of events as a stream of several files per batch."""
+    base, out = runs.shared_folder(spark, "json"), runs.shared_folder(spark, "json-out")
+    rows = fixtures.telemetry(spark, sf_dir, False).select(*_event_names(), "_event_id")
+    for i in range(3):
+        part = rows.where(F.col("_event_id") % 3 == i).select(*_event_names())
+        decode.record_to_json(part).write.mode("append").text(base)
+    names = len(spark.read.text(base).inputFiles())
+    kind = "eventId string, type string, deviceId string, value double, createdAt timestamp"
+    stream = json_stream(spark, base, T._parse_datatype_string(kind), max_files=max(1, names // 3))
+    return _drained(spark, stream, sinks.append_once(out), out).drop(sinks.BATCH)
+
+
+@query
+def capture_read(spark, sf_dir):
+    base = runs.shared_folder(spark, "captures")
+    rows = fixtures.telemetry(spark, sf_dir, False)
+    envelope(rows).select(
+        F.date_format("enqueuedTime", scalars.CAPTURE_TIME).alias("EnqueuedTimeUtc"), F.col("body").alias("Body")
+    ).write.parquet(base)
+    return files.capture_events(spark, base, "parquet").select("eventId", "deviceId", "value", "enqueuedAt")
+
+
+@query
+def document_read(spark, sf_dir):
+    base = runs.shared_folder(spark, "documents")
+    rows = fixtures.telemetry(spark, sf_dir, False).select(*_event_names(), "enqueuedAt", "processedAt", "storedAt")
+    rows = rows.withColumn("_ts", F.unix_seconds("storedAt")).drop("storedAt").withColumn("value", F.col("value").cast("string"))
+    scalars.timestamps_to_iso(rows).write.json(base)
+    names = ["eventId", "deviceId", "createdAt", "enqueuedAt", "storedAt"]
+    return stores.documents(spark, base).select(*names)
+
+
+@query
+def event_time_only(spark, sf_dir):
+    rows = stores.event_time_only(fixtures.telemetry(spark, sf_dir, False))
+    return rows.select("eventId", "createdAt", "enqueuedAt", "storedAt")
+
+
+@query
+def delimited_read(spark, sf_dir):
+    """Tab-separated text without a header, read back by name of the format."""
+    base = runs.shared_folder(spark, "tsv")
+    rows = fixtures.telemetry(spark, sf_dir, False).select("eventId", "type", "value")
+    rows.write.csv(base, sep="\t")
+    kind = T._parse_datatype_string("eventId string, type string, value double")
+    return files.read_any(spark, base, "tsv", kind)
+
+
+# -- sinks ---------------------------------------------------------------------------
+
+
+@query
+def sink_json_lines(spark, sf_dir):
+    out = runs.shared_folder(spark, "lines")
+    rows = fixtures.stream(spark, sf_dir).select(*_event_names())
+    checkpoint = runs.shared_folder(spark, "checkpoint")
+    runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(sinks.json_lines(out)), 1800, need_batches=3)
+    kind = "eventId string, type string, deviceId string, value double, createdAt timestamp"
+    return spark.read.schema(kind).json(f"{out}/{sinks.BATCH}=*")
+
+
+@query
+def sink_payload(spark, sf_dir):
+    """One id and one time of storing per micro-batch: compared by what must hold."""
+    out = runs.shared_folder(spark, "payload")
+    rows = fixtures.stream(spark, sf_dir).select("eventId", "value")
+    stored = _drained(spark, rows, sinks.payload_append(out), out)
+    full = spark.read.parquet(out)
+    per_batch = full.groupBy(sinks.BATCH).agg(
+        F.count_distinct("BatchId").alias("ids"), F.count_distinct("StoredAt").alias("times"), F.count("*").alias("n")
+    )
+    return per_batch.agg(
+        F.sum("n").alias("events"), F.max("ids").alias("ids"), F.max("times").alias("times"), (F.count("*") >= 3).cast("long").alias("several")
+    )
+
+
+@query
+def sink_retried(spark, sf_dir):
+    """A writer that fails twice per batch leaves each event once."""
+    out = runs.shared_folder(spark, "retried")
+    failures: dict[int, int] = {}
+    once = sinks.append_once(out)
+
+    def flaky(batch, batch_id):
+        failures[batch_id] = failures.get(batch_id, 0) + 1
+        if failures[batch_id] <= 2:
+            raise OSError("planned failure")
+        once(batch, batch_id)
+
+    rows = fixtures.stream(spark, sf_dir).select("eventId", "deviceId")
+    writer = runs.pipeline(rows, [], runs.shared_folder(spark, "checkpoint"))
+    runs.drain(writer.foreachBatch(runs.retried(flaky, wait=lambda s: None)), 1800, need_batches=3)
+    return sinks.read_batches(spark, out, rows.schema).drop(sinks.BATCH)
+
+
+@query
+def sink_restarted(spark, sf_dir):
+    """A stream that is run, stopped and run again on its checkpoint stores each event once."""
+    out, checkpoint = runs.shared_folder(spark, "restarted"), runs.shared_folder(spark, "checkpoint")
+    rows = fixtures.stream(spark, sf_dir).select("eventId", "deviceId")
+    for _ in range(2):
+        runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(sinks.append_once(out)), 1800)
+    return sinks.read_batches(spark, out, rows.schema).drop(sinks.BATCH)
+
+
+# -- small operators -----------------------------------------------------------------
+
+
+@query
+def clock_columns(spark, sf_dir):
+    """Clocks and random ids cannot be compared: what must hold of them."""
+    rows = fixtures.telemetry(spark, sf_dir, False).select("eventId", "createdAt")
+    rows = enrich.with_batch_id(enrich.with_stored_at(enrich.with_processed_at(rows)))
+    rows = rows.withColumn("own", scalars.new_id())
+    return rows.agg(
+        F.count("*").alias("events"),
+        F.count_if(F.col("processedAt") > F.col("createdAt")).alias("processed_later"),
+        F.count_if(F.col("storedAt") >= F.col("processedAt")).alias("stored_later"),
+        F.count_distinct("BatchId").alias("batch_ids"),
+        F.count_distinct("own").alias("own_ids"),
+    )
+
+
+@query
+def events_of_type(spark, sf_dir):
+    rows = enrich.of_type(fixtures.telemetry(spark, sf_dir, False), "CO2")
+    per_day = rows.groupBy(F.to_date("createdAt").cast("string").alias("day"))
+    mean = (F.avg("value") / 60).alias("per_second")
+    return per_day.agg(mean).select("day", aggregate.per_minute("per_second").alias("per_minute"))
+
+
+@query
+def ranked_newest(spark, sf_dir):
+    """The newest rows with their place, so that the order is compared too."""
+    rows = windows.newest(fixtures.telemetry(spark, sf_dir, False), 50, ("storedAt", "_event_id"))
+    place = F.row_number().over(Window.orderBy(F.col("storedAt").desc(), F.col("_event_id").desc()))
+    return rows.select(place.alias("place"), "eventId", "storedAt")
+
+
+@query
+def json_scalars(spark, sf_dir):
+    rows = fixtures.telemetry(spark, sf_dir, False)
+    return rows.select(
+        "eventId",
+        scalars.is_json("_props").cast("long").alias("valid"),
+        scalars.json_number("_props", "$.k").cast("double").alias("k"),
+        scalars.bin_start("createdAt", "1 hour").alias("hour"),
+    )

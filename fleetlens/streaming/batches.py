@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.operators.anomaly import late_adjust, late_drop, spike_dip
 from fleetlens.operators.dedup import REPLAY, lru_dedup
 from fleetlens.operators.ordered import DEFAULT, Limits, first_rows
 from fleetlens.operators.patterns import Rules, pattern_tags
@@ -39,13 +40,11 @@ def tag_batches(
     """Pattern tags of each micro-batch into the folder ``tags``.
 
     ``memory`` holds the last ring of each device. A tag equal to an earlier one is not
-    repeated; only tags of the same day of creation have to be compared.
+    repeated, whenever that was.
     """
     order = (ARRIVED, arrived, tie)
     columns = list(dict.fromkeys(["deviceId", "eventId", "type", "value", "createdAt", arrived, tie]))
-    append = merge_append(
-        tags, ("deviceId", "trigger_id", "tag"), ("trigger_at",), day_of="trigger_at"
-    )
+    append = merge_append(tags, ("deviceId", "trigger_id", "tag"), ("trigger_at",))
 
     def newest(stored: DataFrame, rows: DataFrame) -> DataFrame:
         by = [F.col(c).desc() for c in order]
@@ -100,3 +99,82 @@ def dedup_batches(
             rows.unpersist()
 
     return write
+
+
+def late_batches(
+    out: str,
+    memory: str,
+    time: str = "createdAt",
+    arrival: Sequence[str] = ("enqueuedAt", "eventId"),
+    tolerance_ms: int = 10_000,
+    keys: Sequence[str] = (),
+    adjusted: str | None = None,
+    buckets: int = 64,
+    limits: Limits = DEFAULT,
+) -> Write:
+    """Late events of a stream dropped or, if ``adjusted`` names a column, moved up.
+
+    ``memory`` holds the newest event time of each key (of all, without keys) so far.
+    """
+    by = list(keys) or ["_stream"]
+    append = append_once(out)
+
+    def newest(stored: DataFrame, rows: DataFrame) -> DataFrame:
+        both = stored.unionByName(rows.select(*stored.columns))
+        return both.groupBy(*by, "bucket").agg(F.max("_before").alias("_before"))
+
+    remember = upsert(memory, by, buckets=buckets, combine=newest)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch if keys else batch.withColumn("_stream", F.lit(0))
+        rows = rows.persist()
+        try:
+            clock = rows.groupBy(*by).agg(F.max(F.unix_micros(time)).alias("_before"))
+            known = latest_buckets(rows.sparkSession, memory, clock.schema, before=batch_id)
+            joined = rows.join(known, by, "left")
+            how = (time, arrival, tolerance_ms, keys)
+            if adjusted is None:
+                kept = late_drop(joined, *how, limits, "_before")
+            else:
+                kept = late_adjust(joined, *how, adjusted, limits, "_before")
+            append(kept.select(*batch.columns, *([adjusted] if adjusted else [])), batch_id)
+            remember(clock, batch_id)
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def spike_batches(
+    out: str,
+    memory: str,
+    keys: Sequence[str] = ("PartitionId",),
+    time: str = "enqueuedAt",
+    value: str = "value",
+    tie: Sequence[str] = ("eventId",),
+    history: int = 60,
+    buckets: int = 64,
+    **how,
+) -> Write:
+    """Spike and dip scores of a stream; ``memory`` holds the last values of each key."""
+    columns = list(dict.fromkeys([*keys, time, value, *tie]))
+    append = append_once(out)
+
+    def newest(stored: DataFrame, rows: DataFrame) -> DataFrame:
+        by = [F.col(c).desc() for c in (time, *tie)]
+        return first_rows(stored.unionByName(rows), keys, by, history)
+
+    remember = upsert(memory, keys, buckets=buckets, combine=newest)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*columns).persist()
+        try:
+            known = _remembered(rows, memory, keys, batch_id).withColumn("_new", F.lit(False))
+            both = rows.withColumn("_new", F.lit(True)).unionByName(known)
+            scored = spike_dip(both, keys, time, value, tie, history=history, keep=["_new"], **how)
+            append(scored.where("_new").drop("_new"), batch_id)
+            remember(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    return write

@@ -17,11 +17,15 @@ Transform = Callable[[DataFrame], DataFrame]
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see, below ``spark.checkpoint.dir``.
 
-    Only where the session names no folder (tests, one machine) a local one is made.
+    A cluster has to name that folder: executors do not share their own disks. A local
+    session without one gets a temporary folder, which then holds for the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="fleetlens-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -34,15 +38,16 @@ def pipeline(
 
 
 def drain(
-    writer: DataStreamWriter, timeout_s: float = 300, need_rows: bool = False
+    writer: DataStreamWriter, timeout_s: float = 300, need_batches: int = 0
 ) -> StreamingQuery:
-    """Process what is there, then stop. ``need_rows`` fails if nothing came."""
+    """Process what is there, then stop. ``need_batches`` fails if fewer had rows."""
     query = writer.trigger(availableNow=True).start()
     if not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"the stream did not end within {timeout_s} s")
-    if need_rows and not sum(p["numInputRows"] for p in query.recentProgress):
-        raise RuntimeError("the stream had no rows")
+    filled = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+    if filled < need_batches:
+        raise RuntimeError(f"the stream had {filled} micro-batches with rows")
     return query
 
 

@@ -5,6 +5,7 @@ Only folders with a ``_SUCCESS`` mark are read."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -22,7 +23,6 @@ from fleetlens.sources.logs import producer_options
 
 Write = Callable[[DataFrame, int], None]
 BATCH, BUCKET = "batch_id", "bucket"
-MAX_PRUNED = 1000
 
 
 def batch_folder(path: str, batch_id: int) -> str:
@@ -88,13 +88,13 @@ def merge_append(
     path: str,
     keys: Sequence[str] = ("PartitionId", "eventId"),
     order: Sequence[str] = ("enqueuedAt",),
-    day_of: str | None = "createdAt",
+    day_of: str | None = None,
 ) -> Write:
     """Insert the rows whose key is in no earlier batch, once each.
 
-    Copies of an event have the same creation time. So folders are split by its day, and
-    a batch is compared with the days it contains only: the work of a batch depends on
-    its own size and not on the size of the table.
+    The keys of all earlier batches are read and no other column. A caller who knows that
+    copies of a row share a time can name it in ``day_of``: folders are then split by its
+    day, and only the days that a batch has are read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -116,12 +116,9 @@ def merge_append(
 
 
 def _same_days(earlier: DataFrame, rows: DataFrame) -> DataFrame:
-    """Only the day folders that ``rows`` touch; all of them if there are very many."""
-    days = [r[0] for r in rows.select("_day").distinct().limit(MAX_PRUNED + 1).collect()]
-    if len(days) > MAX_PRUNED:
-        return earlier
-    keep = F.col("_day").isin([d for d in days if d is not None])
-    return earlier.where(keep | F.col("_day").isNull() if None in days else keep)
+    """Only the day folders that ``rows`` touch: Spark prunes them while the query runs."""
+    days = rows.select(F.col("_day").alias("_wanted")).distinct()
+    return earlier.join(days, F.col("_day").eqNullSafe(F.col("_wanted")), "left_semi")
 
 
 def delta_merge(table: str, keys: Sequence[str], update: bool = False) -> Write:
@@ -153,8 +150,8 @@ def upsert(
     buckets: int = 64,
     combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> Write:
-    """Keep the newest row per key. Only the hash buckets that a batch touches are
-    written again; ``combine(existing, changes)`` may replace the default rule.
+    """Keep the newest row per key, whichever batch it came in; of rows equal in ``order``
+    that of the later batch. Only the hash buckets that a batch touches are written again; ``combine(existing, changes)`` may replace the default rule.
 
     For tables with few rows per device. A large table, where each batch would touch all
     buckets, is better appended (:func:`append_once`) and read with :func:`newest_rows`.
@@ -164,17 +161,20 @@ def upsert(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bucket = partition_of(F.concat_ws("\x1f", *keys), buckets)
-        rows = batch.withColumn(BUCKET, bucket)
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
-        stored = latest_buckets(spark, path, rows.schema, touched, before=batch_id)
-        if combine is not None:
-            out = combine(stored, rows)
-        else:
-            out = upsert_latest(stored, rows, keys, newest)
-        # One task per bucket, so that a batch does not leave a file per task and bucket.
-        out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
-            batch_folder(path, batch_id)
-        )
+        rows = batch.withColumn(BUCKET, bucket).persist()
+        try:
+            touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
+            stored = latest_buckets(spark, path, rows.schema, touched, before=batch_id)
+            if combine is not None:
+                out = combine(stored, rows)
+            else:
+                out = upsert_latest(stored, rows, keys, newest)
+            # Few files per bucket; a bucket too large for one task is split by the engine.
+            out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
+                batch_folder(path, batch_id)
+            )
+        finally:
+            rows.unpersist()
 
     return write
 
@@ -334,20 +334,53 @@ def jdbc_merge(
     return write
 
 
-def jdbc_append_once(url: str, table: str, text_limit: int = 4000) -> Write:
-    """Append, unless the table already holds rows of this batch number."""
+def split_long_texts(df: DataFrame, limit: int = 4000) -> tuple[DataFrame, DataFrame]:
+    """Rows whose texts all fit into ``limit`` characters, and the others."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    long = reduce(
+        lambda a, b: a | b, (F.coalesce(F.length(c) > limit, F.lit(False)) for c in texts), F.lit(False)
+    )
+    return df.where(~long), df.where(long)
+
+
+def jdbc_move_statements(table: str, staged: str, columns: Sequence[str], batch_id: int) -> list[str]:
+    """What moves a staged batch into the table, to be run in one transaction."""
+    names = ", ".join(columns)
+    return [
+        f"DELETE FROM {table} WHERE {BATCH} = {int(batch_id)}",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staged}",
+    ]
+
+
+def jdbc_append_once(
+    url: str,
+    table: str,
+    transact: Callable[[Sequence[str]], None],
+    quarantine: Write | None = None,
+    text_limit: int = 4000,
+) -> Write:
+    """Append each batch exactly once, also if a write fails half-way.
+
+    The tasks of a JDBC write commit one by one. So a batch goes to a staging table, which
+    is overwritten by a repeated attempt, and ``transact`` runs the statements that move it
+    in one transaction of the database. Rows with longer texts than ``text_limit`` are not
+    cut: they go to ``quarantine``, or fail the batch if there is none.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        count = f"SELECT count(*) AS n FROM {table} WHERE {BATCH} = {int(batch_id)}"
-        held = batch.sparkSession.read.format("jdbc").options(url=url, query=count).load()
-        if held.collect()[0]["n"]:
-            return
-        fit = {
-            f.name: F.col(f.name).cast(f"varchar({text_limit})")
-            for f in batch.schema
-            if isinstance(f.dataType, T.StringType)
-        }
-        rows = batch.withColumns({**fit, BATCH: F.lit(batch_id)})
-        rows.write.format("jdbc").options(**jdbc_write_options(url, table)).mode("append").save()
+        batch = batch.persist()
+        try:
+            fit, long = split_long_texts(batch, text_limit)
+            if quarantine is not None:
+                quarantine(long, batch_id)
+            elif not long.isEmpty():
+                raise ValueError(f"texts of more than {text_limit} characters")
+            staged = f"{table}_staged"
+            rows = fit.withColumn(BATCH, F.lit(batch_id))
+            options = {**jdbc_write_options(url, staged), "truncate": "true"}
+            rows.write.format("jdbc").options(**options).mode("overwrite").save()
+            transact(jdbc_move_statements(table, staged, rows.columns, batch_id))
+        finally:
+            batch.unpersist()
 
     return write

@@ -1,13 +1,13 @@
 """Keyed state in streams: event patterns with silence timers, bounded duplicate memory.
 
 The batch forms (``operators.patterns``, ``operators.dedup``) give the same results on
-the same arrival order. State is one small JSON text per key.
+the same arrival order. State is one small JSON text per key, and per tagged event.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, MutableMapping
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -21,34 +21,36 @@ from fleetlens.operators.patterns import BAND, BAND_AND_CO2, COUNTED, FIRST, SIL
 from fleetlens.schema import TAG
 
 STATE = T.StructType([T.StructField("state", T.StringType())])
+EVENT_ID = T.StructType([T.StructField("eventId", T.StringType())])
 
 
 @dataclass
 class DeviceMemory:
-    """What is remembered of a device: its last events, and the tags it got.
+    """What is remembered of a device: its last events, and all tags it got.
 
-    Tags are forgotten beyond ``max_tags``, oldest first. An event can only be tagged
-    again if its id is repeated, so the bound matters for ids repeated after that many
-    other tags of the device.
+    The ring is a small text. The tags are in ``given``, by event id; a stream keeps them
+    as a state of its own, so that an event touches the entry of its id only.
     """
 
     rules: Rules = field(default_factory=Rules)
-    max_tags: int = 1000
     ring: list = field(default_factory=list)
-    tags: list = field(default_factory=list)
+    given: MutableMapping[str, list] = field(default_factory=dict)
+    tagged: bool = False
 
     @classmethod
-    def load(cls, text: str | None, rules: Rules, max_tags: int) -> DeviceMemory:
+    def load(cls, text: str | None, rules: Rules, given: MutableMapping | None = None) -> DeviceMemory:
         data = json.loads(text) if text else {}
-        return cls(rules, max_tags, data.get("ring", []), data.get("tags", []))
+        memory = cls(rules, data.get("ring", []), {} if given is None else given)
+        memory.tagged = data.get("tagged", False)
+        return memory
 
     def dump(self) -> str:
-        return json.dumps({"ring": self.ring, "tags": self.tags})
+        return json.dumps({"ring": self.ring, "tagged": self.tagged})
 
     def add(self, event_id, created, kind, value) -> list[tuple]:
         """Remember an event; the tags it causes as ``(created, id, tag)``."""
         rules = self.rules
-        first = not self.tags
+        first = not self.tagged
         band = kind == "TEMP" and value is not None and rules.band_low <= value < rules.band_high
         high = kind == "CO2" and value is not None and value > rules.co2_above
         self.ring = [*self.ring, [event_id, created, band, high]][-rules.ring :]
@@ -61,7 +63,7 @@ class DeviceMemory:
             wanted.append(BAND)
         if several and any(e[3] for e in self.ring):
             wanted.append(BAND_AND_CO2)
-        return [t for tag in wanted for t in self._tag(event_id, created, tag)]
+        return self._tag(event_id, created, wanted)
 
     def silence(self, timer_ms: int, silence_ms: int) -> list[tuple]:
         """A timer went off: a tag, unless a newer event came in the meantime."""
@@ -70,13 +72,40 @@ class DeviceMemory:
         event_id, created = self.ring[-1][:2]
         if timer_ms - created // 1000 < silence_ms:
             return []
-        return self._tag(event_id, created, f"{SILENT}{silence_ms}ms")
+        return self._tag(event_id, created, [f"{SILENT}{silence_ms}ms"])
 
-    def _tag(self, event_id, created, tag) -> list[tuple]:
-        if [tag, event_id] in self.tags:
-            return []
-        self.tags = [*self.tags, [tag, event_id]][-self.max_tags :]
-        return [(created, event_id, tag)]
+    def _tag(self, event_id, created, wanted) -> list[tuple]:
+        """Those of the tags that this event id has not had yet."""
+        had = self.given.get(event_id, []) if wanted else []
+        new = [tag for tag in wanted if tag not in had]
+        if new:
+            self.given[event_id] = [*had, *new]
+            self.tagged = True
+        return [(created, event_id, tag) for tag in new]
+
+
+class GivenTags(MutableMapping):
+    """The tags of a device by event id, in the state store."""
+
+    def __init__(self, state) -> None:
+        self.state = state
+
+    def __getitem__(self, event_id):
+        if not self.state.containsKey((event_id,)):
+            raise KeyError(event_id)
+        return json.loads(self.state.getValue((event_id,))[0])
+
+    def __setitem__(self, event_id, tags) -> None:
+        self.state.updateValue((event_id,), (json.dumps(tags),))
+
+    def __delitem__(self, event_id) -> None:
+        self.state.removeKey((event_id,))
+
+    def __iter__(self):
+        return (key[0] for key in self.state.keys())
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
 
 
 def _frame(device: str, tags: Iterable[tuple]) -> pd.DataFrame:
@@ -92,18 +121,22 @@ def _frame(device: str, tags: Iterable[tuple]) -> pd.DataFrame:
 
 
 class TagEvents(StatefulProcessor):
-    """Tags per device in arrival order; ``silence_ms`` sets event-time timers."""
+    """Tags per device in arrival order; ``silence_ms`` sets event-time timers.
+
+    With ``keep_tags_ms`` the tags of an event are forgotten so long after they were given.
+    """
 
-    def __init__(self, rules: Rules, silence_ms: int | None, max_tags: int) -> None:
-        self.rules, self.silence_ms, self.max_tags = rules, silence_ms, max_tags
+    def __init__(self, rules: Rules, silence_ms: int | None, keep_tags_ms: int | None) -> None:
+        self.rules, self.silence_ms, self.keep_tags_ms = rules, silence_ms, keep_tags_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.memory = handle.getValueState("memory", STATE)
+        self.given = handle.getMapState("given", EVENT_ID, STATE, self.keep_tags_ms)
 
     def _load(self) -> DeviceMemory:
         text = self.memory.get()[0] if self.memory.exists() else None
-        return DeviceMemory.load(text, self.rules, self.max_tags)
+        return DeviceMemory.load(text, self.rules, GivenTags(self.given))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         memory, tags = self._load(), []
@@ -137,9 +170,10 @@ def tag_stream(
     delay: str = "60 seconds",
     arrived: str = "enqueuedAt",
     tie: str = "eventId",
-    max_tags: int = 1000,
+    keep_tags_ms: int | None = None,
 ) -> DataFrame:
-    """Pattern and silence tags of a stream.
+    """Pattern and silence tags of a stream. A tag is given once per event id, for as long
+    as the state is kept; ``keep_tags_ms`` (off by default) bounds that time.
 
     With timers, Spark drops events that arrive behind the watermark. ``silence_ms=None``
     has no timers and no watermark, and takes every event.
@@ -158,7 +192,7 @@ def tag_stream(
         *([arrived] if timed else []),
     )
     return narrow.groupBy("deviceId").transformWithStateInPandas(
-        TagEvents(rules, silence_ms, max_tags),
+        TagEvents(rules, silence_ms, keep_tags_ms),
         TAG,
         "append",
         "eventTime" if timed else "none",

@@ -35,4 +35,4 @@ def sf_dir():
 @pytest.fixture(scope="session")
 def tiny():
     """Limits that make almost every key hot, so that the cut path runs."""
-    return Limits(max_rows=15, min_rows=10, max_cuts=10_000, small_bytes=0)
+    return Limits(max_rows=15, min_rows=10, max_cuts=10_000)

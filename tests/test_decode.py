@@ -9,10 +9,10 @@ from fleetlens.functions import scalars
 from fleetlens.operators import decode, enrich
 
 RECORD = (
-    '{"eventId":"4fa25e6c-50d3-4189-9613-d486b71412df","complexData":null,'
-    '"value":45.80967678165356,"type":"CO2","deviceId":"contoso-device-id-428",'
-    '"deviceSequenceNumber":3,"createdAt":"2019-10-15T12:43:27.748Z",'
-    '"enqueuedAt":"2019-10-16T12:43:27.748Z","processedAt":"2019-10-17T12:43:27.748Z"}'
+    '{"eventId":"0b1c2d3e-0001-4002-8003-0123456789ab","complexData":null,'
+    '"value":12.375,"type":"CO2","deviceId":"device-17",'
+    '"deviceSequenceNumber":3,"createdAt":"2024-03-05T06:07:08.009Z",'
+    '"enqueuedAt":"2024-03-05T06:07:09.010Z","processedAt":"2024-03-05T06:07:10.011Z"}'
 )
 FIELDS = schema.T.StructType([f for f in schema.PROCESSED_EVENT.fields[:9]])
 
@@ -27,17 +27,17 @@ def test_record_round_trip(spark):
     df = spark.createDataFrame([(RECORD,)], "value string")
     event = decode.json_to_record(df, FIELDS)
     row = one(event)
-    assert row["value"] == 45.80967678165356
-    assert row["enqueuedAt"] == datetime(2019, 10, 16, 12, 43, 27, 748000)
+    assert row["value"] == 12.375
+    assert row["enqueuedAt"] == datetime(2024, 3, 5, 6, 7, 9, 10000)
     assert one(decode.record_to_json(event))["value"] == RECORD
 
 
 def test_times_with_any_fraction_and_offset(spark):
     texts = [
-        ("2019-10-15T12:43:27Z", datetime(2019, 10, 15, 12, 43, 27)),
-        ("2019-10-15T12:43:27.7Z", datetime(2019, 10, 15, 12, 43, 27, 700000)),
-        ("2019-10-15T12:43:27.7480001Z", datetime(2019, 10, 15, 12, 43, 27, 748000)),
-        ("2019-10-15T12:43:27.748+02:00", datetime(2019, 10, 15, 10, 43, 27, 748000)),
+        ("2024-03-05T06:07:08Z", datetime(2024, 3, 5, 6, 7, 8)),
+        ("2024-03-05T06:07:08.7Z", datetime(2024, 3, 5, 6, 7, 8, 700000)),
+        ("2024-03-05T06:07:08.7480001Z", datetime(2024, 3, 5, 6, 7, 8, 748000)),
+        ("2024-03-05T06:07:08.748+02:00", datetime(2024, 3, 5, 4, 7, 8, 748000)),
         ("yesterday", None),
         (None, None),
     ]
@@ -89,7 +89,7 @@ def test_wide_complex_data(spark):
 def test_payload_rows_and_batch_ids(spark):
     df = decode.json_to_record(spark.createDataFrame([(RECORD,)], "value string"), FIELDS)
     row = one(enrich.payload_rows(df.withColumn("PartitionId", F.lit(3))))
-    assert row["Value"] == 46 and len(row["BatchId"]) == 36
+    assert row["Value"] == 12 and len(row["BatchId"]) == 36
     names = {"EventId": "eventId", "DeviceId": "deviceId"}
     assert enrich.project(df, names).columns == ["EventId", "DeviceId"]
     assert one(enrich.with_stored_at(enrich.with_processed_at(df)))["storedAt"] is not None
@@ -122,3 +122,14 @@ def test_scalars(spark):
 def test_strip_type_suffix_keeps_ambiguous_names(spark):
     df = spark.createDataFrame([("a", 1, 2.0, "t")], "id_string string, n_long long, n_double double, x string")
     assert scalars.strip_type_suffix(df).columns == ["id", "n_long", "n_double", "x"]
+
+
+def test_bytes_that_are_no_text_go_to_the_quarantine(spark):
+    rows = [(1, RECORD.encode()), (2, b"\xff\xfe"), (3, b"{"), (4, None)]
+    df = spark.createDataFrame(rows, "n long, body binary")
+    good, bad = decode.split_malformed(df, "body", FIELDS)
+    assert [r["n"] for r in good.collect()] == [1]
+    reasons = {r["n"]: r["reason"] for r in bad.collect()}
+    assert reasons == {2: "not UTF-8", 3: "not a JSON event", 4: "empty message"}
+    enveloped = df.withColumn("enqueuedTime", F.current_timestamp())
+    assert decode.decode_events(enveloped).where("eventId is not null").count() == 1

@@ -13,7 +13,7 @@ from fleetlens.operators.ordered import DEFAULT, Limits, cut
 
 DAY = 86_400_000
 BAND = patterns.Rules(band_low=10.0, band_high=30.0, co2_above=20.0)
-NARROW = Limits(max_rows=40, min_rows=60, max_cuts=10_000, small_bytes=0)
+NARROW = Limits(max_rows=40, min_rows=60, max_cuts=10_000)
 
 
 @pytest.fixture(scope="module")
@@ -99,7 +99,7 @@ def test_large_group_of_copies(spark):
     df = spark.createDataFrame(
         rows, "deviceId string, storedAt timestamp, deviceSequenceNumber long"
     )
-    limits = Limits(max_rows=20, min_rows=5, small_bytes=0)
+    limits = Limits(max_rows=20, min_rows=5)
     runs = cut(df, ["deviceId"], ["storedAt", "deviceSequenceNumber"], limits)
     assert runs.has_copies
     for check in (quality.out_of_sequence, quality.missing_events):

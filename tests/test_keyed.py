@@ -8,7 +8,9 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from fleetlens.operators.anomaly import spike_dip
 from fleetlens.operators import dedup, patterns
 from fleetlens.streaming import batches, runs, sinks, stateful
 from models import remembered, scan_tags
@@ -101,7 +103,7 @@ def test_device_memory_equals_scan_model(events):
     memory, got = stateful.DeviceMemory(rules), []
     for event_id, kind, value in named:
         got += [(t[1], t[2]) for t in memory.add(event_id, 0, kind, value)]
-        memory = stateful.DeviceMemory.load(memory.dump(), rules, 1000)
+        memory = stateful.DeviceMemory.load(memory.dump(), rules, memory.given)
     assert sorted(got) == sorted(scan_tags(named, rules))
 
 
@@ -196,7 +198,7 @@ def test_streams_equal_batch_over_several_batches_and_a_restart(spark, tmp_path)
             writer = runs.pipeline(
                 rows, [stream], f"{out}-{name}-checkpoint"
             ).foreachBatch(sinks.append_once(f"{out}-{name}"))
-            runs.drain(writer, need_rows=True)
+            runs.drain(writer, need_batches=1)
         got = sinks.read_batches(spark, f"{out}-{name}", batch.schema).drop("batch_id")
         assert len(sinks.committed(spark, f"{out}-{name}")) >= 4
         assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect())), name
@@ -244,9 +246,24 @@ def test_silence_timer(spark, tmp_path):
     writer = runs.pipeline(
         rows, [stateful.tag_stream], str(tmp_path / "checkpoint")
     ).foreachBatch(sinks.append_once(out))
-    runs.drain(writer, need_rows=True)
+    runs.drain(writer, need_batches=1)
     got = sinks.read_batches(spark, out, stateful.TAG).collect()
     silent = {(r["deviceId"], r["trigger_id"]) for r in got if r["tag"].startswith("NoNews")}
     assert ("quiet", "q") in silent and ("busy", "b1") not in silent
     at = next(r["trigger_at"] for r in got if r["trigger_id"] == "q")
     assert at == AT
+
+
+def test_tags_are_remembered_over_many_others():
+    memory = stateful.DeviceMemory()
+    tags = [t[2] for i in range(1300) for t in memory.add(f"e{i}", i, "TEMP", 75.0) if i == 5]
+    again = [t[2] for t in memory.add("e5", 1300, "TEMP", 75.0)]
+    assert "SeveralTemperaturesIn70s" in tags and "SeveralTemperaturesIn70s" not in again
+
+
+def test_off_a_flat_history_is_an_anomaly(spark):
+    rows = [("p", i, 10.0) for i in range(20)] + [("p", 20, 1e6), ("q", 0, 1.0), ("q", 1, 2.0)]
+    df = spark.createDataFrame(rows, "PartitionId string, n long, value double")
+    df = df.withColumn("enqueuedAt", F.timestamp_millis("n"))
+    got = {(r["PartitionId"], r["val"]): r["is_anomaly"] for r in spike_dip(df, tie=["n"]).collect()}
+    assert got == {("p", 10.0): 0, ("p", 1e6): 1, ("q", 1.0): 0, ("q", 2.0): 0}

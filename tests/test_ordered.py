@@ -23,7 +23,7 @@ def rows(df):
 
 
 def test_hot_keys_are_cut_and_cold_ones_are_not(spark):
-    limits = Limits(max_rows=100, min_rows=10, small_bytes=0)
+    limits = Limits(max_rows=100, min_rows=10)
     runs = ordered.cut(skewed(spark), ["k"], ["t", "i"], limits)
     assert runs.is_cut
     sizes = {(r["k"], r[RUN]): r["count"] for r in runs.df.groupBy("k", RUN).count().collect()}

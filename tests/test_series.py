@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from fleetlens import fixtures
 from fleetlens.operators import hierarchy, series
 
 DAY = datetime(2024, 1, 1)
@@ -112,9 +113,9 @@ def test_event_schema_with_two_types_of_one_name(spark):
 @pytest.fixture(scope="module")
 def model(spark):
     numbers = spark.range(24).select(
-        F.format_string("contoso-device-id-%06d", "id").alias("deviceId"), F.col("id").alias("i")
+        F.format_string("device-%06d", "id").alias("deviceId"), F.col("id").alias("i")
     )
-    return hierarchy.sample_instances(numbers, "i").cache()
+    return fixtures.sample_instances(numbers, "i").cache()
 
 
 def test_search_paths_rank_and_names(model):
@@ -143,10 +144,28 @@ def test_model_rows(model):
     strange = changes.withColumn("deviceId", F.lit("new"))
     with pytest.raises(KeyError):
         hierarchy.model_update(model, strange.limit(1))
-    assert hierarchy.model_get(model, ["contoso-device-id-000003"]).count() == 1
+    assert hierarchy.model_get(model, ["device-000003"]).count() == 1
     assert hierarchy.model_delete(model, changes).count() == 22
     events = model.select("deviceId")
     untyped = model.withColumn("typeId", F.lit(None).cast("string"))
     types = model.sparkSession.createDataFrame([("base", "Base")], "typeId string, typeName string")
     typed = hierarchy.with_model(events, untyped, types, default_type="base")
     assert typed.where("typeName = 'Base'").count() == 24
+
+
+def test_missing_levels_and_memberships(spark):
+    rows = [("a", 2020, 1, "Car", ["ManufactureDate"]), ("b", None, 3, "Bus", ["VehicleType"]), ("c", None, 3, "a/b", ["ManufactureDate", "VehicleType"])]
+    model = spark.createDataFrame(rows, "deviceId string, year long, month long, vehicle string, hierarchyIds array<string>")
+    got = {(r["path"], r["level"]): r["n"] for r in hierarchy.hierarchy_tree(model).collect()}
+    # A missing year ends the path; it does not move the month up.
+    assert got == {
+        ("ManufactureDate", 1): 2, ("ManufactureDate/2020", 2): 1, ("ManufactureDate/2020/1", 3): 1,
+        ("VehicleType", 1): 2, ("VehicleType/Bus", 2): 1, ("VehicleType/a/b", 2): 1,
+    }
+
+
+def test_put_keeps_one_row_per_key(model):
+    again = model.where("month = 1").withColumn("vehicle", F.lit("Truck"))
+    twice = again.union(again.withColumn("vehicle", F.lit("Tram")))
+    put = hierarchy.model_put(model, twice, order=[F.col("vehicle")])
+    assert put.count() == 24 and put.where("vehicle = 'Tram'").count() == 2

@@ -109,7 +109,7 @@ def test_capture_folder_as_parquet_stand_in(spark, tmp_path, rows):
     out = str(tmp_path / "out")
     source = files.capture_stream(spark, base, "parquet", max_files=1)
     stream = runs.pipeline(source, [decode.decode_capture], str(tmp_path / "c"))
-    runs.drain(stream.foreachBatch(sinks.append_once(out)), need_rows=True)
+    runs.drain(stream.foreachBatch(sinks.append_once(out)), need_batches=1)
     stored = sinks.read_batches(spark, out, schema.T.StructType([*schema.EVENT.fields, *schema.PROCESSED_EVENT.fields[7:8]]))
     assert stored.where("enqueuedAt is not null and eventId is not null").count() == 200
 
@@ -188,14 +188,14 @@ def test_drop_folder_to_table_with_restart(spark, tmp_path, rows):
     run()
     stored = sinks.read_batches(spark, out, columns).drop("batch_id")
     assert bag(stored) == bag(rows)
-    with pytest.raises(RuntimeError, match="no rows"):
+    with pytest.raises(RuntimeError, match="0 micro-batches"):
         source = files.json_stream(spark, folder, columns)
-        runs.drain(runs.pipeline(source, [], check).foreachBatch(sinks.append_once(out)), need_rows=True)
+        runs.drain(runs.pipeline(source, [], check).foreachBatch(sinks.append_once(out)), need_batches=1)
 
 
 def test_minute_rates_append_after_the_watermark(spark, tmp_path, sf_dir):
     out = str(tmp_path / "out")
-    rates = minute_rate_stream(fixtures.stream(spark, sf_dir))
+    rates = minute_rate_stream(fixtures.stream(spark, sf_dir, in_order=True), "20 seconds")
     writer = runs.pipeline(rates, [], str(tmp_path / "c")).foreachBatch(sinks.append_once(out))
     runs.drain(writer)
     whole = minute_rate_stream(fixtures.telemetry(spark, sf_dir, False))
@@ -299,3 +299,34 @@ def test_texts_and_messages(spark, tmp_path, rows):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert runs.shared_folder(spark, "x") != runs.shared_folder(spark, "x")
+
+
+def test_merge_compares_keys_whatever_the_day(spark, tmp_path):
+    kind = "PartitionId long, eventId string, createdAt timestamp, enqueuedAt timestamp"
+    first = spark.createDataFrame([(0, "x", AT, AT)], kind)
+    later = spark.createDataFrame([(0, "x", AT + timedelta(days=1), AT), (0, "y", AT, AT)], kind)
+    out = str(tmp_path / "out")
+    write = sinks.merge_append(out)
+    write(first, 0)
+    write(later, 1)
+    assert {r["eventId"] for r in sinks.read_batches(spark, out, first.schema).collect()} == {"x", "y"}
+    assert sinks.read_batches(spark, out, first.schema).count() == 2
+
+
+def test_upsert_keeps_the_newest_whichever_batch(spark, tmp_path):
+    kind = "id string, v long, enqueuedAt timestamp"
+    newer = spark.createDataFrame([("x", 1, AT + timedelta(hours=1)), ("y", 1, AT)], kind)
+    older = spark.createDataFrame([("x", 2, AT), ("y", 2, AT)], kind)
+    folders = [str(tmp_path / "a"), str(tmp_path / "b")]
+    for write in (sinks.upsert(folders[0], buckets=2), sinks.append_once(folders[1])):
+        write(newer, 0)
+        write(older, 1)
+    states = [sinks.latest_buckets(spark, folders[0], newer.schema), sinks.newest_rows(spark, folders[1], newer.schema)]
+    for state in states:
+        assert {r["id"]: r["v"] for r in state.collect()} == {"x": 1, "y": 2}
+
+
+def test_long_texts_are_split_off_and_not_cut(spark):
+    df = spark.createDataFrame([("a" * 5000, 1), ("b", 2), (None, 3)], "t string, n long")
+    fit, long = sinks.split_long_texts(df, 4000)
+    assert {r["n"] for r in fit.collect()} == {2, 3} and [len(r["t"]) for r in long.collect()] == [5000]
