@@ -190,7 +190,8 @@ def deduped(docs: DataFrame, min_words: int = 6, runs: str = "removed_runs", wor
     cuts = later_copies(docs, min_words).groupBy("doc_id").agg(F.collect_set("line").alias("_l"))
     gone, new = fresh(docs, "_gone"), fresh(docs, "_new")
     cuts = written(cuts.select("doc_id", F.col("_l").alias(gone)), "line-cuts")
-    joined = docs.join(cuts, "doc_id", "left").withColumn(new, _without("text", F.col(gone)))
+    # Always by shuffle: with a broadcast on small inputs only, their figures say nothing.
+    joined = docs.join(cuts.hint("merge"), "doc_id", "left").withColumn(new, _without("text", F.col(gone)))
     others = [F.col(new)["text"].alias("text") if c == "text" else F.col(c) for c in docs.columns]
     return joined.select(*others, F.col(new)["runs"].alias(runs), F.col(new)["words"].alias(words))
 
