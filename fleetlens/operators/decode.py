@@ -35,16 +35,17 @@ def explode_array(
     body: str = "body",
     arrived: str = "enqueuedTime",
     schema: T.StructType = PROCESSED_EVENT,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """One JSON array of events per message. A message with a single object also works.
 
     The events carry their own ``enqueuedAt``; the time of the outer envelope is when the
-    processed batch was stored.
+    processed batch was stored. ``keep`` names further columns of the message.
     """
     events = F.from_json(body_text(body), T.ArrayType(schema))
     return df.select(
-        F.explode(events).alias("event"), F.col(arrived).alias("storedAt")
-    ).select("event.*", "storedAt")
+        F.explode(events).alias("event"), F.col(arrived).alias("storedAt"), *keep
+    ).select("event.*", "storedAt", *keep)
 
 
 def explode_lines(

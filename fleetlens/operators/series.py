@@ -185,11 +185,13 @@ def series_aggregate(
     fill: bool = False,
     key: str = "deviceId",
     time: str = "createdAt",
+    tie: Sequence[str] = ("eventId",),
 ) -> DataFrame:
     """Variables aggregated per series and interval.
 
     ``fill`` adds a row of nulls for each interval without events of a series that has
-    some in the span.
+    some in the span. A numeric variable with an interpolation has, in intervals where it
+    has no value of its own, the interpolated one at the start of the interval.
     """
     step = micros(interval)
     chosen = _pick(variables, overrides, names)
@@ -201,7 +203,13 @@ def series_aggregate(
         found = interval_grid(found.select(key), key, span, step).join(
             found, [key, "_i"], "left"
         )
-    return found.select(key, interval_start("_i", step).alias("ts"), *chosen)
+    found = found.select(key, interval_start("_i", step).alias("ts"), *chosen)
+    for n, v in chosen.items():
+        if getattr(v, "interpolation", None) is not None:
+            between = series_interpolate(df, span, interval, v, ids, where, key, time, tie, "_between")
+            found = found.join(between, [key, "ts"], "left")
+            found = found.withColumn(n, F.coalesce(n, "_between")).drop("_between")
+    return found
 
 
 def series_categories(

@@ -689,3 +689,20 @@ FROM telemetry QUALIFY place <= 50""",
     + """
 SELECT eventId, CAST(json_valid(props) AS BIGINT) AS valid, k, date_trunc('hour', createdAt) AS hour FROM telemetry""",
 }
+
+ORACLES |= {
+    "hot_cold_move": ORACLES["hot_to_cold"],
+    "series_aggregate_interpolated": f"""
+WITH between AS ({ORACLES["series_interpolate"]}),
+bins AS (
+  SELECT DISTINCT 'device-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS deviceId,
+         time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') AS ts, event_id, event_type, value
+  FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-15'),
+means AS (
+  SELECT deviceId, ts, avg(value) FILTER (WHERE event_type = 'view') AS mean FROM bins GROUP BY 1, 2),
+grid AS (
+  SELECT deviceId, ts FROM (SELECT DISTINCT deviceId FROM bins),
+         generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-14 12:00:00', INTERVAL 12 HOUR) AS g(ts))
+SELECT deviceId, ts, round(coalesce(mean, b.value), 6) AS value
+FROM grid LEFT JOIN means USING (deviceId, ts) LEFT JOIN between b USING (deviceId, ts)""",
+}

@@ -326,12 +326,14 @@ def array_round_trip(spark, sf_dir):
     """Packed into JSON arrays of up to 100 events and unpacked again."""
     rows = fixtures.telemetry(spark, sf_dir, False)
     names = ["eventId", "complexData", "value", "type", "deviceId", "createdAt", "enqueuedAt"]
-    packed = sinks.array_messages(rows.select(*names), 100)
+    packed = sinks.array_messages(rows.select(*names), 100, key="deviceId")
     sent = packed.select(
         F.col("value").cast("binary").alias("body"),
+        F.col("key").alias("message_key"),
         F.lit(None).cast("timestamp").alias("enqueuedTime"),
     )
-    out = decode.explode_array(sent).select(*names)
+    # The envelope's key has to be the device of every event in the message.
+    out = decode.explode_array(sent, keep=["message_key"]).where("message_key = deviceId").select(*names)
     return out.withColumn("k", F.col("complexData")["k"]).drop("complexData")
 
 
@@ -1133,3 +1135,26 @@ def json_scalars(spark, sf_dir):
         scalars.json_number("_props", "$.k").cast("double").alias("k"),
         scalars.bin_start("createdAt", "1 hour").alias("hour"),
     )
+
+
+@query
+def hot_cold_move(spark, sf_dir):
+    hot, cold = runs.shared_folder(spark, "hot"), runs.shared_folder(spark, "cold")
+    rows = fixtures.telemetry(spark, sf_dir, False).select("eventId", "deviceId", "processedAt", "_event_id")
+    sinks.move_newest(rows, hot, cold, 0, 1000, ("processedAt", "_event_id"))
+    parts = [
+        sinks.read_batches(spark, path, rows.schema).withColumn("tier", F.lit(tier))
+        for path, tier in ((hot, "hot"), (cold, "cold"))
+    ]
+    return parts[0].unionByName(parts[1]).select("eventId", "deviceId", "processedAt", "tier")
+
+
+@query
+def series_aggregate_interpolated(spark, sf_dir):
+    variable = series.NumericVariable(
+        F.col("value"),
+        where=F.col("type") == "TEMP",
+        interpolation=series.Interpolation(series.LINEAR, timedelta(days=3)),
+    )
+    rows = fixtures.telemetry(spark, sf_dir, False)
+    return series.series_aggregate(rows, SPAN, "PT12H", {"value": variable}, fill=True, tie=("_event_id",))

@@ -19,6 +19,7 @@ from fleetlens.operators.decode import record_to_json
 from fleetlens.operators.dedup import not_in, staging_dedup, upsert_latest
 from fleetlens.operators.device import status_rows, update_status
 from fleetlens.operators.ordered import first_rows
+from fleetlens.operators.windows import split_newest
 from fleetlens.sources.logs import producer_options
 
 Write = Callable[[DataFrame, int], None]
@@ -260,18 +261,38 @@ def to_log(df: DataFrame, params: Mapping[str, str], key: str = "deviceId") -> D
     return keyed_json(df, key).writeStream.format("kafka").options(**producer_options(params))
 
 
-def array_messages(df: DataFrame, size: int = 1000) -> DataFrame:
-    """JSON-array messages of at most ``size`` events, packed inside each task."""
+def array_messages(df: DataFrame, size: int = 1000, key: str | None = None) -> DataFrame:
+    """JSON-array messages of at most ``size`` events, packed inside each task.
+
+    With ``key`` a message holds events of one key only and comes as ``(key, value)``, so
+    that a log can partition by it. Rows are taken as they lie: after a repartition by the
+    key the messages are as full as they can be.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            groups: dict = {}
+            keys = batch.column(1).to_pylist() if key else [None] * batch.num_rows
+            for k, text in zip(keys, batch.column(0).to_pylist(), strict=True):
+                groups.setdefault(k, []).append(text)
             packed = [
-                "[" + ",".join(texts[i : i + size]) + "]" for i in range(0, len(texts), size)
+                (k, "[" + ",".join(texts[i : i + size]) + "]")
+                for k, texts in groups.items()
+                for i in range(0, len(texts), size)
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.string())], ["value"])
+            columns = [pa.array([p[i] for p in packed], pa.string()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "value"])
+
+    rows = record_to_json(df) if key is None else keyed_records(df, key)
+    messages = rows.mapInArrow(pack, "key string, value string")
+    return messages if key else messages.select("value")
 
-    return record_to_json(df).mapInArrow(pack, "value string")
+
+def keyed_records(df: DataFrame, key: str) -> DataFrame:
+    """One JSON record per event, and its key."""
+    options = {"timestampFormat": ISO_MILLIS, "timeZone": "UTC", "ignoreNullFields": "false"}
+    record = F.to_json(F.struct(*df.columns), options)
+    return df.select(record.alias("value"), F.col(key).cast("string").alias("key"))
 
 
 def json_lines(path: str) -> Write:
@@ -283,6 +304,20 @@ def json_lines(path: str) -> Write:
     return write
 
 
+def move_newest(
+    df: DataFrame, hot: str, cold: str, batch_id: int, n: int = 10_000, order: Sequence[str] = ("processedAt", "eventId")
+) -> None:
+    """Move the newest ``n`` rows of ``df`` to the cold folder; the others become the hot one.
+
+    Both parts are written under the number of the move and can be written again; readers
+    of the hot folder take its newest finished move.
+    """
+    marked = split_newest(df, n, order, "_tier")
+    for path, tier in ((cold, "cold"), (hot, "hot")):
+        rows = marked.where(F.col("_tier") == tier).drop("_tier")
+        rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+
 def csv_export(path: str, summary: Callable[[DataFrame], DataFrame] | None = None) -> Write:
     """CSV per run, e.g. of a summary; the run number tells repeated exports apart."""
 
