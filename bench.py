@@ -16,12 +16,15 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from fleetlens import fixtures, schema  # noqa: E402
-from fleetlens.operators import decode  # noqa: E402
+from fleetlens.operators import anomaly, decode, patterns  # noqa: E402
+from fleetlens.operators.ordered import Limits  # noqa: E402
 from fleetlens.plans.queries import BAND, QUERIES, envelope  # noqa: E402
 from fleetlens.session import local_session  # noqa: E402
 from fleetlens.sources.files import folder_stream  # noqa: E402
-from fleetlens.streaming import runs, sinks, stateful  # noqa: E402
+from fleetlens.streaming import batches, runs, sinks, stateful  # noqa: E402
 
 HEADLINE = (
     "minute_rate_latency",
@@ -114,6 +117,32 @@ def main() -> None:
             "state_rows": operator["numRowsTotal"],
         }
 
+    # Merges and keyed micro-batches, with a third of the events on one device.
+    skewed = fixtures.events(spark, sf_dir).withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("user_id"))
+    )
+    source = runs.shared_folder(spark, "bench-skew")
+    fixtures.view(skewed, False).drop("complexData").repartition(FILES).write.parquet(source)
+    kind = spark.read.parquet(source).schema
+    path = lambda: runs.shared_folder(spark, "bench-out")
+    writes = {
+        "merge_append": sinks.merge_append(path()),
+        "upsert": sinks.upsert(path(), ("eventId",), buckets=16),
+        "tag_batches": batches.tag_batches(path(), path(), BAND, tie="_event_id", buckets=16),
+        "late_batches": batches.late_batches(path(), path(), arrival=("enqueuedAt", "_event_id"), buckets=1),
+    }
+    micro = {}
+    for name, write in writes.items():
+        writer = runs.pipeline(folder_stream(spark, source, kind, "parquet", max_files=4), [], path())
+        micro[name] = round(events / timed(lambda w=writer, f=write: runs.drain(w.foreachBatch(f))))
+    few = Limits(max_rows=max(events // 20, 1000), min_rows=100)
+    skew = {}
+    for name, make in {
+        "late_drop": lambda: anomaly.late_drop(spark.read.parquet(source), arrival=("enqueuedAt", "_event_id"), limits=few),
+        "pattern_tags": lambda: patterns.pattern_tags(spark.read.parquet(source), ("enqueuedAt", "_event_id"), BAND, few),
+    }.items():
+        skew[name] = round(timed(lambda m=make: m().write.format("noop").mode("overwrite").save()), 3)
+
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -126,6 +155,8 @@ def main() -> None:
                 "events": events,
                 "ingest_events_per_second": ingest,
                 "stateful_streams": states,
+                "skewed_micro_batches_events_per_second": micro,
+                "skewed_cut_seconds": skew,
             }
         )
     )

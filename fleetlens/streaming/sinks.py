@@ -150,10 +150,14 @@ def upsert(
     order: Sequence[Column] | None = None,
     buckets: int = 64,
     combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    snapshot_every: int = 100,
 ) -> Write:
     """Keep the newest row per key, whichever batch it came in; of rows equal in ``order``
     that of the later batch. Only the hash buckets that a batch touches are written again; ``combine(existing, changes)`` may replace the default rule.
 
+    Every ``snapshot_every``-th batch writes all buckets, and what lies before the last such
+    batch is deleted. So the folders to look through do not grow with the age of the table.
+
     For tables with few rows per device. A large table, where each batch would touch all
     buckets, is better appended (:func:`append_once`) and read with :func:`newest_rows`.
     """
@@ -164,7 +168,9 @@ def upsert(
         bucket = partition_of(F.concat_ws("\x1f", *keys), buckets)
         rows = batch.withColumn(BUCKET, bucket).persist()
         try:
-            touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
+            touched = None
+            if batch_id % snapshot_every:
+                touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
             stored = latest_buckets(spark, path, rows.schema, touched, before=batch_id)
             if combine is not None:
                 out = combine(stored, rows)
@@ -174,12 +180,24 @@ def upsert(
             out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
                 batch_folder(path, batch_id)
             )
+            _drop_before(spark, path, (batch_id - 1) // snapshot_every * snapshot_every)
         finally:
             rows.unpersist()
 
     return write
 
 
+def _drop_before(spark: SparkSession, path: str, snapshot: int) -> None:
+    """Delete the batches before a snapshot that lies before the current batch."""
+    done = committed(spark, path)
+    if snapshot not in done:
+        return
+    for n in done:
+        if n < snapshot:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, n))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def latest_buckets(
     spark: SparkSession,
     path: str,

@@ -330,3 +330,15 @@ def test_long_texts_are_split_off_and_not_cut(spark):
     df = spark.createDataFrame([("a" * 5000, 1), ("b", 2), (None, 3)], "t string, n long")
     fit, long = sinks.split_long_texts(df, 4000)
     assert {r["n"] for r in fit.collect()} == {2, 3} and [len(r["t"]) for r in long.collect()] == [5000]
+
+
+def test_upserted_folders_do_not_pile_up(spark, tmp_path):
+    kind, out = "id string, v long, enqueuedAt timestamp", str(tmp_path / "out")
+    write = sinks.upsert(out, buckets=2, snapshot_every=3)
+    for n in range(11):
+        batch = spark.createDataFrame([(f"k{n % 4}", n, AT + timedelta(hours=n)), (f"only{n}", n, AT)], kind)
+        write(batch, n)
+        write(batch, n)  # a replay
+        assert len(sinks.committed(spark, out)) <= 6
+    state = {r["id"]: r["v"] for r in sinks.latest_buckets(spark, out, batch.schema).collect()}
+    assert state == {f"k{k}": max(n for n in range(11) if n % 4 == k) for k in range(4)} | {f"only{n}": n for n in range(11)}
