@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm import balltree, cotrain, langid, licences, lines, mixing, packing, queries, rules, simhash, warc
 from fleetlens.llm.shared import components, running_before, written
+from oracle import connect, difference
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, n string, rank int"
 LONG = "wort und wert " * 20_000
@@ -437,6 +438,14 @@ def test_top_k(spark, shape):
     assert balltree.top_k(df.limit(0)).count() == 0
 
 
+# ---- SQL
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_sql(spark, sf_dir, name):
+    with connect(sf_dir) as db:
+        assert difference(queries.QUERIES[name](spark, sf_dir), db, queries.ORACLES[name]) is None
+
+
 # ---- the pipeline
 
 def test_pipeline_stages(spark, sf_dir):
