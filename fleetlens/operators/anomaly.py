@@ -40,13 +40,16 @@ def late_drop(
     keys: Sequence[str] = (),
     limits: Limits = DEFAULT,
     before: str | None = None,
+    late: bool = False,
 ) -> DataFrame:
-    """Drop events older than the newest event time seen so far minus the tolerance.
+    """Drop events older than the newest event time seen so far minus the tolerance; or,
+    with ``late``, keep these only.
 
     ``keys`` gives each of them a clock of its own, e.g. one per source partition.
     """
     rows, accepted = _behind(df, keys, time, arrival, tolerance_ms, limits, before)
-    return rows.where(F.unix_micros(time) >= accepted).drop("_newest")
+    on_time = F.unix_micros(time) >= accepted
+    return rows.where(~on_time if late else on_time).drop("_newest")
 
 
 def late_adjust(

@@ -706,3 +706,7 @@ grid AS (
 SELECT deviceId, ts, round(coalesce(mean, b.value), 6) AS value
 FROM grid LEFT JOIN means USING (deviceId, ts) LEFT JOIN between b USING (deviceId, ts)""",
 }
+
+ORACLES["stream_late_side"] = ORACLES["stream_late_drop"].replace(
+    "createdAt >= newest", "createdAt < newest"
+)

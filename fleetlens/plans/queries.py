@@ -1158,3 +1158,14 @@ def series_aggregate_interpolated(spark, sf_dir):
     )
     rows = fixtures.telemetry(spark, sf_dir, False)
     return series.series_aggregate(rows, SPAN, "PT12H", {"value": variable}, fill=True, tie=("_event_id",))
+
+
+@query
+def stream_late_side(spark, sf_dir):
+    """The events that the late policy drops, from its side output."""
+    out, memory = runs.shared_folder(spark, "late"), runs.shared_folder(spark, "clock")
+    side = runs.shared_folder(spark, "late-side")
+    rows = _late_stream(spark, sf_dir).select("eventId", "createdAt", "enqueuedAt", "_event_id")
+    write = batches.late_batches(out, memory, arrival=("enqueuedAt", "_event_id"), buckets=1, side=side)
+    _drained(spark, rows, write, out)
+    return sinks.read_batches(spark, side, rows.schema).select("eventId", "createdAt", "enqueuedAt")

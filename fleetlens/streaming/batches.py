@@ -111,10 +111,11 @@ def late_batches(
     adjusted: str | None = None,
     buckets: int = 64,
     limits: Limits = DEFAULT,
+    side: str | None = None,
 ) -> Write:
     """Late events of a stream dropped or, if ``adjusted`` names a column, moved up.
 
-    ``memory`` holds the newest event time of each key (of all, without keys) so far.
+    Dropped events go to the folder ``side`` if one is given. ``memory`` holds the newest event time of each key (of all, without keys) so far.
     """
     by = list(keys) or ["_stream"]
     append = append_once(out)
@@ -135,6 +136,9 @@ def late_batches(
             how = (time, arrival, tolerance_ms, keys)
             if adjusted is None:
                 kept = late_drop(joined, *how, limits, "_before")
+                if side is not None:
+                    late = late_drop(joined, *how, limits, "_before", late=True)
+                    append_once(side)(late.select(*batch.columns), batch_id)
             else:
                 kept = late_adjust(joined, *how, adjusted, limits, "_before")
             append(kept.select(*batch.columns, *([adjusted] if adjusted else [])), batch_id)
