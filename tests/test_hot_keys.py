@@ -104,3 +104,17 @@ def test_large_group_of_copies(spark):
     assert runs.has_copies
     for check in (quality.out_of_sequence, quality.missing_events):
         assert check(df, limits).collect() == check(df).collect()
+
+
+def test_one_hot_key_is_cut_however_small_its_files(spark):
+    rows = spark.range(3_000_000).select(F.lit(1).alias("k"), F.col("id").alias("at"))
+    runs = cut(rows, ["k"], ["at"])
+    assert runs.is_cut
+    sizes = [r["count"] for r in runs.df.groupBy("_run").count().collect()]
+    assert sum(sizes) == 3_000_000 and max(sizes) < 2_000_000
+
+
+def test_too_many_neighbours_are_refused_for_small_inputs_too(spark):
+    rows = spark.range(10).select(F.lit(1).alias("k"), F.col("id").alias("at"))
+    with pytest.raises(ValueError, match="neighbours"):
+        cut(rows, ["k"], ["at"], Limits(min_rows=5)).with_neighbours(before=6)
