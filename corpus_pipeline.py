@@ -24,8 +24,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.one_of_each(docs, shingle=5)
+    """One document of each group of near copies stays: fingerprints within three bits."""
+    return simhash.one_of_each(docs, shingle=5, radius=3)
 
 
 #: Target weights that are not 1: English is more than the other languages.

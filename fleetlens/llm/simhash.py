@@ -2,12 +2,13 @@
 
 A fingerprint is cut into 32 segments of two bits, and each segment is counted. The
 Manhattan distance of two count vectors never exceeds the number of differing bits. The
-32 axes form ``radius + 3`` groups; vectors within ``radius`` differ in at most
-``radius`` groups, hence agree on some three. Each choice of three groups is a grid, and
-pairs of one cell are compared: first by Manhattan distance, then by the bits themselves.
-Cells with more than ``cell_rows`` fingerprints are cut again by exact bits, with all but
-``radius`` of twelve blocks held equal; such a cell can hold 4096 fingerprints at most
-(for a radius of two), so no pair is lost and no task grows with a group of copies.
+32 axes form groups, ``radius`` of them and as many again as keep half of the axes
+together (three at least); vectors within ``radius`` differ in at most ``radius`` groups,
+hence agree on all the others of some choice. Each choice is a grid, and pairs of one cell
+are compared: first by Manhattan distance, then by the bits themselves. Cells with more
+than ``cell_rows`` fingerprints are cut again by exact bits, with all but ``radius`` of
+``6 * radius`` blocks held equal, which leaves twelve bits open: such a cell can hold 4096
+fingerprints at most, so no pair is lost and no task grows with a group of copies.
 
 Equal fingerprints are united before the search; copies never meet in pairs.
 """
@@ -153,7 +154,7 @@ def near_links(fps: DataFrame, radius: int = 2, cell_rows: int = 2048) -> DataFr
     Pairs already connected through others of their cell may be left out; connected
     components are those of all pairs.
     """
-    cells = _cells(fps, counts(F.col("fp")), _masks(radius + 3, radius, 2))
+    cells = _cells(fps, counts(F.col("fp")), _masks(radius + max(3, radius), radius, 2))
     sizes = written(
         cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).where("n > 1"), "simhash-cells"
     )
@@ -162,7 +163,7 @@ def near_links(fps: DataFrame, radius: int = 2, cell_rows: int = 2048) -> DataFr
     crowded = written(shared.where(F.col("n") > cell_rows).select("fp").distinct(), "simhash-crowded")
     if crowded.isEmpty():
         return links
-    fine = _cells(crowded, F.col("fp"), _masks(12, radius, 1))
+    fine = _cells(crowded, F.col("fp"), _masks(min(64, 6 * radius), radius, 1))
     pairs = fine.groupBy("grid", "cell").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     return links.union(_searched(fine.join(pairs, ["grid", "cell"]), radius))
 
@@ -195,13 +196,13 @@ def near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, cell_rows: i
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 2) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame:
     """``docs`` without near copies: of each component the document with the smallest id.
 
     All columns stay as they are. Rows without id stay. Repeated rows of a kept id count
     as copies: one of them stays.
     """
-    found = near_copies(docs, shingle, radius)
+    found = near_copies(docs, shingle, radius, cell_rows=4096)
     keep = found.where("doc_id = component_id").select("doc_id").distinct()
     has_id = docs.where(F.col("doc_id").isNotNull())
     kept = has_id.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -107,18 +107,19 @@ def test_segment_counts_bound_the_distance(spark):
 
 
 @pytest.mark.parametrize("cell_rows", [2, 2048])
-def test_links_find_all_near_pairs(spark, cell_rows):
+@pytest.mark.parametrize("radius", [2, 3])
+def test_links_find_all_near_pairs(spark, cell_rows, radius):
     rng = random.Random(4)
     fps = {rng.getrandbits(64) for _ in range(150)}
     for fp in list(fps)[:60]:
         for _ in range(6):
-            for _ in range(rng.randint(1, 3)):
+            for _ in range(rng.randint(1, radius + 1)):
                 fp ^= 1 << rng.randrange(64)
             fps.add(fp)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = written(spark.createDataFrame([(f,) for f in signed], "fp long"), "fps")
-    got = {r.node: r.root for r in components(simhash.near_links(df, 2, cell_rows)).collect()}
-    want = [(a, b) for a, b in combinations(signed, 2) if ((a ^ b) % (1 << 64)).bit_count() <= 2]
+    got = {r.node: r.root for r in components(simhash.near_links(df, radius, cell_rows)).collect()}
+    want = [(a, b) for a, b in combinations(signed, 2) if ((a ^ b) % (1 << 64)).bit_count() <= radius]
     parent = {f: f for f in signed}
 
     def top(x):
@@ -460,7 +461,7 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r.doc_id: r.text for r in cut.collect()} == {d: t for d, t in brute_cut(rows, 6).items() if words_of(t)}
     once = written(corpus_pipeline.near_dedup(spark, cut, sf_dir), "p")
     prints = {r.doc_id: brute_fingerprint(r.text, 5) for r in cut.collect()}
-    alone = {d for d in prints if not any(e < d and (prints[d] ^ prints[e]).bit_count() <= 2 for e in prints)}
+    alone = {d for d in prints if not any(e < d and (prints[d] ^ prints[e]).bit_count() <= 3 for e in prints)}
     assert {r.doc_id for r in once.collect()} == alone
     mixed = written(corpus_pipeline.source_mixing(spark, once, sf_dir), "p")
     assert mixed.columns == docs.columns and 0 < mixed.count() < once.count()
