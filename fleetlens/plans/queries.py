@@ -950,7 +950,7 @@ def stream_late_adjust(spark, sf_dir):
         runs.pipeline(rows, [], runs.shared_folder(spark, "checkpoint")).foreachBatch(write), 1800, need_batches=3
     )
     kind = "eventId string, createdAt timestamp, adjusted_at timestamp, PartitionId long"
-    return sinks.read_batches(spark, out, T._parse_datatype_string(kind)).drop(sinks.BATCH)
+    return sinks.read_batches(spark, out, T.StructType.fromDDL(kind)).drop(sinks.BATCH)
 
 
 @query
@@ -962,7 +962,7 @@ def stream_spike_dip(spark, sf_dir):
         runs.pipeline(rows, [], runs.shared_folder(spark, "checkpoint")).foreachBatch(write), 1800, need_batches=3
     )
     kind = "PartitionId long, time timestamp, val double, score double, is_anomaly long"
-    scores = sinks.read_batches(spark, out, T._parse_datatype_string(kind)).drop(sinks.BATCH)
+    scores = sinks.read_batches(spark, out, T.StructType.fromDDL(kind)).drop(sinks.BATCH)
     return scores.withColumn("score", F.round("score", 4))
 
 
@@ -995,7 +995,7 @@ def json_folder_stream(spark, sf_dir):
         decode.record_to_json(part).write.mode("append").text(base)
     names = len(spark.read.text(base).inputFiles())
     kind = "eventId string, type string, deviceId string, value double, createdAt timestamp"
-    stream = json_stream(spark, base, T._parse_datatype_string(kind), max_files=max(1, names // 3))
+    stream = json_stream(spark, base, T.StructType.fromDDL(kind), max_files=max(1, names // 3))
     return _drained(spark, stream, sinks.append_once(out), out).drop(sinks.BATCH)
 
 
@@ -1031,7 +1031,7 @@ def delimited_read(spark, sf_dir):
     base = runs.shared_folder(spark, "tsv")
     rows = fixtures.telemetry(spark, sf_dir, False).select("eventId", "type", "value")
     rows.write.csv(base, sep="\t")
-    kind = T._parse_datatype_string("eventId string, type string, value double")
+    kind = T.StructType.fromDDL("eventId string, type string, value double")
     return files.read_any(spark, base, "tsv", kind)
 
 
