@@ -14,7 +14,6 @@ shard, so what is merged stays small.
 from __future__ import annotations
 
 import heapq
-import io
 from collections.abc import Iterator
 
 import numpy as np
