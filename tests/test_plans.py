@@ -6,9 +6,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from fleetlens.plans.queries import QUERIES
 
-BATCH = sorted(n for n in contract.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 IN_PYTHON = {"lru_dedup", "array_round_trip"}
 # One ordered sequence over the whole input; cut into runs once the input is large.
 ONE_SEQUENCE = {"late_drop", "late_adjust"}
@@ -17,7 +17,7 @@ ONE_SEQUENCE = {"late_drop", "late_adjust"}
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
     return {
-        n: contract.queries()[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        n: QUERIES[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         for n in BATCH
     }
 
