@@ -3,7 +3,8 @@
 A paragraph is a line of a text. Its features are word 2- and 3-grams that the licence
 notices below have. A multinomial logistic regression, trained on the notices, on parts
 of them and on paragraphs of other content, gives each licence family and "unknown" a
-probability. The level of "unknown" is calibrated on paragraphs that were not trained on.
+probability. The level of "unknown" is calibrated on a third of the paragraphs; those of
+other content among them are not trained on.
 A family is confirmed if enough of the paragraph's n-grams are in its notices.
 
 All work on the documents is in built-in column functions: paragraphs without any n-gram
@@ -13,6 +14,7 @@ are joined with the table of weights, whose size is that of the notices.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -142,7 +144,10 @@ def other_paragraphs(docs: DataFrame, rows: int = 1000) -> list[str]:
 
 
 def fit(spark: SparkSession, others: list[str]) -> Model:
-    """Train on the notices and their parts, calibrate "unknown" on every third paragraph."""
+    """Train on the notices and their parts, calibrate "unknown" on every third paragraph.
+
+    Parts of notices are few, so those of the third are trained on too; others are not.
+    """
     classes = (*NOTICES, UNKNOWN)
     texts = [(k, p) for k, f in enumerate(NOTICES.values()) for t in f for p in _parts(t)]
     texts += [(len(NOTICES), p) for t in OTHERS for p in _parts(t)] + [(len(NOTICES), p) for p in others]
@@ -208,31 +213,27 @@ def scanned(docs: DataFrame, model: Model, doubt: float = 0.99, confirm: float =
     )
     # The words are bound as a lambda's variable: else each n-gram would cut the text again.
     words = F.array(F.regexp_extract_all(F.lower("p"), F.lit("[a-z0-9]+"), F.lit(0)))
-    near = listed.where(F.exists(words, lambda w: F.exists(_grams(w, 2), lambda g: g.isin(pairs))))
+    # A paragraph with one of the 2-grams has that one's longest word, which is cheap to see.
+    marks = sorted({max((w for w in g.split() if w not in COMMON), key=len) for g in pairs})
+    marked = F.arrays_overlap(words[0], F.array(*map(F.lit, marks)))
+    near = listed.where(marked & F.exists(words, lambda w: F.exists(_grams(w, 2), lambda g: g.isin(pairs))))
     grams = F.transform(words, lambda w: F.array_distinct(F.concat(_grams(w, 2), _grams(w, 3))))[0]
     numbered = near.select("doc_id", "paragraph", F.monotonically_increasing_id().alias("row"), grams.alias("g"))
     # As many rows as the notices have n-grams, whatever the documents.
     members = {f: {g for t in NOTICES[f] for g in ngrams_of(words_of(t))} for f in classes[:-1]}
-    table = spark.range(1).select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(g).alias("gram"),
-                        *(F.lit(float(model.weights[k, i])).alias(f"w{k}") for k in range(len(classes))),
-                        *(F.lit(int(g in members[f])).alias(f"m{k}") for k, f in enumerate(classes[:-1])),
-                    )
-                    for g, i in model.vocabulary.items()
-                )
-            )
-        )
-    )
+    rows = [
+        {"gram": g, "w": model.weights[:, i].tolist(), "m": [int(g in members[f]) for f in classes[:-1]]}
+        for g, i in model.vocabulary.items()
+    ]
+    # One literal: as many columns and rows of literals take the planner a minute.
+    kind = "array<struct<gram string, w array<double>, m array<int>>>"
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
     joined = numbered.select("doc_id", "paragraph", "row", F.size("g").alias("n"), F.explode("g").alias("gram")).join(
         F.broadcast(table), "gram"
     )
     sums = joined.groupBy("row", "doc_id", "paragraph", "n").agg(
-        *(F.sum(f"w{k}").alias(f"w{k}") for k in range(len(classes))),
-        *(F.sum(f"m{k}").alias(f"m{k}") for k in range(len(classes) - 1)),
+        *(F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(len(classes))),
+        *(F.sum(F.col("m")[k]).alias(f"m{k}") for k in range(len(classes) - 1)),
     )
     scores = F.array(*(F.col(f"w{k}") + F.lit(float(model.bias[k])) for k in range(len(classes))))
     best = F.array_max("s")
