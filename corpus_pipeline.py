@@ -24,8 +24,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: fingerprints within three bits."""
-    return simhash.one_of_each(docs, shingle=5, radius=3)
+    """One document of each group of near copies stays.
+
+    Linked are fingerprints within three bits, and all texts whose five-word shingles have
+    a Jaccard similarity of 0.8 or more.
+    """
+    return simhash.one_of_each(docs, shingle=5, radius=3, least=(4, 5))
 
 
 #: Target weights that are not 1: English is more than the other languages.

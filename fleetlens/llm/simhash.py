@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm import shingles
 from fleetlens.llm.shared import components, written
 
 LOW = 0x5555555555555555
@@ -168,21 +169,28 @@ def near_links(fps: DataFrame, radius: int = 2, cell_rows: int = 2048) -> DataFr
     return links.union(_searched(fine.join(pairs, ["grid", "cell"]), radius))
 
 
-def near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, cell_rows: int = 2048) -> DataFrame:
+def near_copies(
+    docs: DataFrame, shingle: int = 3, radius: int = 2, cell_rows: int = 2048, least: tuple[int, int] | None = None
+) -> DataFrame:
     """Class and component of every document: ``doc_id, fp, component_id``.
 
-    Two documents are linked if their fingerprints differ in ``radius`` bits or fewer;
+    Two documents are linked if their fingerprints differ in ``radius`` bits or fewer, and
+    also, with ``least``, if the Jaccard similarity of their shingles is that or more;
     ``component_id`` is the smallest id reachable over links. Null and empty texts have
     fingerprint zero and are linked like others. Repeated rows give repeated results; a
     row without id belongs to its component but does not name it. Columns other than
     ``doc_id`` and ``text`` are not looked at. An empty table gives an empty result.
     """
-    marked = written(docs.select("doc_id", fingerprints(shingle)("text").alias("fp")), "simhash-docs")
+    marked = docs.select("doc_id", fingerprints(shingle)("text").alias("fp"), *([shingles.coded("text").alias("code")] if least else []))
+    marked = written(marked, "simhash-docs")
     classes = written(
         marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "simhash-classes"
     )
+    links = near_links(classes.select("fp"), radius, cell_rows)
+    if least:
+        links = links.union(_alike(docs, marked, shingle, least))
     roots = written(
-        components(near_links(classes.select("fp"), radius, cell_rows), "simhash-links").select(
+        components(links, "simhash-links").select(
             F.col("node").alias("fp"), "root"
         ),
         "simhash-roots",
@@ -196,13 +204,25 @@ def near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, cell_rows: i
     )
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 3) -> DataFrame:
+def _alike(docs: DataFrame, marked: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
+    """Links between the fingerprints of texts whose shingles are alike."""
+    known = marked.where(F.col("doc_id").isNotNull() & F.col("code").isNotNull())
+    known = written(known.groupBy("code", "fp").agg(F.min("doc_id").alias("first")), "simhash-codes")
+    found = shingles.links(docs, known, shingle, least)
+    for side in ("a", "b"):
+        found = found.join(known.select(F.col("code").alias(side), F.col("fp").alias(f"_{side}")), side)
+    return found.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = 5, radius: int = 3, least: tuple[int, int] | None = None
+) -> DataFrame:
     """``docs`` without near copies: of each component the document with the smallest id.
 
     All columns stay as they are. Rows without id stay. Repeated rows of a kept id count
     as copies: one of them stays.
     """
-    found = near_copies(docs, shingle, radius, cell_rows=4096)
+    found = near_copies(docs, shingle, radius, cell_rows=4096, least=least)
     keep = found.where("doc_id = component_id").select("doc_id").distinct()
     has_id = docs.where(F.col("doc_id").isNotNull())
     kept = has_id.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
