@@ -7,10 +7,12 @@ rank pairs (this suffix, the suffix behind the known prefix), by 2, 4, ... lines
 of equal rank at some depth is an interval of suffixes whose longest common prefix is at
 least that deep. Any depth between two powers is two overlapping known prefixes.
 
-A run counts if it has ``min_words`` words. For each suffix the shortest prefix with so
-many words is looked up; the suffixes that share it form the interval, its first
-occurrence (by document id, then line) stays, and the lines of all later ones are marked.
-Marked windows that overlap or touch are one maximal repeated run.
+A run counts if it has ``min_words`` words. For each suffix the prefixes with so many
+words are looked up, from the shortest on while the lines behind the first one have fewer
+words; the suffixes that share one form the interval, its first occurrence (by document
+id, then line) stays, and the lines of all later ones are marked. A longer prefix needs no
+look: the suffix one line on has the rest of it. So all lines of every repeated run of
+``min_words`` words or more are marked in its later copies, to the last line of the run.
 """
 
 from __future__ import annotations
@@ -86,12 +88,14 @@ def suffix_ranks(ids: DataFrame, depth: int) -> list[DataFrame]:
 
 
 def windows(levels: list[DataFrame], min_words: int) -> DataFrame:
-    """For each suffix its shortest prefix with ``min_words`` words: ``doc_id, seq, size``.
+    """For each suffix its prefixes with ``min_words`` words: ``doc_id, seq, size``.
 
+    The shortest, and others with fewer words behind their first line: at most
+    ``min_words`` lines.
     Prefixes that reach over a line that occurs once are left out: no copy of them exists.
     """
     base = levels[0].select("doc_id", "seq", "words")
-    open_, found = base.withColumn("sum", F.col("words")), None
+    open_, found = base.withColumn("sum", F.col("words")).withColumn("behind", F.lit(0).cast("long")), None
     for size in range(1, min_words + 1):
         done = open_.where(F.col("sum") >= min_words).select("doc_id", "seq", F.lit(size).alias("size"))
         found = done if found is None else found.union(done)
@@ -99,9 +103,9 @@ def windows(levels: list[DataFrame], min_words: int) -> DataFrame:
             break
         more = base.select("doc_id", (F.col("seq") - size).alias("seq"), F.col("words").alias("_more"))
         open_ = written(
-            open_.where(F.col("sum") < min_words)
-            .join(more, ["doc_id", "seq"])
-            .select("doc_id", "seq", (F.col("sum") + F.col("_more")).alias("sum")),
+            open_.join(more, ["doc_id", "seq"])
+            .where((F.col("sum") < min_words) | (F.col("behind") + F.col("_more") < min_words))
+            .select("doc_id", "seq", *((F.col(c) + F.col("_more")).alias(c) for c in ("sum", "behind"))),
             "line-windows",
         )
     return found
@@ -110,7 +114,7 @@ def windows(levels: list[DataFrame], min_words: int) -> DataFrame:
 def later_copies(docs: DataFrame, min_words: int = 6) -> DataFrame:
     """The lines of later copies: ``doc_id, line``.
 
-    ``min_words`` is also the most lines that a shortest window can have. Documents with
+    ``min_words`` is also the most lines that a window can have. Documents with
     a null id or text take no part. Rows that share an id are one document to this
     operator. An empty table gives no lines.
     """

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from collections import defaultdict
 from itertools import combinations
 
 import pytest
 
-from fleetlens.llm import shingles, simhash
+from fleetlens.llm import lines, shingles, simhash
 
 
 def word_sets(text, size=5):
@@ -56,3 +57,31 @@ def test_all_similar_texts_are_linked(spark, monkeypatch, most):
     assert far > 20  # what the grid alone does not find
     kept = {r.doc_id for r in simhash.one_of_each(docs, least=(4, 5)).collect()}
     assert kept == {top(i) for i in range(len(texts))}
+
+
+def cut_all_runs(docs, min_words):
+    """Every line of every run of ``min_words`` words that an earlier place has too goes."""
+    held = {d: [(i, x) for i, x in enumerate(t.split("\n")) if x.split()] for d, t in docs}
+    seen, cut = set(), defaultdict(set)
+    for d in sorted(held):
+        for q in range(len(held[d])):
+            runs = [held[d][q : q + n] for n in range(1, len(held[d]) - q + 1)]
+            runs = [r for r in runs if sum(len(x.split()) for _, x in r) >= min_words]
+            for run in runs:
+                if tuple(x for _, x in run) in seen:
+                    cut[d] |= {i for i, _ in run}
+            seen |= {tuple(x for _, x in run) for run in runs}
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut[d]) for d, t in docs}
+
+
+@pytest.mark.parametrize("min_words", [3, 6])
+def test_runs_are_cut_to_their_last_line(spark, min_words):
+    rng = random.Random(12)
+    some = ["a", "b b", "c c c", "", "d d d d d d", "  ", "e e", "f"]
+    docs = [(i, "\n".join(rng.choice(some) for _ in range(rng.randint(0, 14)))) for i in range(40)]
+    run = "one two three four five six seven eight nine ten\nShth ndti."
+    docs += [(100, run), (101, run + "\nown"), (102, run)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.deduped(df, min_words).collect()}
+    assert got == cut_all_runs(docs, min_words)
+    assert got[101] == "own" and got[102] == ""
