@@ -14,6 +14,7 @@ among the pieces of its length, which is counted without bringing a length into
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -135,13 +136,29 @@ def places(runs: list[Run]) -> dict[int, tuple[np.ndarray, ...]]:
     return {n: tuple(np.array(c, np.int64) for c in zip(*s)) for n, s in slots.items()}
 
 
+Added = tuple[tuple[str, int], ...]
+
+
+def added_tokens(json_path: str) -> Added:
+    """Text and id of the tokens that the vocabulary's JSON file adds to the ranks.
+
+    They are matched wherever the text holds them. Other kinds of matching are refused.
+    """
+    with open(json_path, encoding="utf-8") as file:
+        found = json.load(file).get("added_tokens") or []
+    odd = [t["content"] for t in found if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if odd:
+        raise ValueError(f"added tokens that are not matched as they stand: {odd}")
+    return tuple((t["content"], t["id"]) for t in found)
+
+
 @lru_cache(maxsize=2)
-def _encoder(ranks_path: str, split: str):
+def _encoder(ranks_path: str, split: str, added: Added):
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("corpus", pat_str=split, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("corpus", pat_str=split, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
 def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -151,12 +168,19 @@ def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(
-    docs: DataFrame, ranks_path: str, split: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = False
+    docs: DataFrame,
+    ranks_path: str,
+    split: str,
+    capacity: int = 2048,
+    end_id: int = 0,
+    keep_ids: bool = False,
+    added: Added = (),
 ) -> DataFrame:
     """The pieces of every document: ``doc_id, piece, start, length, ids_crc32[, ids]``.
 
     A document is the ids of its whole text and ``end_id``; null counts as empty. Byte-level
-    BPE by rank file, which gives the same ids as the vocabulary's JSON file.
+    BPE by rank file, which with the tokens of ``added`` gives the same ids as the
+    vocabulary's JSON file (see ``added_tokens``).
     """
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     if keep_ids:
@@ -164,11 +188,11 @@ def pieces(
     kind = pa.schema([("doc_id", pa.int64()), *fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_path, split)
+        encoder = _encoder(ranks_path, split, added)
         for batch in batches:
             out: list[list] = [[] for _ in kind]
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.array([*encoder.encode_ordinary(text.as_py() or ""), end_id], "<u4")
+                ids = np.array([*encoder.encode(text.as_py() or "", allowed_special="all"), end_id], "<u4")
                 for k, (start, length) in enumerate(cut_pieces(len(ids), capacity)):
                     part = ids[start : start + length]
                     row = [key, k, start, length, zlib.crc32(part.tobytes())]
@@ -211,6 +235,6 @@ def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:
     return placed.select(*parts.columns, "_place.sequence_id", "_place.offset")
 
 
-def packed(docs: DataFrame, ranks_path: str, split: str, capacity: int = 2048) -> DataFrame:
+def packed(docs: DataFrame, ranks_path: str, split: str, capacity: int = 2048, added: Added = ()) -> DataFrame:
     """Documents as pieces with their places; see ``pieces`` and ``pack``."""
-    return pack(written(pieces(docs, ranks_path, split, capacity), "pieces"), capacity)
+    return pack(written(pieces(docs, ranks_path, split, capacity, added=added), "pieces"), capacity)

@@ -20,6 +20,13 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def added() -> packing.Added:
+    """The added tokens of the same vocabulary."""
+    import public_tokenizers
+
+    return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select(
@@ -140,7 +147,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ranks, split = tokenizer()
-    return packing.packed(docs, ranks, split, 2048)
+    return packing.packed(docs, ranks, split, 2048, added())
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
-from fleetlens.llm import lines, shingles, simhash
+from fleetlens.llm import lines, packing, queries, shingles, simhash
 
 
 def word_sets(text, size=5):
@@ -85,3 +87,18 @@ def test_runs_are_cut_to_their_last_line(spark, min_words):
     got = {r.doc_id: r.text for r in lines.deduped(df, min_words).collect()}
     assert got == cut_all_runs(docs, min_words)
     assert got[101] == "own" and got[102] == ""
+
+
+def test_added_tokens_inside_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end}", f"a  {end}  b", f"\n\n{end}\n é", "<|endoftext", f"<|{end}|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ranks, split = queries.tokenizer()
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.packed(docs, ranks, split, 64, queries.added()).collect()}
+    ids = [np.array([*exact.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert 50256 in ids[0]
+    assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
