@@ -14,8 +14,8 @@ from fleetlens.llm.shared import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed votes of the rules call good."""
-    return rules.kept_documents(docs)
+    """Documents that the weighed votes of the rules call good, short ones too."""
+    return rules.kept_documents(docs, rules.Base(min_words=0))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,11 +189,11 @@ def posteriors(
     return dict(zip(keys, each[:, 0].tolist()))
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the rules reject; all columns stay as they are."""
+def kept_documents(docs: DataFrame, base: Base = Base()) -> DataFrame:
+    """``docs`` without the documents that the rules or ``base`` reject; all columns stay as they are."""
     name = fresh(docs, "_quality")
     table = written(docs.withColumn(name, measured("text")), "quality-docs")
-    return judged(table, name).where(F.col(f"`{name}`.kept")).select(*docs.columns)
+    return judged(table, name, base).where(F.col(f"`{name}`.kept")).select(*docs.columns)
 
 
 def judged(docs: DataFrame, counts: str, base: Base = Base(), rules=RULES) -> DataFrame:

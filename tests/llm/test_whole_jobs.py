@@ -102,3 +102,15 @@ def test_added_tokens_inside_texts(spark):
     ids = [np.array([*exact.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
     assert 50256 in ids[0]
     assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
+
+
+def test_short_clean_documents_pass_the_filter(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, sf_dir).collect()}
+    found = queries.op2_quality_rules(spark, sf_dir).toPandas()
+    short = found[found.n_words < 50]
+    clean = short[(short.p_good >= 0.5) & (2 * short.n_repeat_words <= short.n_words)]
+    assert len(clean) and set(clean.doc_id) <= kept
+    assert kept - set(clean.doc_id) == set(found[found.kept].doc_id)
