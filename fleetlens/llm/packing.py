@@ -161,6 +161,23 @@ def _encoder(ranks_path: str, split: str, added: Added):
     return tiktoken.Encoding("corpus", pat_str=split, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
+@lru_cache(maxsize=2)
+def _exact(json_path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(json_path)
+
+
+def _ids(text: str, encoder, json_path: str | None) -> list[int]:
+    """The ids of a text. Very long runs of one kind of character overflow the fast splitter."""
+    try:
+        return encoder.encode(text, allowed_special="all")
+    except ValueError:
+        if json_path is None:
+            raise
+        return _exact(json_path).encode(text, add_special_tokens=False).ids
+
+
 def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens: the first one takes the remainder."""
     first = n % capacity or capacity
@@ -175,12 +192,14 @@ def pieces(
     end_id: int = 0,
     keep_ids: bool = False,
     added: Added = (),
+    json_path: str | None = None,
 ) -> DataFrame:
     """The pieces of every document: ``doc_id, piece, start, length, ids_crc32[, ids]``.
 
     A document is the ids of its whole text and ``end_id``; null counts as empty. Byte-level
     BPE by rank file, which with the tokens of ``added`` gives the same ids as the
-    vocabulary's JSON file (see ``added_tokens``).
+    vocabulary's JSON file (see ``added_tokens``). Texts that its splitter gives up on, such
+    as a million blanks in a row, are encoded with that file itself if ``json_path`` names it.
     """
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     if keep_ids:
@@ -192,7 +211,7 @@ def pieces(
         for batch in batches:
             out: list[list] = [[] for _ in kind]
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.array([*encoder.encode(text.as_py() or "", allowed_special="all"), end_id], "<u4")
+                ids = np.array([*_ids(text.as_py() or "", encoder, json_path), end_id], "<u4")
                 for k, (start, length) in enumerate(cut_pieces(len(ids), capacity)):
                     part = ids[start : start + length]
                     row = [key, k, start, length, zlib.crc32(part.tobytes())]
@@ -235,6 +254,8 @@ def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:
     return placed.select(*parts.columns, "_place.sequence_id", "_place.offset")
 
 
-def packed(docs: DataFrame, ranks_path: str, split: str, capacity: int = 2048, added: Added = ()) -> DataFrame:
+def packed(
+    docs: DataFrame, ranks_path: str, split: str, capacity: int = 2048, added: Added = (), json_path: str | None = None
+) -> DataFrame:
     """Documents as pieces with their places; see ``pieces`` and ``pack``."""
-    return pack(written(pieces(docs, ranks_path, split, capacity, added=added), "pieces"), capacity)
+    return pack(written(pieces(docs, ranks_path, split, capacity, added=added, json_path=json_path), "pieces"), capacity)

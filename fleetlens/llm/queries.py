@@ -20,11 +20,16 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def added() -> packing.Added:
-    """The added tokens of the same vocabulary."""
+def vocabulary_json() -> str:
+    """The JSON file of the same vocabulary."""
     import public_tokenizers
 
-    return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def added() -> packing.Added:
+    """The added tokens of the same vocabulary."""
+    return packing.added_tokens(vocabulary_json())
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +152,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ranks, split = tokenizer()
-    return packing.packed(docs, ranks, split, 2048, added())
+    return packing.packed(docs, ranks, split, 2048, added(), vocabulary_json())
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

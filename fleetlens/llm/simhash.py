@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import shingles
-from fleetlens.llm.shared import components, written
+from fleetlens.llm.shared import components, fresh, written
 
 LOW = 0x5555555555555555
 AXES = 32
@@ -181,7 +181,23 @@ def near_copies(
     row without id belongs to its component but does not name it. Columns other than
     ``doc_id`` and ``text`` are not looked at. An empty table gives an empty result.
     """
-    marked = docs.select("doc_id", fingerprints(shingle)("text").alias("fp"), *([shingles.coded("text").alias("code")] if least else []))
+    marked, answer = _components(docs, shingle, radius, cell_rows, least)
+    return marked.join(answer, "fp", "left").select(
+        "doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _components(
+    docs: DataFrame, shingle: int, radius: int, cell_rows: int, least: tuple[int, int] | None
+) -> tuple[DataFrame, DataFrame]:
+    """The documents as ``doc_id, body, fp``, and of each fingerprint that several rows have
+    or that is linked ``fp, root, component_id``."""
+    marked = docs.select(
+        "doc_id",
+        F.xxhash64("text").alias("body"),
+        fingerprints(shingle)("text").alias("fp"),
+        *([shingles.coded("text").alias("code")] if least else []),
+    )
     marked = written(marked, "simhash-docs")
     classes = written(
         marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "simhash-classes"
@@ -198,10 +214,7 @@ def near_copies(
     linked = classes.join(roots, "fp", "left").where("n > 1 or root is not null")
     linked = linked.select("fp", F.coalesce("root", "fp").alias("root"), "first")
     named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    answer = written(linked.join(named, "root").select("fp", "component_id"), "simhash-components")
-    return marked.join(answer, "fp", "left").select(
-        "doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return marked, written(linked.join(named, "root").select("fp", "root", "component_id"), "simhash-components")
 
 
 def _alike(docs: DataFrame, marked: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
@@ -219,11 +232,16 @@ def one_of_each(
 ) -> DataFrame:
     """``docs`` without near copies: of each component the document with the smallest id.
 
-    All columns stay as they are. Rows without id stay. Repeated rows of a kept id count
-    as copies: one of them stays.
+    All columns stay as they are. Rows without id stay. Rows that share an id go or stay by
+    their texts: those of different components all stay; of equal or linked ones in one
+    component one stays (the one with the smallest text hash, any one if the texts are equal).
     """
-    found = near_copies(docs, shingle, radius, cell_rows=4096, least=least)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    has_id = docs.where(F.col("doc_id").isNotNull())
-    kept = has_id.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    marked, found = _components(docs, shingle, radius, 4096, least)
+    rows = marked.where(F.col("doc_id").isNotNull()).join(found, "fp", "left")
+    # A fingerprint that no other row has is a component by itself.
+    best = rows.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(F.struct("doc_id", "body")).alias("_best"))
+    body = fresh(docs, "_body")
+    keep = best.select("_best.doc_id", F.col("_best.body").alias(body)).distinct()
+    mine = docs.where(F.col("doc_id").isNotNull()).withColumn(body, F.xxhash64("text"))
+    kept = mine.join(keep.hint("merge"), ["doc_id", body], "left_semi").dropDuplicates(["doc_id", body])
     return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))

@@ -50,6 +50,11 @@ def words_of(text):
     return (text or "").encode().split()
 
 
+def shingles_of(text, size):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
 # ---- shared
 
 def test_running_before(spark):
@@ -382,18 +387,17 @@ def test_packing_documents(spark, awkward, empty):
 # ---- op9
 
 def brute_cut(docs, min_words):
+    """Every line of every run of ``min_words`` words that an earlier place has too goes."""
     held = {d: [(i, x) for i, x in enumerate(t.split("\n")) if words_of(x)] for d, t in docs}
-    seen, cut = {}, defaultdict(set)
+    seen, cut = set(), defaultdict(set)
     for d in sorted(held):
         for q in range(len(held[d])):
-            for n in range(1, len(held[d]) - q + 1):
-                part = held[d][q : q + n]
-                if sum(len(words_of(x)) for _, x in part) >= min_words:
-                    key = tuple(x for _, x in part)
-                    if key in seen:
-                        cut[d] |= {i for i, _ in part}
-                    seen.setdefault(key, (d, q))
-                    break
+            runs = [held[d][q : q + n] for n in range(1, len(held[d]) - q + 1)]
+            runs = [r for r in runs if sum(len(words_of(x)) for _, x in r) >= min_words]
+            for run in runs:
+                if tuple(x for _, x in run) in seen:
+                    cut[d] |= {i for i, _ in run}
+            seen |= {tuple(x for _, x in run) for run in runs}
     return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut[d]) for d, t in docs}
 
 
@@ -454,15 +458,29 @@ def test_pipeline_stages(spark, sf_dir):
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = written(corpus_pipeline.quality_rules(spark, docs, sf_dir), "p")
-    found = queries.op2_quality_rules(spark, sf_dir)
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found.where("kept").collect()}
+    judged = queries.op2_quality_rules(spark, sf_dir).toPandas()
+    # Short texts are judged by their votes, which op2's base does not let count.
+    short = judged[(judged.n_words < 50) & (2 * judged.n_repeat_words <= judged.n_words) & (judged.p_good >= 0.5)]
+    assert {r.doc_id for r in kept.collect()} == set(judged[judged.kept].doc_id) | set(short.doc_id)
     cut = written(corpus_pipeline.line_dedup(spark, kept, sf_dir), "p")
     rows = [(r.doc_id, r.text) for r in kept.collect()]
     assert {r.doc_id: r.text for r in cut.collect()} == {d: t for d, t in brute_cut(rows, 6).items() if words_of(t)}
     once = written(corpus_pipeline.near_dedup(spark, cut, sf_dir), "p")
-    prints = {r.doc_id: brute_fingerprint(r.text, 5) for r in cut.collect()}
-    alone = {d for d in prints if not any(e < d and (prints[d] ^ prints[e]).bit_count() <= 3 for e in prints)}
-    assert {r.doc_id for r in once.collect()} == alone
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    prints = {d: brute_fingerprint(t, 5) for d, t in texts.items()}
+    sets = {d: shingles_of(t, 5) for d, t in texts.items()}
+    root = {d: d for d in texts}
+
+    def top(d):
+        return d if root[d] == d else top(root[d])
+
+    for d, e in combinations(sorted(texts), 2):
+        both = len(sets[d] & sets[e])
+        alike = 5 * both >= 4 * (len(sets[d]) + len(sets[e]) - both)
+        if alike or (prints[d] ^ prints[e]).bit_count() <= 3:
+            x, y = sorted((top(d), top(e)))
+            root[y] = x
+    assert {r.doc_id for r in once.collect()} == {d for d in texts if top(d) == d}
     mixed = written(corpus_pipeline.source_mixing(spark, once, sf_dir), "p")
     assert mixed.columns == docs.columns and 0 < mixed.count() < once.count()
     words = lambda df: df.select(F.sum(mixing.word_count(F.col("text")))).first()[0]

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from fleetlens.llm import lines, packing, queries, shingles, simhash
+from fleetlens.llm.shared import written
 
 
 def word_sets(text, size=5):
@@ -114,3 +115,50 @@ def test_short_clean_documents_pass_the_filter(spark, sf_dir):
     clean = short[(short.p_good >= 0.5) & (2 * short.n_repeat_words <= short.n_words)]
     assert len(clean) and set(clean.doc_id) <= kept
     assert kept - set(clean.doc_id) == set(found[found.kept].doc_id)
+
+
+def test_rows_that_share_an_id(spark):
+    run = "one two three four five six seven"
+    own = "a text of its own with words enough"
+    docs = [(1, run), (2, run), (2, own), (3, own + "\n" + run), (3, "other words here that nobody has said")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in lines.deduped(df, 6).collect())
+    assert got == sorted([(1, run), (2, ""), (2, own), (3, ""), (3, docs[4][1])])
+    far = [(1, "x1 x2 x3 x4 x5 x6 x7 x8"), (2, "y1 y2 y3 y4 y5 y6 y7"), (2, "z1 z2 z3 z4 z5 z6 z7"), (2, "z1 z2 z3 z4 z5 z6 z7")]
+    far += [(3, "Y1 y2 y3 y4 y5 y6 y7"), (None, "x1 x2 x3 x4 x5 x6 x7 x8")]
+    kept = simhash.one_of_each(spark.createDataFrame(far, df.schema), least=(4, 5)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((a or 0, b) for a, b in [*far[:3], far[5]])
+
+
+def test_repeated_rows_do_not_multiply(spark):
+    text = "\n".join(f"line {i} of a text that comes often" for i in range(8))
+    docs = [(7, text)] * 100 + [(8, text)] * 50 + [(9, text + "\nown")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    levels = lines.suffix_ranks(written(lines.line_ids(df), "l"))
+    assert [x.count() for x in levels] == [24, 21, 15, 3]  # of three documents
+    got = [(r.doc_id, r.text) for r in lines.deduped(df, 6).collect()]
+    assert sorted(got) == [(7, text)] * 100 + [(8, "")] * 50 + [(9, "own")]
+
+
+def test_runs_of_any_length(spark):
+    rng = random.Random(13)
+    long = [f"{rng.choice('abcdefgh')} {i}" for i in range(700)]
+    docs = [(1, long), (2, ["x"] + long[100:633] + ["y"]), (3, long[632:] + long[:100]), (4, ["same"] * 300), (5, long[5:8])]
+    rows = [(d, "\n".join(x)) for d, x in docs]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, [tuple(x) for x in r.removed_runs]) for r in lines.deduped(df, 6).collect()}
+    assert got[1] == (rows[0][1], []) and got[2] == ("x\ny", [(1, 533)]) and got[3] == ("", [(0, 167)])
+    assert got[4] == ("same", [(1, 299)]) and got[5] == ("", [(0, 2)])
+
+
+def test_texts_that_overflow_the_splitter(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 1_500_000, "a" + " " * 1_000_000 + "b <|endoftext|>", "\n" * 1_000_000, "x" * 30_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ranks, split = queries.tokenizer()
+    rows = packing.pieces(docs, ranks, split, 1 << 30, added=queries.added(), json_path=queries.vocabulary_json()).collect()
+    ids = [np.array([*exact.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
