@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.llm import lines, mixing, packing, rules, simhash
-from fleetlens.llm.queries import added, levels, tokenizer
+from fleetlens.llm.queries import added, levels, tokenizer, vocabulary_json
 from fleetlens.llm.shared import written
 
 
@@ -44,7 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 tokens."""
     ranks, split = tokenizer()
-    return packing.packed(docs, ranks, split, 2048, added())
+    return packing.packed(docs, ranks, split, 2048, added(), vocabulary_json())
 
 
 STAGES = [
