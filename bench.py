@@ -24,7 +24,7 @@ from fleetlens.operators.ordered import Limits  # noqa: E402
 from fleetlens.plans.queries import BAND, QUERIES, envelope  # noqa: E402
 from fleetlens.session import local_session  # noqa: E402
 from fleetlens.sources.files import folder_stream  # noqa: E402
-from fleetlens.streaming import batches, runs, sinks, stateful  # noqa: E402
+from fleetlens.streaming import batches, newest, runs, sinks, stateful  # noqa: E402
 
 HEADLINE = (
     "minute_rate_latency",
@@ -126,8 +126,7 @@ def main() -> None:
     kind = spark.read.parquet(source).schema
     path = lambda: runs.shared_folder(spark, "bench-out")
     writes = {
-        "merge_append": sinks.merge_append(path()),
-        "upsert": sinks.upsert(path(), ("eventId",), buckets=16),
+        "merge_append": sinks.merge_append(path(), buckets=16),
         "tag_batches": batches.tag_batches(path(), path(), BAND, tie="_event_id", buckets=16),
         "late_batches": batches.late_batches(path(), path(), arrival=("enqueuedAt", "_event_id"), buckets=1),
     }
@@ -135,6 +134,8 @@ def main() -> None:
     for name, write in writes.items():
         writer = runs.pipeline(folder_stream(spark, source, kind, "parquet", max_files=4), [], path())
         micro[name] = round(events / timed(lambda w=writer, f=write: runs.drain(w.foreachBatch(f))))
+    kept = newest.keep_newest(folder_stream(spark, source, kind, "parquet", max_files=4), path(), ("eventId",))
+    micro["keep_newest"] = round(events / timed(lambda: runs.drain(kept)))
     few = Limits(max_rows=max(events // 20, 1000), min_rows=100)
     skew = {}
     for name, make in {

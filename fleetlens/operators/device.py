@@ -47,18 +47,16 @@ def route(df: DataFrame) -> DataFrame:
     return df.withColumns(columns)
 
 
-def twin_state(
-    df: DataFrame,
-    arrival: Sequence[str] = ("enqueuedAt", "eventId"),
-) -> DataFrame:
-    """Each property of a device as its last update in arrival order left it.
-
-    One newest row per device and route leaves each task, so a busy device is no
-    burden; the few rows of a device are then folded into one.
-    """
+def routed(df: DataFrame, arrival: Sequence[str] = ("enqueuedAt", "eventId")) -> DataFrame:
+    """Updates with what they set and ``_route``, the property group they belong to."""
     kind = F.when(F.col("type").isin(*ROUTES), F.col("type")).otherwise("other")
-    by = [F.col(c).desc() for c in arrival]
-    newest = first_rows(route(df).withColumn("_route", kind), ["deviceId", "_route"], by)
+    names = [x for name in ROUTES.values() for x in (name, f"{name}Data")]
+    rows = route(df).withColumn("_route", kind)
+    return rows.select("deviceId", "_route", "LastUpdate", SEQUENCE, *names, *arrival)
+
+
+def fold_routes(newest: DataFrame, arrival: Sequence[str] = ("enqueuedAt", "eventId")) -> DataFrame:
+    """One row per device from its newest update of each ``_route``: a few rows each."""
     at = F.struct(*arrival)
 
     def last(name: str, of: Column | None = None) -> Column:
@@ -72,6 +70,19 @@ def twin_state(
     return newest.groupBy("deviceId").agg(*merged)
 
 
+def twin_state(
+    df: DataFrame,
+    arrival: Sequence[str] = ("enqueuedAt", "eventId"),
+) -> DataFrame:
+    """Each property of a device as its last update in arrival order left it.
+
+    One newest row per device and route leaves each task, so a busy device is no
+    burden; the few rows of a device are then folded into one.
+    """
+    by = [F.col(c).desc() for c in arrival]
+    return fold_routes(first_rows(routed(df, arrival), ["deviceId", "_route"], by), arrival)
+
+
 def twins(devices: DataFrame, state: DataFrame) -> DataFrame:
     """A twin for every known device; properties are null until an event sets them."""
     return devices.join(state, "deviceId", "left")

@@ -625,6 +625,17 @@ SELECT deviceId, arg_max(eventId, event_id) AS eventId,
        round(arg_max(value, event_id), 6) AS value,
        arg_max(k, event_id) AS MoreData1, count(*) AS n_stored
 FROM telemetry GROUP BY 1""",
+    "stream_documents": _with(DUPLICATES)
+    + """
+, last AS (SELECT *, row_number() OVER (PARTITION BY eventId ORDER BY enqueuedAt DESC) AS r FROM duplicates)
+SELECT eventId AS id, eventId, type, deviceId, round(value, 6) AS value,
+       strftime(createdAt, '%Y-%m-%dT%H:%M:%S.%gZ') AS createdAt,
+       strftime(enqueuedAt, '%Y-%m-%dT%H:%M:%S.%gZ') AS enqueuedAt,
+       strftime(enqueuedAt, '%Y-%m-%dT%H:%M:%S.%gZ') AS changed_at
+FROM last WHERE r = 1""",
+    "stream_twins": ORACLES["twin_state"].replace("arg_max(deviceSequenceNumber, p)", "arg_max(event_id, p)"),
+    "stream_unique": _with()
+    + " SELECT eventId, deviceId, round(value, 6) AS value, 1::BIGINT AS all_failed FROM telemetry",
     "stream_watermark_dedup": _with() + " SELECT eventId, type, deviceId FROM telemetry",
     "stream_summary_export": _with()
     + """

@@ -29,7 +29,7 @@ from fleetlens.schema import TAG
 from fleetlens.session import ROCKSDB_PROVIDER
 from fleetlens.sources import files, stores
 from fleetlens.sources.files import json_stream
-from fleetlens.streaming import batches, runs, sinks, stateful
+from fleetlens.streaming import batches, newest, runs, sinks, stateful
 from fleetlens.streaming.windows import minute_rate_stream, summary_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -789,8 +789,7 @@ def stream_minute_rates(spark, sf_dir):
     # The watermark has to cover the disorder, here the whole span of the table.
     rates = minute_rate_stream(fixtures.stream(spark, sf_dir), delay="60 days")
     written = _drained(spark, rates, sinks.append_once(out), out, "update")
-    newest = first_rows(written, ["stored_minute"], [F.col(sinks.BATCH).desc()])
-    return newest.drop(sinks.BATCH)
+    return first_rows(written, ["stored_minute"], [F.col(sinks.BATCH).desc()]).drop(sinks.BATCH)
 
 
 @query
@@ -798,8 +797,7 @@ def stream_summary(spark, sf_dir):
     out = runs.shared_folder(spark, "summary")
     rows = summary_stream(fixtures.stream(spark, sf_dir))
     written = _drained(spark, rows, sinks.append_once(out), out, "update")
-    newest = first_rows(written, ["deviceId", "type"], [F.col(sinks.BATCH).desc()])
-    return newest.drop(sinks.BATCH)
+    return first_rows(written, ["deviceId", "type"], [F.col(sinks.BATCH).desc()]).drop(sinks.BATCH)
 
 
 @query
@@ -807,7 +805,7 @@ def stream_merge(spark, sf_dir):
     out = runs.shared_folder(spark, "merge")
     target, _ = thirds_and_halves(fixtures.telemetry(spark, sf_dir, False))
     names = [c for c in EVENT_COLUMNS if c != "deviceSequenceNumber"]
-    write = sinks.merge_append(out)
+    write = sinks.merge_append(out, buckets=8)
     write(target.select(*names), 0)
     _, staging = thirds_and_halves(fixtures.stream(spark, sf_dir))
     rows = staging.select(*names)
@@ -840,36 +838,56 @@ def stream_lru_dedup(spark, sf_dir):
     return written.select("k", "id", "event_id")
 
 
+def _kept(writer) -> None:
+    runs.drain(writer, timeout_s=1800, need_batches=3)
+
+
 @query
 def stream_upsert(spark, sf_dir):
-    out = runs.shared_folder(spark, "documents")
-    target, _ = thirds_and_halves(fixtures.telemetry(spark, sf_dir, False))
+    """The newest row of each event, kept in the state store and read from there."""
+    _use_state_store(spark)
+    checkpoint = runs.shared_folder(spark, "checkpoint")
     names = [c for c in EVENT_COLUMNS if c != "deviceSequenceNumber"]
-    write = sinks.upsert(out, ("eventId",), [F.col("enqueuedAt").desc()], buckets=8)
-    write(target.select(*names), 0)
-    _, changes = thirds_and_halves(fixtures.stream(spark, sf_dir))
-    rows = changes.select(*names)
-    _drained(spark, rows, lambda batch, n: write(batch, n + 1), out)
-    return sinks.latest_buckets(spark, out, rows.schema)
+    stored, changes = thirds_and_halves(fixtures.stream(spark, sf_dir))
+    rows = stored.select(*names).unionByName(changes.select(*names))
+    _kept(newest.keep_newest(rows, checkpoint, ("eventId",)))
+    return newest.current(spark, checkpoint).select(*names)
+
+
+@query
+def stream_documents(spark, sf_dir):
+    """Events as documents with ISO times; what changed in each micro-batch gives the same."""
+    _use_state_store(spark)
+    checkpoint, out = runs.shared_folder(spark, "checkpoint"), runs.shared_folder(spark, "changes")
+    names = ["eventId", "type", "deviceId", "value", "createdAt", "enqueuedAt"]
+    rows = fixtures.with_duplicates(fixtures.stream(spark, sf_dir)).select(*names)
+    _kept(newest.keep_documents(rows, checkpoint, sinks.append_once(out)))
+    found = newest.current(spark, checkpoint)
+    changed = sinks.newest_rows(spark, out, found.schema, ["id"]).select("id", F.col("enqueuedAt").alias("changed_at"))
+    return found.join(changed, "id").select("id", *names, "changed_at")
+
+
+def _numbered_stream(spark, sf_dir) -> DataFrame:
+    return fixtures.stream(spark, sf_dir).withColumn("deviceSequenceNumber", F.col("_event_id"))
 
 
 @query
 def stream_history_and_status(spark, sf_dir):
+    _use_state_store(spark)
     history, status = runs.shared_folder(spark, "history"), runs.shared_folder(spark, "status")
-    rows = fixtures.stream(spark, sf_dir).select(
+    rows = _numbered_stream(spark, sf_dir).select(
         "deviceId",
         "eventId",
-        F.col("_event_id").alias("deviceSequenceNumber"),
+        "deviceSequenceNumber",
         "createdAt",
         "value",
         F.to_json(F.struct(F.col("complexData")["k"].alias("moreData1"))).alias("ComplexData"),
     )
-    write = sinks.history_and_status(history, status, buckets=8)
-    stored = _drained(spark, rows, write, history)
-    kind = device.status_rows(spark.createDataFrame([], rows.schema)).schema
-    newest = sinks.latest_buckets(spark, status, kind)
+    for writer in newest.history_and_status(rows, history, status, runs.shared_folder(spark, "checkpoint")):
+        _kept(writer)
+    stored = sinks.read_batches(spark, history, rows.schema)
     stored = stored.groupBy("deviceId").agg(F.count(F.lit(1)).alias("n_stored"))
-    return newest.join(stored, "deviceId").select(
+    return newest.current(spark, status).join(stored, "deviceId").select(
         "deviceId",
         "eventId",
         "createdAt",
@@ -879,6 +897,42 @@ def stream_history_and_status(spark, sf_dir):
     )
 
 
+@query
+def stream_twins(spark, sf_dir):
+    """Twin state of a stream, from the newest update of each device and property group."""
+    _use_state_store(spark)
+    checkpoint, arrival = runs.shared_folder(spark, "checkpoint"), ("enqueuedAt", "_event_id")
+    _kept(newest.keep_twins(_numbered_stream(spark, sf_dir), checkpoint, arrival))
+    return newest.current_twins(spark, checkpoint, arrival).select(
+        "deviceId",
+        "LastUpdate",
+        "deviceSequenceNumber",
+        "Temperature",
+        F.col("TemperatureData")["k"].alias("temperature_k"),
+        "CO2",
+        F.col("CO2Data")["k"].alias("co2_k"),
+    )
+
+
+@query
+def stream_unique(spark, sf_dir):
+    """Batches under a unique key. A batch that repeats an earlier id, or one of its own, fails."""
+    out = runs.shared_folder(spark, "unique-key")
+    rows = fixtures.stream(spark, sf_dir).select("eventId", "deviceId", "value")
+    write, failed = sinks.unique_append(out, buckets=8), []
+
+    def twice(batch, n):
+        write(batch, n)
+        for again in (batch, batch.union(batch)):
+            try:
+                write(again, n + 1)
+            except ValueError:
+                failed.append(n)
+
+    stored = _drained(spark, rows, twice, out).drop(sinks.BATCH)
+    return stored.withColumn("all_failed", F.lit(len(failed) >= 6 and len(failed) % 2 == 0).cast("long"))
+
+
 @query
 def stream_watermark_dedup(spark, sf_dir):
     out = runs.shared_folder(spark, "unique")

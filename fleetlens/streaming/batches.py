@@ -1,31 +1,63 @@
 """Keyed stream operators as micro-batches of the batch operators.
 
 State functions (``streaming.stateful``) put all rows of a key into one task. These forms
-keep the little that a key remembers in a folder, lay it before the rows of the
-micro-batch, and run the batch operator, which cuts hot keys. Replaying a batch starts
-from the memory before it, and so gives the same result.
+keep the little that a key remembers in a table, lay it before the rows of the
+micro-batch, and run the batch operator, which cuts hot keys.
+
+The memory is one table with all keys, written anew by each micro-batch: batch ``n`` reads
+what batch ``n - 1`` left in one of two folders and overwrites the other. So a replay starts
+from the same memory and gives the same result, nothing is listed, and nothing piles up.
+What that costs follows the number of keys, not the age of the stream; for very many keys
+and small micro-batches take the state functions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.operators.anomaly import late_adjust, late_drop, spike_dip
 from fleetlens.operators.dedup import REPLAY, lru_dedup
 from fleetlens.operators.ordered import DEFAULT, Limits, first_rows
 from fleetlens.operators.patterns import Rules, pattern_tags
-from fleetlens.streaming.sinks import Write, append_once, latest_buckets, merge_append, upsert
+from fleetlens.streaming.sinks import Write, append_once, merge_append
 
 ARRIVED = "arrived_batch"
 
 
-def _remembered(rows: DataFrame, path: str, keys: Sequence[str], batch_id: int) -> DataFrame:
-    """What earlier batches left for the keys of ``rows``."""
-    stored = latest_buckets(rows.sparkSession, path, rows.schema, before=batch_id)
-    return stored.join(rows.select(*keys).distinct(), list(keys), "left_semi")
+_AS_OF = "as_of_batch"
+
+
+class Memory:
+    """The table of what keys remember, as each micro-batch leaves it."""
+
+    def __init__(self, path: str, keys: Sequence[str], files: int, newest: Callable[[DataFrame, DataFrame], DataFrame]):
+        self.path, self.keys, self.files, self.newest = path, list(keys), files, newest
+
+    def before(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """The memory that batch ``batch_id`` starts from, in the columns of ``rows``."""
+        spark = rows.sparkSession
+        if batch_id == 0:
+            return spark.createDataFrame([], rows.schema)
+        kind = T.StructType([*rows.schema.fields, T.StructField(_AS_OF, T.LongType())])
+        table = spark.read.schema(kind).parquet(self._folder(batch_id - 1))
+        return table.where(F.col(_AS_OF) == batch_id - 1).drop(_AS_OF)
+
+    def of(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """That of the keys of ``rows``."""
+        return self.before(rows, batch_id).join(rows.select(*self.keys).distinct(), self.keys, "left_semi")
+
+    def keep(self, rows: DataFrame, batch_id: int) -> None:
+        """Leave to the next batch what ``newest`` makes of the memory and ``rows``."""
+        table = self.newest(self.before(rows, batch_id), rows).select(*rows.columns)
+        table = table.withColumn(_AS_OF, F.lit(batch_id).cast("long"))
+        table.repartition(self.files, *self.keys).write.mode("overwrite").parquet(self._folder(batch_id))
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.path}/turn={batch_id % 2}"
 
 
 def tag_batches(
@@ -39,26 +71,26 @@ def tag_batches(
 ) -> Write:
     """Pattern tags of each micro-batch into the folder ``tags``.
 
-    ``memory`` holds the last ring of each device. A tag equal to an earlier one is not
+    ``memory`` holds the last ring of each device, in ``buckets`` files. A tag equal to an earlier one is not
     repeated, whenever that was.
     """
     order = (ARRIVED, arrived, tie)
     columns = list(dict.fromkeys(["deviceId", "eventId", "type", "value", "createdAt", arrived, tie]))
-    append = merge_append(tags, ("deviceId", "trigger_id", "tag"), ("trigger_at",))
+    append = merge_append(tags, ("deviceId", "trigger_id", "tag"), ("trigger_at",), buckets)
 
     def newest(stored: DataFrame, rows: DataFrame) -> DataFrame:
         by = [F.col(c).desc() for c in order]
         return first_rows(stored.unionByName(rows), ["deviceId"], by, rules.ring - 1)
 
-    remember = upsert(memory, ("deviceId",), buckets=buckets, combine=newest)
+    remember = Memory(memory, ("deviceId",), buckets, newest)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns, F.lit(batch_id).cast("long").alias(ARRIVED)).persist()
         try:
-            known = _remembered(rows, memory, ["deviceId"], batch_id)
+            known = remember.of(rows, batch_id)
             new = F.col(ARRIVED) == batch_id
             append(pattern_tags(known.unionByName(rows), order, rules, limits, new), batch_id)
-            remember(rows, batch_id)
+            remember.keep(rows, batch_id)
         finally:
             rows.unpersist()
 
@@ -84,17 +116,17 @@ def dedup_batches(
         last = met.agg(F.max(F.struct(*order)).alias("_met")).select("*", "_met.*")
         return first_rows(last, keys, [F.col("_met").desc()], size).select(*rows.columns)
 
-    remember = upsert(memory, keys, buckets=buckets, combine=newest)
+    remember = Memory(memory, keys, buckets, newest)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn(ARRIVED, F.lit(batch_id).cast("long")).persist()
         try:
             ids = rows.select(*dict.fromkeys([*keys, id_column, *order]))
-            known = _remembered(ids, memory, keys, batch_id)
+            known = remember.of(ids, batch_id)
             both = rows.unionByName(known, allowMissingColumns=True)
             kept = lru_dedup(both, keys, id_column, order, size, limits)
             append(kept.where(F.col(ARRIVED) == batch_id).drop(ARRIVED), batch_id)
-            remember(ids, batch_id)
+            remember.keep(ids, batch_id)
         finally:
             rows.unpersist()
 
@@ -121,17 +153,16 @@ def late_batches(
     append = append_once(out)
 
     def newest(stored: DataFrame, rows: DataFrame) -> DataFrame:
-        both = stored.unionByName(rows.select(*stored.columns))
-        return both.groupBy(*by, "bucket").agg(F.max("_before").alias("_before"))
+        return stored.unionByName(rows).groupBy(*by).agg(F.max("_before").alias("_before"))
 
-    remember = upsert(memory, by, buckets=buckets, combine=newest)
+    remember = Memory(memory, by, buckets, newest)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if keys else batch.withColumn("_stream", F.lit(0))
         rows = rows.persist()
         try:
             clock = rows.groupBy(*by).agg(F.max(F.unix_micros(time)).alias("_before"))
-            known = latest_buckets(rows.sparkSession, memory, clock.schema, before=batch_id)
+            known = remember.before(clock, batch_id)
             joined = rows.join(known, by, "left")
             how = (time, arrival, tolerance_ms, keys)
             if adjusted is None:
@@ -142,7 +173,7 @@ def late_batches(
             else:
                 kept = late_adjust(joined, *how, adjusted, limits, "_before")
             append(kept.select(*batch.columns, *([adjusted] if adjusted else [])), batch_id)
-            remember(clock, batch_id)
+            remember.keep(clock, batch_id)
         finally:
             rows.unpersist()
 
@@ -168,16 +199,16 @@ def spike_batches(
         by = [F.col(c).desc() for c in (time, *tie)]
         return first_rows(stored.unionByName(rows), keys, by, history)
 
-    remember = upsert(memory, keys, buckets=buckets, combine=newest)
+    remember = Memory(memory, keys, buckets, newest)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns).persist()
         try:
-            known = _remembered(rows, memory, keys, batch_id).withColumn("_new", F.lit(False))
+            known = remember.of(rows, batch_id).withColumn("_new", F.lit(False))
             both = rows.withColumn("_new", F.lit(True)).unionByName(known)
             scored = spike_dip(both, keys, time, value, tie, history=history, keep=["_new"], **how)
             append(scored.where("_new").drop("_new"), batch_id)
-            remember(rows, batch_id)
+            remember.keep(rows, batch_id)
         finally:
             rows.unpersist()
 

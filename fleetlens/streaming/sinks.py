@@ -9,21 +9,21 @@ from functools import reduce
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from fleetlens.functions.scalars import ISO_MILLIS, now, partition_of, timestamps_to_iso
+from fleetlens.functions.scalars import ISO_MILLIS, now
 from fleetlens.operators.decode import record_to_json
-from fleetlens.operators.dedup import not_in, staging_dedup, upsert_latest
-from fleetlens.operators.device import status_rows, update_status
+from fleetlens.operators.dedup import not_in, staging_dedup
 from fleetlens.operators.ordered import first_rows
 from fleetlens.operators.windows import split_newest
 from fleetlens.sources.logs import producer_options
+from fleetlens.streaming import keys as key_index
 
 Write = Callable[[DataFrame, int], None]
-BATCH, BUCKET = "batch_id", "bucket"
+BATCH = key_index.BATCH
 
 
 def batch_folder(path: str, batch_id: int) -> str:
@@ -39,14 +39,6 @@ def committed(spark: SparkSession, path: str, before: int | None = None) -> list
     return [n for n in found if before is None or n < before]
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    return [entry.getPath().getName() for entry in files.listStatus(folder)]
-
-
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
 ) -> DataFrame:
@@ -89,37 +81,55 @@ def merge_append(
     path: str,
     keys: Sequence[str] = ("PartitionId", "eventId"),
     order: Sequence[str] = ("enqueuedAt",),
-    day_of: str | None = None,
+    buckets: int = 64,
 ) -> Write:
     """Insert the rows whose key is in no earlier batch, once each.
 
-    The keys of all earlier batches are read and no other column. A caller who knows that
-    copies of a row share a time can name it in ``day_of``: folders are then split by its
-    day, and only the days that a batch has are read.
+    Earlier keys come from an index beside the data (``streaming.keys``), and only from the
+    buckets that the keys of this batch fall into. ``buckets`` must not change while the
+    index lives; take so many that a bucket's keys fit a task.
     """
+    return _indexed(path, keys, buckets, lambda rows: staging_dedup(rows, keys, order), reject=False)
+
+
+def unique_append(path: str, keys: Sequence[str] = ("eventId",), buckets: int = 64) -> Write:
+    """Append whole batches under a unique key: a batch fails if it has a key twice, or one
+    that an earlier batch has. A failed batch leaves nothing behind."""
+    return _indexed(path, keys, buckets, lambda rows: rows, reject=True)
+
+
+def _indexed(
+    path: str, keys: Sequence[str], buckets: int, staged: Callable[[DataFrame], DataFrame], reject: bool
+) -> Write:
+    index = key_index.folder_of(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch if day_of is None else batch.withColumn("_day", F.to_date(day_of))
-        rows = rows.persist()
+        rows = batch.persist()
         try:
-            earlier = read_batches(batch.sparkSession, path, rows.schema, before=batch_id)
-            if day_of is not None:
-                earlier = _same_days(earlier, rows)
-            fresh = not_in(staging_dedup(rows, keys, order), earlier, keys, rows)
-            writer = fresh.write.mode("overwrite")
-            if day_of is not None:
-                writer = writer.partitionBy("_day")
-            writer.parquet(batch_folder(path, batch_id))
+            spark, kind = batch.sparkSession, rows.select(*keys).schema
+            some = key_index.touched(rows, keys, buckets)
+            earlier = key_index.held(spark, index, kind, some, batch_id)
+            if reject:
+                _reject(rows, earlier, keys)
+                fresh = rows
+            else:
+                fresh = not_in(staged(rows), earlier, keys, rows)
+            folder = batch_folder(path, batch_id)
+            fresh.write.mode("overwrite").parquet(folder)
+            # Read back: what was written is what counts, and its keys are few columns.
+            key_index.add(spark.read.schema(rows.schema).parquet(folder), index, keys, buckets, batch_id)
         finally:
             rows.unpersist()
 
     return write
 
 
-def _same_days(earlier: DataFrame, rows: DataFrame) -> DataFrame:
-    """Only the day folders that ``rows`` touch: Spark prunes them while the query runs."""
-    days = rows.select(F.col("_day").alias("_wanted")).distinct()
-    return earlier.join(days, F.col("_day").eqNullSafe(F.col("_wanted")), "left_semi")
+def _reject(rows: DataFrame, earlier: DataFrame, keys: Sequence[str]) -> None:
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again = rows.select(*keys).join(earlier, list(keys), "left_semi")
+    broken = twice.union(again).limit(1).collect()
+    if broken:
+        raise ValueError(f"duplicate key {broken[0].asDict()!r}")
 
 
 def delta_merge(table: str, keys: Sequence[str], update: bool = False) -> Write:
@@ -141,88 +151,7 @@ def merge_statement(table: str, source: str, keys: Sequence[str], update: bool =
     )
 
 
-# -- upserts -------------------------------------------------------------------------
-
-
-def upsert(
-    path: str,
-    keys: Sequence[str] = ("id",),
-    order: Sequence[Column] | None = None,
-    buckets: int = 64,
-    combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-    snapshot_every: int = 100,
-) -> Write:
-    """Keep the newest row per key, whichever batch it came in; of rows equal in ``order``
-    that of the later batch. Only the hash buckets that a batch touches are written again; ``combine(existing, changes)`` may replace the default rule.
-
-    Every ``snapshot_every``-th batch writes all buckets, and what lies before the last such
-    batch is deleted. So the folders to look through do not grow with the age of the table.
-
-    For tables with few rows per device. A large table, where each batch would touch all
-    buckets, is better appended (:func:`append_once`) and read with :func:`newest_rows`.
-    """
-    newest = order or [F.col("enqueuedAt").desc()]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        bucket = partition_of(F.concat_ws("\x1f", *keys), buckets)
-        rows = batch.withColumn(BUCKET, bucket).persist()
-        try:
-            touched = None
-            if batch_id % snapshot_every:
-                touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
-            stored = latest_buckets(spark, path, rows.schema, touched, before=batch_id)
-            if combine is not None:
-                out = combine(stored, rows)
-            else:
-                out = upsert_latest(stored, rows, keys, newest)
-            # Few files per bucket; a bucket too large for one task is split by the engine.
-            out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
-                batch_folder(path, batch_id)
-            )
-            _drop_before(spark, path, (batch_id - 1) // snapshot_every * snapshot_every)
-        finally:
-            rows.unpersist()
-
-    return write
-
-
-def _drop_before(spark: SparkSession, path: str, snapshot: int) -> None:
-    """Delete the batches before a snapshot that lies before the current batch."""
-    done = committed(spark, path)
-    if snapshot not in done:
-        return
-    for n in done:
-        if n < snapshot:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, n))
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def latest_buckets(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    wanted: Sequence[int] | None = None,
-    before: int | None = None,
-) -> DataFrame:
-    """The current rows of an upserted folder: each bucket as last written.
-
-    Found from folder names, newest batch first; only the folders needed are read.
-    """
-    folders: dict[int, str] = {}
-    for n in reversed(committed(spark, path, before)):
-        if wanted is not None and folders.keys() >= set(wanted):
-            break
-        for name in _children(spark, batch_folder(path, n)):
-            if name.startswith(f"{BUCKET}="):
-                bucket = int(name.removeprefix(f"{BUCKET}="))
-                if wanted is None or bucket in wanted:
-                    folders.setdefault(bucket, f"{batch_folder(path, n)}/{name}")
-    if not folders:
-        return spark.createDataFrame([], schema)
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    reader = spark.read.schema(full).option("basePath", path)
-    return reader.parquet(*folders.values()).select(*schema.fieldNames())
+# -- newest rows of appended changes (kept state: ``streaming.newest``) --------------
 
 
 def newest_rows(
@@ -238,32 +167,6 @@ def newest_rows(
     return first_rows(rows, keys, by).drop(BATCH)
 
 
-def document_upsert(path: str, buckets: int = 64) -> Write:
-    """Documents by ``id``, times as ISO texts."""
-    write = upsert(path, ("id",), [F.col("enqueuedAt").desc()], buckets)
-
-    def body(batch: DataFrame, batch_id: int) -> None:
-        write(timestamps_to_iso(batch.withColumn("id", F.col("eventId"))), batch_id)
-
-    return body
-
-
-def history_and_status(history: str, status: str, buckets: int = 64) -> Write:
-    """Dual write: all events, and the newest status of each device."""
-    append = payload_append(history)
-    newest = upsert(status, ("deviceId",), buckets=buckets, combine=update_status)
-
-    def body(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            append(batch, batch_id)
-            newest(status_rows(batch), batch_id)
-        finally:
-            batch.unpersist()
-
-    return body
-
-
 # -- messages and texts --------------------------------------------------------------
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
+import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,7 +15,7 @@ from fleetlens import fixtures, schema
 from fleetlens.functions import scalars
 from fleetlens.operators import decode, dedup, device, quality
 from fleetlens.sources import files, logs, stores
-from fleetlens.streaming import runs, sinks
+from fleetlens.streaming import keys, newest, runs, sinks
 from fleetlens.streaming.windows import minute_rate_stream
 
 AT = datetime(2024, 1, 1)
@@ -241,19 +244,28 @@ def test_unfinished_batches_are_not_read(spark, tmp_path, rows):
     assert sinks.read_batches(spark, str(tmp_path / "none"), rows.schema).count() == 0
 
 
-def test_document_upsert(spark, tmp_path, rows):
-    out = str(tmp_path / "docs")
-    write = sinks.document_upsert(out, buckets=4)
+def later_batches(spark, folder, parts):
+    """A stream with one micro-batch for each of ``parts``."""
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{folder}/part-{i}")
+        for name in os.listdir(f"{folder}/part-{i}"):
+            os.utime(f"{folder}/part-{i}/{name}", (1_700_000_000, 1_000_000 + i))
+    reader = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{folder}/part-*")
+
+
+def test_documents_kept(spark, tmp_path, rows):
     later = F.timestamp_add("SECOND", F.lit(60), F.col("enqueuedAt"))
     newer = rows.where("PartitionId = 0").withColumns({"value": F.lit(-1.0), "enqueuedAt": later})
-    write(rows, 0)
-    write(newer.union(newer.withColumn("value", F.lit(-2.0)).withColumn("enqueuedAt", F.col("createdAt"))), 1)
-    write(newer, 1)
-    kind = scalars.timestamps_to_iso(rows.withColumn("id", F.col("eventId"))).schema
-    got = sinks.latest_buckets(spark, out, kind)
+    older = newer.withColumn("value", F.lit(-2.0)).withColumn("enqueuedAt", F.col("createdAt"))
+    stream = later_batches(spark, str(tmp_path / "in"), [rows, newer.union(older), newer])
+    runs.drain(newest.keep_documents(stream, str(tmp_path / "c")), need_batches=3)
+    got = newest.current(spark, str(tmp_path / "c"))
     assert got.count() == got.select("id").distinct().count() == 200
-    assert got.where("value = -1").count() == newer.count()
+    assert got.where("value = -1").count() == newer.count() and got.where("value = -2").count() == 0
     assert got.where("createdAt not like '____-__-__T__:__:__.___Z'").count() == 0
+    before = newest.current(spark, str(tmp_path / "c"), batch_id=0)
+    assert before.count() == 200 and before.where("value < 0").count() == 0
 
 
 def test_changes_merged_on_read(spark, tmp_path, rows):
@@ -267,23 +279,46 @@ def test_changes_merged_on_read(spark, tmp_path, rows):
     assert bag(got) == bag(rows.where("PartitionId <> 0").union(newer))
 
 
-def test_history_and_status(spark, tmp_path, rows):
+@pytest.mark.parametrize("always", [False, True])
+def test_history_and_status(spark, tmp_path, rows, always):
     history, status = str(tmp_path / "h"), str(tmp_path / "s")
     events = rows.withColumns(
         {"deviceSequenceNumber": F.col("eventId").cast("long"), "ComplexData": F.lit('{"moreData2":1.5}')}
     )
-    write = sinks.history_and_status(history, status, buckets=4)
     new, old = events.where("deviceSequenceNumber >= 100"), events.where("deviceSequenceNumber < 100")
-    write(new, 0)
-    write(old, 1)
-    kind = device.status_rows(events).schema
-    got = sinks.latest_buckets(spark, status, kind)
+    stream = later_batches(spark, str(tmp_path / "in"), [new, old])
+    if always:
+        writers = [newest.keep_status(stream, status, always_replace=True)]
+    else:
+        writers = newest.history_and_status(stream, history, status, str(tmp_path / "c"))
+    for writer in writers:
+        runs.drain(writer, need_batches=2)
+    got = newest.current(spark, status)
+    if always:
+        last = {r["deviceId"] for r in old.select("deviceId").distinct().collect()}
+        assert {r["deviceId"] for r in got.where("deviceSequenceNumber < 100").collect()} == last
+        return
     assert bag(got.select("deviceId", "eventId")) == bag(device.status_rows(events).select("deviceId", "eventId"))
     assert str(got.collect()[0]["MoreData2"]) == "1.5000"
     stored = spark.read.parquet(history)
     assert stored.count() == 200 and stored.select("BatchId").distinct().count() == 2
 
 
+def test_twins_of_a_stream_over_a_restart(spark, tmp_path, rows):
+    events = rows.withColumns(
+        {"deviceSequenceNumber": F.col("eventId").cast("long"), "complexData": F.create_map(F.lit("k"), F.col("value"))}
+    )
+    arrival, folder, check = ("enqueuedAt", "eventId"), str(tmp_path / "in"), str(tmp_path / "c")
+    parts = [events.where(f"cast(eventId as long) % 3 = {i}") for i in (2, 0, 1)]
+    runs.drain(newest.keep_twins(later_batches(spark, folder, parts[:2]), check, arrival), need_batches=2)
+    parts[2].write.parquet(f"{folder}/part-9")
+    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/part-*")
+    runs.drain(newest.keep_twins(stream, check, arrival), need_batches=1)
+    got = newest.current_twins(spark, check, arrival)
+    want = device.twin_state(events, arrival).select(*got.columns)
+    assert bag(got) == bag(want) and got.count() > 1
+
+
 def test_texts_and_messages(spark, tmp_path, rows):
     sinks.json_lines(str(tmp_path / "lines"))(rows, 0)
     assert spark.read.json(str(tmp_path / "lines")).count() == 200
@@ -313,32 +348,89 @@ def test_merge_compares_keys_whatever_the_day(spark, tmp_path):
     assert sinks.read_batches(spark, out, first.schema).count() == 2
 
 
-def test_upsert_keeps_the_newest_whichever_batch(spark, tmp_path):
+def test_the_newest_row_whichever_batch(spark, tmp_path):
     kind = "id string, v long, enqueuedAt timestamp"
-    newer = spark.createDataFrame([("x", 1, AT + timedelta(hours=1)), ("y", 1, AT)], kind)
-    older = spark.createDataFrame([("x", 2, AT), ("y", 2, AT)], kind)
-    folders = [str(tmp_path / "a"), str(tmp_path / "b")]
-    for write in (sinks.upsert(folders[0], buckets=2), sinks.append_once(folders[1])):
-        write(newer, 0)
-        write(older, 1)
-    states = [sinks.latest_buckets(spark, folders[0], newer.schema), sinks.newest_rows(spark, folders[1], newer.schema)]
-    for state in states:
-        assert {r["id"]: r["v"] for r in state.collect()} == {"x": 1, "y": 2}
+    newer = spark.createDataFrame([("x", 1, AT + timedelta(hours=1)), ("y", 1, AT), ("z", 1, None)], kind)
+    older = spark.createDataFrame([("x", 2, AT), ("y", 2, AT), ("z", 2, AT), (None, 2, AT)], kind)
+    folder = str(tmp_path / "b")
+    write = sinks.append_once(folder)
+    write(newer, 0)
+    write(older, 1)
+    runs.drain(newest.keep_newest(later_batches(spark, str(tmp_path / "in"), [newer, older]), str(tmp_path / "c")))
+    for state in [newest.current(spark, str(tmp_path / "c")), sinks.newest_rows(spark, folder, newer.schema)]:
+        assert {r["id"]: r["v"] for r in state.collect()} == {"x": 1, "y": 2, "z": 2, None: 2}
+
+
+# -- the key index -------------------------------------------------------------------
+
+
+KEYED = "PartitionId long, eventId string, enqueuedAt timestamp"
+
+
+def keyed(spark, first, n):
+    return spark.createDataFrame([(k % 3, f"e{k}", AT) for k in range(first, first + n)], KEYED)
+
+
+def test_a_batch_reads_its_own_buckets_only(spark, tmp_path):
+    """The hundredth batch of five keys reads what lies in at most five of 64 buckets."""
+    out, names = str(tmp_path / "out"), ["PartitionId", "eventId"]
+    index = keys.folder_of(out)
+    for n in range(99):
+        keys.add(keyed(spark, 5 * n, 5).coalesce(1), index, names, 64, n)
+    last = keyed(spark, 493, 5)  # two of these keys are known
+    some = keys.touched(last, names, 64)
+    found = keys.held(spark, index, last.select(*names).schema, some, 99)
+    files = found.inputFiles()
+    assert 0 < len(some) <= 5 and {int(re.search(r"bucket=(\d+)/", f)[1]) for f in files} <= set(some)
+    every = [p for p in (tmp_path / "out" / "_keys").rglob("*.parquet")]
+    read = sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+    assert read * 5 < sum(p.stat().st_size for p in every)
+    write = sinks.merge_append(out, buckets=64)
+    write(last, 99)
+    write(last, 99)  # a replay does not meet its own keys
+    got = spark.read.parquet(out)
+    assert sorted(r["eventId"] for r in got.collect()) == ["e495", "e496", "e497"]
+
+
+def test_merge_against_a_plain_model(spark, tmp_path):
+    rng, out, seen, want = random.Random(4), str(tmp_path / "out"), set(), []
+    write = sinks.merge_append(out, ("eventId",), ("at",), buckets=4)
+    for n in range(6):
+        batch = [(rng.choice([None, *"abcdefghijklmnop"]), rng.randrange(100) + n / 10) for _ in range(rng.randint(0, 12))]
+        df = spark.createDataFrame(batch, "eventId string, at double")
+        write(df, n)
+        if n % 2:
+            write(df, n)
+        for key in {k for k, _ in batch if k is not None and k not in seen}:
+            want.append((key, min(at for k, at in batch if k == key)))
+            seen.add(key)
+    got = sinks.read_batches(spark, out, df.schema).where("eventId is not null")
+    assert sorted((r["eventId"], r["at"]) for r in got.collect()) == sorted(want)
+
+
+def test_the_index_can_be_made_again(spark, tmp_path):
+    out, names = str(tmp_path / "out"), ["PartitionId", "eventId"]
+    sinks.append_once(out)(keyed(spark, 0, 50), 0)  # a table without an index
+    keys.rebuild(spark.read.schema(KEYED).parquet(out), keys.folder_of(out), names, 8)
+    assert len(list((tmp_path / "out" / "_keys").rglob("*.parquet"))) <= 8
+    sinks.merge_append(out, buckets=8)(keyed(spark, 40, 20), 1)
+    assert spark.read.parquet(out).count() == 60
+
+
+def test_unique_keys_over_batches(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = sinks.unique_append(out, buckets=4)
+    write(keyed(spark, 0, 10), 0)
+    for bad in (keyed(spark, 9, 3), keyed(spark, 20, 2).union(keyed(spark, 21, 1))):
+        with pytest.raises(ValueError, match="duplicate key"):
+            write(bad, 1)
+    write(keyed(spark, 10, 3), 1)
+    write(keyed(spark, 10, 3), 1)
+    write(keyed(spark, 0, 0), 2)
+    assert sorted(r["eventId"] for r in sinks.read_batches(spark, out, spark.createDataFrame([], KEYED).schema).collect()) == sorted(f"e{k}" for k in range(13))
 
 
 def test_long_texts_are_split_off_and_not_cut(spark):
     df = spark.createDataFrame([("a" * 5000, 1), ("b", 2), (None, 3)], "t string, n long")
     fit, long = sinks.split_long_texts(df, 4000)
     assert {r["n"] for r in fit.collect()} == {2, 3} and [len(r["t"]) for r in long.collect()] == [5000]
-
-
-def test_upserted_folders_do_not_pile_up(spark, tmp_path):
-    kind, out = "id string, v long, enqueuedAt timestamp", str(tmp_path / "out")
-    write = sinks.upsert(out, buckets=2, snapshot_every=3)
-    for n in range(11):
-        batch = spark.createDataFrame([(f"k{n % 4}", n, AT + timedelta(hours=n)), (f"only{n}", n, AT)], kind)
-        write(batch, n)
-        write(batch, n)  # a replay
-        assert len(sinks.committed(spark, out)) <= 6
-    state = {r["id"]: r["v"] for r in sinks.latest_buckets(spark, out, batch.schema).collect()}
-    assert state == {f"k{k}": max(n for n in range(11) if n % 4 == k) for k in range(4)} | {f"only{n}": n for n in range(11)}
