@@ -146,6 +146,20 @@ def counter_rate(
     )
 
 
+def processing_columns(
+    failed: Column, start: str = "enqueuedAt", end: str = "processedAt"
+) -> list[Column]:
+    """Events, failures and the spread of the processing time, as aggregates."""
+    elapsed = millis_between(start, end)
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(failed).alias("n_bad"),
+        F.min(elapsed).alias("min_ms"),
+        F.max(elapsed).alias("max_ms"),
+        F.avg(elapsed).alias("avg_ms"),
+    ]
+
+
 def processing_stats(
     df: DataFrame,
     batch: Sequence[str],
@@ -154,22 +168,20 @@ def processing_stats(
     end: str = "processedAt",
 ) -> DataFrame:
     """Per batch: events, failures and the spread of the processing time."""
-    elapsed = millis_between(start, end)
-    return df.groupBy(*batch).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(failed).alias("n_bad"),
-        F.min(elapsed).alias("min_ms"),
-        F.max(elapsed).alias("max_ms"),
-        F.avg(elapsed).alias("avg_ms"),
-    )
+    return df.groupBy(*batch).agg(*processing_columns(failed, start, end))
 
 
-def latency_metric(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Sum, count, minimum and maximum of a latency."""
+def latency_columns(start: str, end: str) -> list[Column]:
+    """Sum, count, minimum and maximum of a latency, as aggregates."""
     elapsed = millis_between(start, end)
-    return df.agg(
+    return [
         F.sum(elapsed).alias("sum_ms"),
         F.count(elapsed).alias("n"),
         F.min(elapsed).alias("min_ms"),
         F.max(elapsed).alias("max_ms"),
-    )
+    ]
+
+
+def latency_metric(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Sum, count, minimum and maximum of a latency."""
+    return df.agg(*latency_columns(start, end))

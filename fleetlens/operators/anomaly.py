@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import log2
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.operators.ordered import DEFAULT, Limits, cut, running_max
+from fleetlens.operators.ordered import DEFAULT, Limits, cut, numbered, running_max
 
 SPIKES, DIPS, BOTH = "spikes", "dips", "spikesanddips"
 
@@ -91,27 +92,10 @@ def spike_dip(
     more equal values) any other value is infinitely far; with less history the score is 0.
     ``keep`` names further columns of the result.
     """
-    runs = cut(df, keys, [time, *tie], limits).with_neighbours(before=history)
-    frame = runs.window.rowsBetween(-history, -1)
-    at = F.unix_micros(time)
-    before = F.collect_list(F.struct(at.alias("t"), F.col(value).alias("v"))).over(frame)
-    oldest = F.col("_t") - F.lit(duration_ms * 1000)
-    rows = runs.df.withColumn("_t", at).withColumn("_before", before)
-    recent = F.transform(F.filter("_before", lambda p: p["t"] >= oldest), lambda p: p["v"])
-    rows = rows.withColumn("_before", recent)
-    if robust:
-        rows = rows.withColumn("_middle", _median(F.col("_before")))
-        spread = _median(
-            F.transform("_before", lambda v: F.abs(v - F.col("_middle")))
-        ) * F.lit(1.4826)
-    else:
-        rows = rows.withColumn("_middle", _mean(F.col("_before")))
-        spread = F.sqrt(
-            _mean(F.transform("_before", lambda v: F.pow(v - F.col("_middle"), F.lit(2.0))))
-        )
-    rows = rows.withColumn("_spread", spread)
+    how = _against_median if robust else _against_mean
+    rows = how(df, list(keys), time, value, tie, history, duration_ms * 1000, limits)
     away = F.col(value) - F.col("_middle")
-    flat = (F.col("_spread") == 0) & (F.size("_before") > 1) & (away != 0)
+    flat = (F.col("_spread") == 0) & (F.col("_n") > 1) & (away != 0)
     score = (
         F.when(F.col("_spread") > 0, away / F.col("_spread"))
         .when(flat, F.signum(away) * F.lit(float("inf")))
@@ -120,9 +104,7 @@ def spike_dip(
     limit = NormalDist().inv_cdf(0.5 + confidence / 200)
     high, low = F.col("score") >= limit, F.col("score") <= -limit
     found = {SPIKES: high, DIPS: low, BOTH: high | low}[mode]
-    return runs.result(
-        rows.withColumn("score", score).withColumn("is_anomaly", found.cast("long"))
-    ).select(
+    return rows.withColumn("score", score).withColumn("is_anomaly", found.cast("long")).select(
         *[k for k in keys if k in df.columns],
         F.col(time).alias("time"),
         F.col(value).alias("val"),
@@ -132,9 +114,112 @@ def spike_dip(
     )
 
 
-def _mean(values: Column) -> Column:
-    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-    return F.try_divide(total, F.size(values).cast("double"))
+def _against_median(
+    df: DataFrame, keys: list[str], time: str, value: str, tie: Sequence[str], history: int, age: int, limits: Limits
+) -> DataFrame:
+    """Add ``_middle``, ``_spread`` and ``_n`` of the recent values before each row.
+
+    The median of the distances from a median that moves with each row has no running form:
+    here, and only here, a row carries its at most ``history`` values.
+    """
+    runs = cut(df, keys, [time, *tie], limits).with_neighbours(before=history)
+    frame = runs.window.rowsBetween(-history, -1)
+    at = F.unix_micros(time)
+    before = F.collect_list(F.struct(at.alias("t"), F.col(value).alias("v"))).over(frame)
+    oldest = F.col("_t") - F.lit(age)
+    rows = runs.df.withColumn("_t", at).withColumn("_before", before)
+    recent = F.transform(F.filter("_before", lambda p: p["t"] >= oldest), lambda p: p["v"])
+    rows = rows.withColumn("_before", recent).withColumn("_middle", _median(F.col("_before")))
+    spread = _median(F.transform("_before", lambda v: F.abs(v - F.col("_middle")))) * F.lit(1.4826)
+    return runs.result(rows.withColumn("_spread", spread).withColumn("_n", F.size("_before")))
+
+
+#: Rows of a key whose running sums are kept together.
+BLOCK = 4096
+
+
+def _against_mean(
+    df: DataFrame, keys: list[str], time: str, value: str, tie: Sequence[str], history: int, age: int, limits: Limits
+) -> DataFrame:
+    """The same with mean and standard deviation, from running sums and without lists.
+
+    The recent values are all before this row but the first ones: those more than
+    ``history`` rows back, or those too old, whichever are more. So their sums are
+    differences of two running sums, each of which Spark moves along in constant time. A key
+    is cut into blocks of ``BLOCK`` rows, each with the last ``history`` rows of the block
+    before, which bounds the largest task.
+
+    A difference of long sums of doubles would lose what is left after a spike has passed.
+    So the sums are of whole numbers, as decimals: the distance from the mean of the block in
+    steps of about 2^-56 of the largest such distance. Whether the recent values are all
+    equal is told by the place of the last change. Missing and infinite values count as rows
+    but not as values.
+    """
+    df, keys = (df, keys) if keys else (df.withColumn("_one", F.lit(0)), ["_one"])
+    size = max(BLOCK, 4 * history)
+    rows = numbered(df, keys, [time, *tie], "_place", limits)
+    number, inside = F.floor((F.col("_place") - 1) / size), (F.col("_place") - 1) % size
+    blocks = F.when(inside >= size - history, F.array(number, number + 1)).otherwise(F.array(number))
+    rows = rows.withColumns({"_own": number, "_t": F.unix_micros(time), "_block": F.explode(blocks)})
+    whole = Window.partitionBy(*keys, "_block")
+    # The order by time alone needs no sort of its own after this one.
+    line, ages = whole.orderBy("_t", "_place"), whole.orderBy("_t")
+    first, here = Window.unboundedPreceding, Window.currentRow
+    number_ = F.col(value).cast("double")
+    rows = rows.withColumn("_v", F.when(F.abs(number_) < float("inf"), number_))
+    rows = rows.withColumn("_base", F.avg("_v").over(whole))
+    rows = rows.withColumns(
+        {
+            "_far": F.max(F.abs(F.col("_v") - F.col("_base"))).over(whole),
+            "_last": F.last("_v", ignorenulls=True).over(line.rowsBetween(first, -1)),
+            "_at": F.count("_v").over(line.rowsBetween(first, here)),
+        }
+    )
+    # As many bits as sums of squares of a block, and squares of sums of a history, leave.
+    bits = int(log2(5e37 / max(size + history, history * history)) // 2)
+    step = F.when(F.col("_far") > 0, F.pow(F.lit(2.0), F.ceil(F.log2("_far")) - bits)).otherwise(1.0)
+    rows = rows.withColumn("_step", step)
+    steps = F.round((F.col("_v") - F.col("_base")) / F.col("_step")).cast("long").cast("decimal(19,0)")
+    changed = F.when(F.col("_v") != F.col("_last"), F.col("_at"))
+    rows = rows.withColumns({"_k": steps, "_change": changed})
+    frames = {
+        "before": line.rowsBetween(first, -1),
+        "beyond": line.rowsBetween(first, -history - 1),
+        "old": ages.rangeBetween(first, -age - 1),
+    }
+    sums = {
+        "rows": F.count(F.lit(1)),
+        "n": F.count("_k"),
+        "s": F.sum("_k"),
+        "q": F.sum(F.col("_k") * F.col("_k")),
+    }
+    rows = rows.withColumns(
+        {f"_{f}_{s}": F.coalesce(total.over(w), F.lit(0)) for f, w in frames.items() for s, total in sums.items()}
+        | {"_changed": F.max("_change").over(frames["before"])}
+    ).where(F.col("_block") == F.col("_own"))
+    aged = F.col("_old_rows") >= F.col("_beyond_rows")
+    left_out = {s: F.when(aged, F.col(f"_old_{s}")).otherwise(F.col(f"_beyond_{s}")) for s in sums}
+    # Without a time nothing is recent.
+    n = F.when(F.col("_t").isNull(), 0).otherwise(F.greatest(F.col("_before_n") - left_out["n"], F.lit(0)))
+    flat = F.coalesce(F.col("_changed") <= left_out["n"] + 1, F.lit(True))
+    rows = rows.withColumns(
+        {
+            "_n": n.cast("int"),
+            "_flat": flat,
+            "_s": (F.col("_before_s") - left_out["s"]).cast("decimal(19,0)"),
+            "_q": (F.col("_before_q") - left_out["q"]).cast("decimal(38,0)"),
+        }
+    )
+    some = F.col("_n") > 0
+    mean = F.col("_base") + F.try_divide(F.col("_s").cast("double"), F.col("_n")) * F.col("_step")
+    square = (F.col("_q") * F.col("_n") - F.col("_s") * F.col("_s")).cast("double")
+    spread = F.try_divide(F.sqrt(F.greatest(square, F.lit(0.0))), F.col("_n")) * F.col("_step")
+    return rows.withColumns(
+        {
+            "_middle": F.when(some, F.when(F.col("_flat"), F.col("_last")).otherwise(mean)),
+            "_spread": F.when(some, F.when(F.col("_flat"), 0.0).otherwise(spread)),
+        }
+    )
 
 
 def _median(values: Column) -> Column:

@@ -3,19 +3,14 @@
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterable, Sequence
-from itertools import groupby
+from collections.abc import Callable, Iterable, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalars import partition_of
-from fleetlens.operators.ordered import RUN, Limits, cut, first_rows
-
-# A run is one Arrow table in a Python worker here, so runs are shorter than elsewhere.
-REPLAY = Limits(max_rows=100_000)
+from fleetlens.operators.ordered import DEFAULT, Limits, cut, first_rows, numbered, previous
+from fleetlens.streaming.runs import shared_folder
 
 
 def staging_dedup(
@@ -136,64 +131,74 @@ def lru_dedup(
     id_column: str,
     order: Sequence[str],
     size: int = 100,
-    limits: Limits = REPLAY,
+    limits: Limits = DEFAULT,
+    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Drop an event if its id is among the ``size`` ids last met for its key.
 
-    One shuffle by key, with a hot key cut into runs. A run starts from the memory the
-    earlier runs leave: at most ``size`` ids for each of them, folded per key.
+    That is so if fewer than ``size`` different ids lie between the event and the one with
+    the same id before it. With fewer than ``size`` events in between nothing has to be
+    counted. Else the different ids are the events in between less those that another one in
+    between follows with the same id: the *pairs* (event, next event of that id) that lie
+    wholly inside. Only ids that occur again make pairs. They are numbered by their ends, and
+    a number of pairs is a sum over blocks of 1, 2, 4, ... of them, at most one of each
+    size; in a block one running count in the order of the beginnings answers all questions.
+
+    All steps are windows over columns that hot keys are cut by. Events are numbered once and
+    held as a table (``hold``: by default written below the shared folder), so that events
+    equal in the whole order have one place each. Missing keys or ids are values like others.
     """
-    keys, order = list(keys), list(order)
-    runs = cut(df, keys, order, limits)
-    rows = runs.df.select(
-        *df.columns, *([k for k in runs.keys if k not in df.columns]), RUN
-    ).withColumn("_memory", F.lit(None).cast("int"))
-    if runs.is_cut:
-        rows = rows.unionByName(
-            _memories(runs, id_column, size), allowMissingColumns=True
-        )
-
-    def replay(rows: pa.Table) -> pa.Table:
-        carried = rows.filter(pc.is_valid(rows["_memory"])).sort_by("_memory")
-        own = rows.filter(pc.is_null(rows["_memory"]))
-        in_order = pc.sort_indices(
-            own,
-            sort_keys=[(c, "ascending") for c in order],
-            null_placement="at_start",
-        )
-        own = own.take(in_order)
-        fresh, _ = recently_seen(
-            own[id_column].to_pylist(), size, carried[id_column].to_pylist()
+    keys = list(keys)
+    if not keys:
+        df, keys = df.withColumn("_one", F.lit(0)), ["_one"]
+    placed = numbered(df, keys, order, "_place", limits)
+    by_id = list(dict.fromkeys([*keys, id_column]))
+    linked = previous(placed, by_id, ["_place"], {"_before": F.col("_place")}, limits)
+    table = (hold or _written)(linked.withColumn("_row", F.monotonically_increasing_id()))
+    columns = [c for c in df.columns if c != "_one"]
+    gap = F.col("_place") - F.col("_before") - 1
+    new, open_ = table.where(F.col("_before").isNull()), table.where(gap >= size)
+    if open_.isEmpty():
+        return new.select(*columns)
+    inside = _pairs_inside(table.where(F.col("_before").isNotNull()), keys, gap >= size, limits)
+    counted = open_.join(inside, "_row", "left").where(gap - F.coalesce("_inside", F.lit(0)) >= size)
+    return new.select(*columns).unionByName(counted.select(*columns))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "placed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _pairs_inside(pairs: DataFrame, keys: list[str], asked: Column, limits: Limits) -> DataFrame:
+    """``_row, _inside`` for the pairs that ``asked`` selects: how many others lie inside.
+
+    A pair is ``_before`` to ``_place`` of its key. Inside are those that end earlier and
+    begin later. Pairs without any may be left out.
+    """
+    narrow = pairs.select(*keys, "_row", "_before", "_place", asked.alias("_asked"))
+    runs = cut(narrow, keys, ["_place"], limits)
+    ends = runs.with_columns({"_nth": runs.numbered() - 1, "_of": runs.counted()})
+    ends = ends.result(ends.df)
+    sizes = "sequence(0, length(bin(_of)) - 1)"
+
+    def spread(rows: DataFrame, odd: int, block: str) -> DataFrame:
+        """A row for each size; block of the pair's number, or the last one before it."""
+        levels = F.explode(F.expr(f"filter({sizes}, l -> shiftright(_nth, l) % 2 = {odd})"))
+        return rows.withColumn("_size", levels).select(
+            *keys, "_size", F.expr(block).alias("_block"), (-F.col("_before")).alias("_later"), "_row"
         )
-        return own.filter(pa.array(fresh, pa.bool_()))
-
-    kept = rows.groupBy(*runs.keys, RUN).applyInArrow(replay, rows.schema)
-    return kept.select(*df.columns)
-
-
-def _memories(runs, id_column: str, size: int) -> DataFrame:
-    """For each run but the first: the ids its key remembers when the run begins."""
-    keys = list(runs.keys)
-    last_met = (
-        runs.hot_rows.groupBy(*keys, RUN, id_column)
-        .agg(F.max(F.struct(*runs.order)).alias("_met"))
-    )
-    newest = first_rows(last_met, [*keys, RUN], [F.col("_met").desc()], size)
-    by_met = Window.partitionBy(*keys, RUN).orderBy("_met")
-    newest = newest.select(
-        *keys, RUN, id_column, F.row_number().over(by_met).alias("_memory")
-    )
 
-    def fold(rows: pa.Table) -> pa.Table:
-        ordered = rows.sort_by([(RUN, "ascending"), ("_memory", "ascending")])
-        out, memory = [], []
-        for run, group in groupby(ordered.to_pylist(), key=lambda r: r[RUN]):
-            group = list(group)
-            out += [
-                {**group[0], RUN: run, id_column: one, "_memory": i}
-                for i, one in enumerate(memory)
-            ]
-            _, memory = recently_seen([r[id_column] for r in group], size, memory)
-        return pa.Table.from_pylist(out, schema=rows.schema)
-
-    return newest.groupBy(*keys).applyInArrow(fold, newest.schema)
+    # The numbers before n are the blocks that the ones in n's binary form name; each begins at
+    # an even multiple of its size, so a pair only has to stand in its even blocks.
+    questions = spread(ends.where("_asked"), 1, "shiftright(_nth, _size) - 1").withColumn("_held", F.lit(0))
+    places = spread(ends, 0, "shiftright(_nth, _size)").withColumns({"_held": F.lit(1), "_row": F.lit(None).cast("long")})
+    block = [*keys, "_size", "_block"]
+    known = questions.select(F.struct(*block).alias("_wanted")).distinct()
+    places = places.join(known, F.struct(*block) == F.col("_wanted"), "left_semi")
+    total = F.sum("_held")
+    runs = cut(places.unionByName(questions), block, ["_later"], limits).with_carry("_carry", total, F.sum)
+    so_far = total.over(runs.window.rowsBetween(Window.unboundedPreceding, 0))
+    found = runs.result(runs.df.withColumn("_found", F.coalesce("_carry", F.lit(0)) + so_far))
+    return found.where(F.col("_row").isNotNull()).groupBy("_row").agg(F.sum("_found").alias("_inside"))

@@ -309,6 +309,10 @@ SELECT eventId, strftime(createdAt, '%Y-%m-%dT%H:%M:%S.%gZ') AS createdAt,
        strftime(enqueuedAt, '%Y-%m-%dT%H:%M:%S.%gZ') AS enqueuedAt,
        date_trunc('millisecond', createdAt) AS parsedAt
 FROM telemetry""",
+    "catalog_export": _with()
+    + """
+SELECT deviceId, round(value, 6) AS value, createdAt, createdAt AS storedAt, PartitionId AS part
+FROM telemetry WHERE PartitionId >= 2""",
     "typed_export": _with()
     + """
 SELECT createdAt AS timestamp, deviceId, eventId, deviceSequenceNumber FROM telemetry""",
@@ -654,6 +658,26 @@ MILLI_FIELDS = (
     "date_trunc('millisecond', createdAt) AS createdAt"
 )
 
+# The micro-batches of the test streams: four equal spans of the time of arrival.
+PARTS = """
+borders AS (SELECT min(epoch_us(enqueuedAt)) AS low, max(epoch_us(enqueuedAt)) AS high FROM telemetry),
+parts AS (
+  SELECT telemetry.*, (epoch_us(enqueuedAt) - low) * 4 // (high - low + 1) AS part FROM telemetry, borders)"""
+
+# A timer goes off in the first batch that begins after it by the arrivals before; who has
+# sent nothing until the end of that batch is silent. Batch 4 is the empty one at the end.
+SILENT_BATCHES = (
+    _with(PARTS)
+    + """
+, marks AS (SELECT part + 1 AS batch, max(max(epoch_ms(enqueuedAt))) OVER (ORDER BY part) AS mark FROM parts GROUP BY part),
+fired AS (
+  SELECT deviceId, event_id, createdAt, eventId, min(batch) AS batch
+  FROM parts JOIN marks ON mark > epoch_ms(createdAt) + 86400000 AND batch >= part GROUP BY ALL),
+follow AS (SELECT event_id, lead(part) OVER (PARTITION BY deviceId ORDER BY enqueuedAt, event_id) AS next_part FROM parts)
+SELECT deviceId, createdAt AS trigger_at, eventId AS trigger_id, 'NoNewsForAtLeast86400000ms' AS tag
+FROM fired JOIN follow USING (event_id) WHERE next_part IS NULL OR next_part > batch"""
+)
+
 ORACLES |= {
     "stream_late_drop": _with(LATE)
     + """
@@ -666,7 +690,18 @@ SELECT eventId, createdAt, PartitionId,
        max(createdAt) OVER (PARTITION BY PartitionId ORDER BY enqueuedAt, event_id) AS adjusted_at
 FROM late""",
     "stream_spike_dip": ORACLES["spike_dip"],
-    "stream_silent_devices": ORACLES["pattern_tags"],
+    "stream_silent_devices": f"""
+SELECT * FROM ({ORACLES["pattern_tags"]}) UNION ALL SELECT * FROM ({SILENT_BATCHES})""",
+    "stream_summary_increments": _with(PARTS)
+    + """
+SELECT deviceId, type, count(*) AS n, date_trunc('millisecond', min(createdAt)) AS first_at,
+       date_trunc('millisecond', max(createdAt)) AS last_at, count(DISTINCT part) AS exports
+FROM parts GROUP BY 1, 2""",
+    "stream_metrics": _with(PARTS)
+    + """
+, timed AS (SELECT *, (epoch_us(processedAt) - epoch_us(enqueuedAt)) / 1e3 AS ms FROM parts)
+SELECT count(*) AS n, count(*) FILTER (WHERE type = 'ERROR') AS n_bad, min(ms) AS min_ms, max(ms) AS max_ms,
+       round(avg(ms), 6) AS avg_ms FROM timed GROUP BY part""",
     "json_folder_stream": _with()
     + f" SELECT {MILLI_FIELDS} FROM telemetry",
     "capture_read": _with()
@@ -684,7 +719,7 @@ FROM telemetry""",
     + f" SELECT {MILLI_FIELDS} FROM telemetry",
     "sink_payload": "SELECT count(*) AS events, 1::BIGINT AS ids, 1::BIGINT AS times, 1::BIGINT AS several FROM events",
     "sink_retried": _with() + " SELECT eventId, deviceId FROM telemetry",
-    "sink_restarted": _with() + " SELECT eventId, deviceId FROM telemetry",
+    "sink_restarted": _with() + " SELECT eventId, deviceId, 1::BIGINT AS restarted FROM telemetry",
     "clock_columns": """
 SELECT count(*) AS events, count(*) AS processed_later, count(*) AS stored_later,
        count(*) AS batch_ids, count(*) AS own_ids FROM events""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ from fleetlens.schema import TAG
 from fleetlens.session import ROCKSDB_PROVIDER
 from fleetlens.sources import files, stores
 from fleetlens.sources.files import json_stream
-from fleetlens.streaming import batches, newest, runs, sinks, stateful
+from fleetlens.streaming import batches, metrics, newest, runs, sinks, stateful
 from fleetlens.streaming.windows import minute_rate_stream, summary_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -396,6 +397,25 @@ def typed_export(spark, sf_dir):
     return scalars.strip_type_suffix(exported)
 
 
+@query
+def catalog_export(spark, sf_dir):
+    """A partitioned export as a table of the catalog. A partition that is written later is
+    found when the table is opened again; only the wanted ones are read."""
+    base, table = runs.shared_folder(spark, "export"), "fleetlens_export"
+    rows = fixtures.telemetry(spark, sf_dir, False).select(
+        F.col("createdAt").alias("timestamp"),
+        F.col("deviceId").alias("deviceId_string"),
+        F.col("value").alias("value_double"),
+        F.col("PartitionId").alias("part"),
+    )
+    rows.where("part < 3").write.partitionBy("part").parquet(base)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files are its owner's
+    files.external_table(spark, table, base)
+    rows.where("part = 3").write.mode("append").partitionBy("part").parquet(base)
+    found = files.typed_rows(files.external_table(spark, table, base))
+    return found.where("part >= 2").select("deviceId", "value", "createdAt", "storedAt", F.col("part").cast("long").alias("part"))
+
+
 # -- duplicates and merges -----------------------------------------------------------
 
 
@@ -1022,14 +1042,54 @@ def stream_spike_dip(spark, sf_dir):
 
 @query
 def stream_silent_devices(spark, sf_dir):
-    """Pattern and silence tags of a stream with timers: silence tags of what has passed."""
+    """Pattern and silence tags of a stream with timers.
+
+    A timer goes off in the first micro-batch whose watermark, the newest arrival of the
+    batches before it, has passed it; if no event of the device has arrived until then, that
+    batch included, the device is silent. After the last one an empty batch follows.
+    """
     _use_state_store(spark)
     out = runs.shared_folder(spark, "silent")
     rows = stateful.tag_stream(
-        fixtures.stream(spark, sf_dir, in_order=True), BAND, silence_ms=40 * DAY_MS, delay="0 seconds", tie="_event_id"
+        fixtures.stream(spark, sf_dir, in_order=True), BAND, silence_ms=DAY_MS, delay="0 seconds", tie="_event_id"
     )
-    tags = _drained(spark, rows, sinks.append_once(out), out).drop(sinks.BATCH)
-    return tags.where(~F.startswith("tag", F.lit("NoNews")))
+    return _drained(spark, rows, sinks.append_once(out), out).drop(sinks.BATCH)
+
+
+@query
+def stream_summary_increments(spark, sf_dir):
+    """What changed of the summary in each run, with the run's number, as CSV.
+
+    The last export of a device and type is its summary; it was exported once for each run
+    that had events of it.
+    """
+    _use_state_store(spark)
+    out = runs.shared_folder(spark, "increments")
+    rows = summary_stream(fixtures.stream(spark, sf_dir))
+    writer = runs.pipeline(rows, [], runs.shared_folder(spark, "checkpoint"), "update")
+    runs.drain(writer.foreachBatch(sinks.csv_export(out)), 1800, need_batches=3)
+    kind = "deviceId string, type string, n long, first_at timestamp, last_at timestamp, batch_id long"
+    exports = spark.read.csv(out, schema=kind, header=True)
+    times = Window.partitionBy("deviceId", "type")
+    exports = exports.withColumn("exports", F.count(F.lit(1)).over(times))
+    return first_rows(exports, ["deviceId", "type"], [F.col("batch_id").desc()]).drop("batch_id")
+
+
+@query
+def stream_metrics(spark, sf_dir):
+    """Processing figures of each micro-batch, observed while its rows are stored."""
+    out = runs.shared_folder(spark, "observed")
+    rows = metrics.observe_processing(fixtures.stream(spark, sf_dir), F.col("type") == "ERROR")
+    listener = metrics.BatchMetrics(metrics.PROCESSING)
+    spark.streams.addListener(listener)
+    try:
+        _drained(spark, rows.select("eventId"), sinks.append_once(out), out)
+        found = listener.ended()
+    finally:
+        spark.streams.removeListener(listener)
+    names = ["n", "n_bad", "min_ms", "max_ms", "avg_ms"]
+    told = [tuple(row[c] for c in names) for _, row in sorted(found) if row["n"]]
+    return spark.createDataFrame(told, "n long, n_bad long, min_ms double, max_ms double, avg_ms double")
 
 
 # -- sources: the events in the form of a source, read back --------------------------
@@ -1138,12 +1198,25 @@ def sink_retried(spark, sf_dir):
 
 @query
 def sink_restarted(spark, sf_dir):
-    """A stream that is run, stopped and run again on its checkpoint stores each event once."""
+    """A stream that fails after one micro-batch and is run again stores each event once."""
     out, checkpoint = runs.shared_folder(spark, "restarted"), runs.shared_folder(spark, "checkpoint")
     rows = fixtures.stream(spark, sf_dir).select("eventId", "deviceId")
-    for _ in range(2):
-        runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(sinks.append_once(out)), 1800)
-    return sinks.read_batches(spark, out, rows.schema).drop(sinks.BATCH)
+    once = sinks.append_once(out)
+
+    def until_the_second(batch, batch_id):
+        once(batch.limit(5) if batch_id else batch, batch_id)  # half-written when it fails
+        if batch_id:
+            raise OSError("planned failure")
+
+    try:
+        runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(until_the_second), 1800)
+    except StreamingQueryException:
+        pass
+    before = sinks.committed(spark, out)
+    query = runs.drain(runs.pipeline(rows, [], checkpoint).foreachBatch(once), 1800, need_batches=2)
+    again = sorted(p["batchId"] for p in query.recentProgress if p["numInputRows"])
+    ok = before == [0, 1] and again[0] == 1
+    return sinks.read_batches(spark, out, rows.schema).drop(sinks.BATCH).withColumn("restarted", F.lit(int(ok)).cast("long"))
 
 
 # -- small operators -----------------------------------------------------------------

@@ -56,7 +56,12 @@ def capture_events(
 
 def typed_export(spark: SparkSession, base: str) -> DataFrame:
     """Partitioned Parquet with ``name_type`` columns; event time stands for all times."""
-    rows = strip_type_suffix(spark.read.parquet(base))
+    return typed_rows(spark.read.parquet(base))
+
+
+def typed_rows(exported: DataFrame) -> DataFrame:
+    """The same from a table or any rows of that form."""
+    rows = strip_type_suffix(exported)
     if "timestamp" in rows.columns:
         rows = rows.withColumnRenamed("timestamp", "createdAt")
     return rows.selectExpr("*", "createdAt AS enqueuedAt", "createdAt AS storedAt")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens.operators.anomaly import late_adjust, late_drop, spike_dip
-from fleetlens.operators.dedup import REPLAY, lru_dedup
+from fleetlens.operators.dedup import lru_dedup
 from fleetlens.operators.ordered import DEFAULT, Limits, first_rows
 from fleetlens.operators.patterns import Rules, pattern_tags
 from fleetlens.streaming.sinks import Write, append_once, merge_append
@@ -105,7 +105,7 @@ def dedup_batches(
     order: Sequence[str] = ("enqueuedAt",),
     size: int = 100,
     buckets: int = 64,
-    limits: Limits = REPLAY,
+    limits: Limits = DEFAULT,
 ) -> Write:
     """Events whose id is not among the last ``size`` ids of their key into ``out``."""
     keys, order = list(keys), [ARRIVED, *order]
@@ -117,6 +117,12 @@ def dedup_batches(
         return first_rows(last, keys, [F.col("_met").desc()], size).select(*rows.columns)
 
     remember = Memory(memory, keys, buckets, newest)
+    held: list[DataFrame] = []
+
+    def hold(table: DataFrame) -> DataFrame:
+        """For the time of a micro-batch: a table written by each one would pile up."""
+        held.append(table.persist())
+        return held[-1]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn(ARRIVED, F.lit(batch_id).cast("long")).persist()
@@ -124,11 +130,13 @@ def dedup_batches(
             ids = rows.select(*dict.fromkeys([*keys, id_column, *order]))
             known = remember.of(ids, batch_id)
             both = rows.unionByName(known, allowMissingColumns=True)
-            kept = lru_dedup(both, keys, id_column, order, size, limits)
+            kept = lru_dedup(both, keys, id_column, order, size, limits, hold)
             append(kept.where(F.col(ARRIVED) == batch_id).drop(ARRIVED), batch_id)
             remember.keep(ids, batch_id)
         finally:
-            rows.unpersist()
+            for table in (rows, *held):
+                table.unpersist()
+            held.clear()
 
     return write
 

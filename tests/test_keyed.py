@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,7 +13,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetlens.operators.anomaly import spike_dip
-from fleetlens.operators import dedup, patterns
+from fleetlens.operators import anomaly, dedup, patterns
+from fleetlens.operators.ordered import DEFAULT, Limits
 from fleetlens.streaming import batches, runs, sinks, stateful
 from models import remembered, scan_tags
 
@@ -267,3 +270,95 @@ def test_off_a_flat_history_is_an_anomaly(spark):
     df = df.withColumn("enqueuedAt", F.timestamp_millis("n"))
     got = {(r["PartitionId"], r["val"]): r["is_anomaly"] for r in spike_dip(df, tie=["n"]).collect()}
     assert got == {("p", 10.0): 0, ("p", 1e6): 1, ("q", 1.0): 0, ("q", 2.0): 0}
+
+
+# -- the duplicate memory without Python, sliding moments ----------------------------
+
+
+def replayed(rows, size):
+    """Rows (key, id, n) that a bounded memory per key lets through, in the order of n."""
+    memories, kept = {}, []
+    for key, one, n in sorted(rows, key=lambda r: r[2]):
+        fresh, memories[key] = dedup.recently_seen([one], size, memories.get(key, []))
+        kept += [(key, one, n)] * fresh[0]
+    return sorted(kept, key=lambda r: r[2])
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 20])
+def test_pairs_inside_equal_a_replay(spark, tiny, size):
+    rng = random.Random(size)
+    # Few ids and many, long runs of two ids, ids that come back late, missing keys and ids.
+    rows = [(rng.choice("ab"), f"i{rng.randrange(rng.choice([3, 30, 300]))}") for _ in range(700)]
+    rows += [("c", "xy"[k % 2]) for k in range(200)] + [("c", f"u{k}") for k in range(30)] + [("c", "x"), ("c", "y")]
+    rows += [(None, rng.choice([None, "p", "q", "r"])) for _ in range(60)] + [("a", "i0")] * 40
+    rows = [(*r, n) for n, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k string, i string, n long").repartition(5)
+    want = replayed(rows, size)
+    for limits in (DEFAULT, tiny):
+        kept = dedup.lru_dedup(df, ["k"], "i", ["n"], size, limits)
+        assert [tuple(r) for r in kept.orderBy("n").collect()] == want
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|InArrow", plan)
+    alone = [("one", i, n) for _, i, n in rows]
+    got = dedup.lru_dedup(df.drop("k"), [], "i", ["n"], size).orderBy("n").collect()
+    assert [("one", *r) for r in got] == replayed(alone, size)
+    assert dedup.lru_dedup(df.limit(0), ["k"], "i", ["n"], size).count() == 0
+
+
+def recent_scores(rows, history, age):
+    """Plain z-scores: rows (key, microseconds, n, value) against the recent ones before."""
+    out, past = {}, {}
+    for key, at, n, value in sorted(rows, key=lambda r: (r[1], r[2])):
+        before = past.setdefault(key, [])
+        some = [v for t, v in before[-history:] if t >= at - age and v is not None and abs(v) != float("inf")]
+        score = 0.0
+        if value is not None and len(some) > 0:
+            mean = sum(some) / len(some)
+            spread = (sum((v - mean) ** 2 for v in some) / len(some)) ** 0.5
+            if len(set(some)) == 1:
+                score = 0.0 if len(some) < 2 or value == some[0] else float("inf") * (1 if value > some[0] else -1)
+            else:
+                score = (value - mean) / spread
+        out[n] = score
+        before.append((at, value))
+    return out
+
+
+@pytest.mark.parametrize("history, age_ms", [(5, 40), (60, 1000), (60, 30), (3, 0)])
+def test_sliding_moments(spark, tiny, monkeypatch, history, age_ms):
+    monkeypatch.setattr(anomaly, "BLOCK", 16)
+    rng, rows, at = random.Random(history + age_ms), [], 0
+    for n in range(600):
+        at += rng.choice([0, 1000, 3000, 3000, 25_000]) if n % 100 else 10**6
+        value = rng.choice([None, 5.0, 5.0, 5.0, 1e9, rng.gauss(100, 3), rng.gauss(100, 3), float("inf")])
+        rows.append((rng.choice(["a", "a", None]), at, n, 7.25 if 200 < n < 300 else value))
+    df = spark.createDataFrame(rows, "PartitionId string, us long, n long, value double")
+    df = df.withColumn("enqueuedAt", F.timestamp_micros("us"))
+    want = recent_scores(rows, history, age_ms * 1000)
+    limits = Limits(max_rows=40, min_rows=max(history, 10))
+    for how in (DEFAULT, limits):
+        got = spike_dip(df, tie=["n"], history=history, duration_ms=age_ms, limits=how, keep=["n"]).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            score = want[r["n"]]
+            if r["val"] is None:  # no score for what is missing
+                continue
+            assert r["score"] == score or abs(r["score"] - score) < 1e-5 * max(1, abs(score)), (r, score)
+    plan = spike_dip(df, tie=["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def test_moments_of_one_long_series(spark):
+    """Half a million values of one key: many tasks, and digits as good as at the beginning."""
+    n = 500_000
+    value = 1e6 + F.col("n") / 1000 + F.sin("n")
+    df = spark.range(n).select(F.lit("one").alias("PartitionId"), F.col("id").alias("n"), F.timestamp_millis("id").alias("enqueuedAt"))
+    df = df.withColumn("value", value)
+    out = spike_dip(df, tie=["n"], history=60, duration_ms=55, keep=["n"])
+    last = {r["n"]: r["score"] for r in out.where(f"n >= {n - 5}").collect()}
+    for k, score in last.items():
+        some = [1e6 + i / 1000 + math.sin(i) for i in range(k - 55, k)]
+        mean = sum(some) / 55
+        spread = (sum((v - mean) ** 2 for v in some) / 55) ** 0.5
+        assert abs(score - (1e6 + k / 1000 + math.sin(k) - mean) / spread) < 1e-6
+    assert out.count() == n

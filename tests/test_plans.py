@@ -9,7 +9,7 @@ import pytest
 from fleetlens.plans.queries import QUERIES
 
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
-IN_PYTHON = {"lru_dedup", "array_round_trip"}
+IN_PYTHON = {"array_round_trip"}
 # One ordered sequence over the whole input; cut into runs once the input is large.
 ONE_SEQUENCE = {"late_drop", "late_adjust"}
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from fleetlens import fixtures, schema
 from fleetlens.functions import scalars
-from fleetlens.operators import decode, dedup, device, quality
+from fleetlens.operators import aggregate, decode, dedup, device, quality
 from fleetlens.sources import files, logs, stores
-from fleetlens.streaming import keys, newest, runs, sinks
+from fleetlens.streaming import keys, metrics, newest, runs, sinks
 from fleetlens.streaming.windows import minute_rate_stream
 
 AT = datetime(2024, 1, 1)
@@ -434,3 +434,39 @@ def test_long_texts_are_split_off_and_not_cut(spark):
     df = spark.createDataFrame([("a" * 5000, 1), ("b", 2), (None, 3)], "t string, n long")
     fit, long = sinks.split_long_texts(df, 4000)
     assert {r["n"] for r in fit.collect()} == {2, 3} and [len(r["t"]) for r in long.collect()] == [5000]
+
+
+def test_metrics_of_each_batch(spark, tmp_path, rows):
+    timed = rows.withColumn("processedAt", F.timestamp_add("SECOND", F.col("PartitionId"), F.col("enqueuedAt")))
+    parts = [timed.where(f"PartitionId = {i}") for i in (2, 0, 1)]
+    stream = later_batches(spark, str(tmp_path / "in"), parts)
+    failed, told = F.col("type") == "CO2", []
+    listeners = [metrics.BatchMetrics(metrics.PROCESSING), metrics.BatchMetrics(metrics.LATENCY, lambda n, row: told.append((n, row)))]
+    for one in listeners:
+        spark.streams.addListener(one)
+    seen = metrics.observe_latency(metrics.observe_processing(stream, failed), "createdAt", "processedAt")
+    runs.drain(runs.pipeline(seen, [], str(tmp_path / "c")).foreachBatch(sinks.append_once(str(tmp_path / "o"))), need_batches=3)
+    found = dict(listeners[0].ended())
+    listeners[1].ended()
+    for one in listeners:
+        spark.streams.removeListener(one)
+    assert sorted(found) == [0, 1, 2] and sorted(n for n, _ in told) == [0, 1, 2]
+    for n, part in enumerate(parts):
+        want = aggregate.processing_stats(part.withColumn("b", F.lit(n)), ["b"], failed).drop("b").first().asDict()
+        assert found[n] == want
+        assert dict(told)[n] == aggregate.latency_metric(part, "createdAt", "processedAt").first().asDict()
+
+
+def test_a_catalog_table_reads_the_wanted_partitions(spark, tmp_path, rows):
+    base = str(tmp_path / "export")
+    rows.select(F.col("createdAt").alias("timestamp"), "eventId", "PartitionId").write.partitionBy("PartitionId").parquet(base)
+    spark.sql("DROP TABLE IF EXISTS export_of_test")
+    try:
+        table = files.external_table(spark, "export_of_test", base)
+        some = files.typed_rows(table).where("PartitionId = 1")
+        assert some.count() == rows.where("PartitionId = 1").count()
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^]]*PartitionId[^]]* = 1", plan)
+        assert "enqueuedAt" in some.columns and files.first_of_table(spark, "export_of_test", 3).count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS export_of_test")
