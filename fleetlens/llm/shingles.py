@@ -27,6 +27,8 @@ from fleetlens.llm.shared import components, written
 #: Of the sample: documents, how many must share a shingle to count as frequent, and how many such are kept.
 SAMPLE, FREQUENT, LISTED = 4000, 3, 100_000
 MOST, PIVOTS, ROUNDS = 64, 3, 2
+#: Rows that a task gathers before it hands them on.
+BATCH_ROWS = 20_000
 
 
 def _joined(text: str | None) -> list[bytes]:
@@ -38,8 +40,14 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     words = _joined(text)
     if not words:
         return np.zeros(0, np.uint64)
-    digest, last = xxhash.xxh64_intdigest, max(1, len(words) - shingle + 1)
-    return np.unique(np.array([digest(b" ".join(words[i : i + shingle]), 42) for i in range(last)], np.uint64))
+    digest, joined = xxhash.xxh64_intdigest, b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([digest(joined, 42)], np.uint64)
+    # A shingle is a slice of the joined words.
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    starts, ends = (ends - sizes)[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist()
+    return np.unique(np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends)), np.uint64, len(starts)))
 
 
 def code(text: str | None) -> int | None:
@@ -64,7 +72,12 @@ def _rows(docs: DataFrame, shingle: int, least: tuple[int, int] | None, rare: di
     known = np.array(sorted(rare), np.uint64)
     times = np.array([rare[k] for k in sorted(rare)], np.int64)
 
+    def gathered(parts: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*parts), kind)]
+        return pa.RecordBatch.from_arrays(columns, schema=kind)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
             for text in batch.column(0):
                 grams = shingle_set(text.as_py(), shingle)
@@ -76,13 +89,20 @@ def _rows(docs: DataFrame, shingle: int, least: tuple[int, int] | None, rare: di
                     grams = grams[np.argsort(np.where(known[k] == grams, times[k], 0), kind="stable")]
                 part = grams if least is None else grams[: n - -(-least[0] * n // least[1]) + 1]
                 size = len(part)
-                columns = [
-                    pa.array(part.view(np.int64)),
-                    pa.array(np.full(size, code(text.as_py()), np.int64)),
-                    pa.array(np.full(size, n, np.int32)),
-                    pa.array(np.arange(size, dtype=np.int32)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema=kind)
+                parts.append(
+                    (
+                        part.view(np.int64),
+                        np.full(size, code(text.as_py()), np.int64),
+                        np.full(size, n, np.int32),
+                        np.arange(size, dtype=np.int32),
+                    )
+                )
+                held += size
+                if held > BATCH_ROWS:
+                    yield gathered(parts)
+                    parts, held = [], 0
+        if parts:
+            yield gathered(parts)
 
     return docs.select("text").mapInArrow(cut, "gram long, code long, n int, at int")
 
