@@ -13,13 +13,21 @@ from fleetlens.llm.queries import added, levels, tokenizer, vocabulary_json
 from fleetlens.llm.shared import written
 
 
+def _whole_texts(spark: SparkSession) -> None:
+    """Rows are whole texts here: fewer of them at once for the Python workers than by default."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 500:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed votes of the rules call good, short ones too."""
+    _whole_texts(spark)
     return rules.kept_documents(docs, rules.Base(min_words=0))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of six or more words are cut; documents cut to nothing go."""
+    _whole_texts(spark)
     return lines.cut_documents(docs, min_words=6)
 
 
@@ -29,6 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Linked are fingerprints within three bits, and all texts whose five-word shingles have
     a Jaccard similarity of 0.8 or more.
     """
+    _whole_texts(spark)
     return simhash.one_of_each(docs, shingle=5, radius=3, least=(4, 5))
 
 
@@ -43,6 +52,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 tokens."""
+    _whole_texts(spark)
     ranks, split = tokenizer()
     return packing.packed(docs, ranks, split, 2048, added(), vocabulary_json())
 
