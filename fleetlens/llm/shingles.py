@@ -26,7 +26,7 @@ from fleetlens.llm.shared import components, written
 
 #: Of the sample: documents, how many must share a shingle to count as frequent, and how many such are kept.
 SAMPLE, FREQUENT, LISTED = 4000, 3, 100_000
-MOST, PIVOTS, ROUNDS = 64, 3, 2
+MOST, PIVOTS, ROUNDS = 8, 3, 2
 #: Rows that a task gathers before it hands them on.
 BATCH_ROWS = 20_000
 
