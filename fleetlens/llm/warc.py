@@ -10,15 +10,14 @@ separator is the end of a WARC record, so they need nothing but the cluster's fi
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from fleetlens.llm.shared import shared_folder, written
 
@@ -38,11 +37,10 @@ def _urn(kind: str, key: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-@F.arrow_udf(StringType())
-def base32_of_hex(digests: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if d is None else base64.b32encode(bytes.fromhex(d)).decode() for d in digests.to_pylist()], pa.string()
-    )
+def base32_of_hex(digest: Column) -> Column:
+    """Base32 of 40 hex digits: each five of them are four letters."""
+    parts = [F.lpad(F.conv(F.substring(digest, at, 5), 16, 32), 4, "0") for at in range(1, 41, 5)]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
 def _lines(*fields: tuple[str, Column | str | None]) -> Column:
@@ -64,8 +62,10 @@ def _record(head: Column, block: Column) -> Column:
 def write_captures(pages: DataFrame, path: str) -> None:
     """Write ``page_id, url, html`` as archives, one for each partition of the join.
 
-    Adaptive execution sizes these partitions. A null html is an empty payload; a null url has no target. Rows without id have an
-    empty one. Repeated rows are written each, under one set of record ids.
+    Which record refers to which is worked out on ids and digests alone; the payloads then move once, by page and
+    digest, so that a group of copies spreads over all archives. Adaptive execution sizes the partitions. A null html
+    is an empty payload; a null url has no target. Rows without id have an empty one. Repeated rows are written each,
+    under one set of record ids.
     """
     pages = pages.select(
         F.col("page_id").cast("string").alias("id"),
@@ -74,14 +74,13 @@ def write_captures(pages: DataFrame, path: str) -> None:
         F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20").alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
     ).withColumn("sha1", F.sha1("html"))
-    shared = written(
-        pages.groupBy("sha1").agg(F.max("n").alias("owner"), F.count("*").alias("c")),
-        "warc-payloads",
-    )
-    owners = shared.where("c > 1 and owner is not null").select("sha1", "owner")
-    marked = pages.join(owners, "sha1", "left").withColumn(
-        "again", F.col("owner").isNotNull() & ~F.col("n").eqNullSafe(F.col("owner"))
-    )
+    known = written(pages.groupBy("n", "sha1").agg(F.count("*").alias("c")), "warc-payloads")
+    owners = known.groupBy("sha1").agg(F.max("n").alias("owner"), F.sum("c").alias("c"))
+    owners = written(owners.where("c > 1 and owner is not null").select("sha1", "owner"), "warc-owners")
+    later = known.join(owners, "sha1").where(~F.col("n").eqNullSafe(F.col("owner")))
+    later = later.select(F.col("n").alias("_n"), F.col("sha1").alias("_sha1"), "owner")
+    mine = F.col("n").eqNullSafe(F.col("_n")) & (F.col("sha1") == F.col("_sha1"))
+    marked = pages.join(later, mine, "left").withColumn("again", F.col("owner").isNotNull())
     key, digest = F.coalesce("id", F.lit("")), F.concat(F.lit("sha1:"), F.col("digest"))
     main = _urn("response", key)
     http = _lines(("Content-Type", "text/html; charset=utf-8"), ("Content-Length", F.octet_length("html").cast("string")))
@@ -118,7 +117,7 @@ def write_captures(pages: DataFrame, path: str) -> None:
     )
     records = F.array(_record(request, request_block), _record(response, response_block), _record(metadata, metadata_block))
     (
-        marked.withColumn("digest", base32_of_hex("sha1"))
+        marked.withColumn("digest", base32_of_hex(F.col("sha1")))
         .select(F.explode(records).alias("value"))
         .write.option("lineSep", END)
         .option("compression", "gzip")
@@ -157,52 +156,77 @@ def parse_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, stream.read(int(fields.get("content-length", 0)))
 
 
-def _opened(content: bytes):
-    return gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+class _Pieces(io.RawIOBase):
+    """The bytes of an archive from its pieces between separators."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.rest = chain.from_iterable((p, END.encode()) for p in pieces), memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.rest:
+            piece = next(self.pieces, None)
+            if piece is None:
+                return 0
+            self.rest = memoryview(piece)
+        n = min(len(buffer), len(self.rest))
+        buffer[:n], self.rest = self.rest[:n], self.rest[n:]
+        return n
+
+
+def _row(fields: dict[str, str], block: bytes, payloads: bool) -> list:
+    http, body = {}, block
+    if fields.get("content-type", "").startswith("application/http"):
+        head, _, body = block.partition(b"\r\n\r\n")
+        http = _fields(head)
+    size, digest = len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()
+    if fields.get("warc-type") == "revisit":
+        stated = http.get("content-length", "")
+        size = int(stated) if stated.isdigit() else None
+        digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    names = [fields.get(f"warc-{c}") for c in ("record-id", "type", "concurrent-to", "refers-to", "target-uri")]
+    return [*names, list(fields.items()), list(http.items()), size, digest, body if payloads else None]
 
 
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The records of all archives in a folder, plain or gzip, one task per file at most.
+    """The records of all archives in a folder, gzip (``*.gz``) or plain (``*.warc``), one task per file at most.
+
+    Spark's text reader unpacks a gzip archive as a stream of pieces between record ends, which a task puts together
+    again by the lengths that the records state: it holds a batch of pieces, never a whole archive. It
+    would split plain archives between tasks, so these come whole and must be below 2 GB.
 
     ``payload_bytes`` and ``payload_digest`` (base32 SHA-1) are of the payload as stored; for
     a revisit they are those that its header fields state. Without ``payloads`` the column
     ``payload`` is null.
     """
+    kind = pa.schema(
+        [(c, pa.string()) for c in ("record_id", "type", "concurrent_to", "refers_to", "target_uri")]
+        + [(c, pa.map_(pa.string(), pa.string())) for c in ("fields", "http_fields")]
+        + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
+    )
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema(
-            [(c, pa.string()) for c in ("record_id", "type", "concurrent_to", "refers_to", "target_uri")]
-            + [(c, pa.map_(pa.string(), pa.string())) for c in ("fields", "http_fields")]
-            + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
-        )
+    def out(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
 
-        def out(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
-
-        for batch in batches:
-            for content in batch.column("content"):
-                rows, held = [], 0
-                for fields, block in parse_records(_opened(content.as_py())):
-                    http, body = {}, block
-                    if fields.get("content-type", "").startswith("application/http"):
-                        head, _, body = block.partition(b"\r\n\r\n")
-                        http = _fields(head)
-                    size, digest = len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()
-                    if fields.get("warc-type") == "revisit":
-                        stated = http.get("content-length", "")
-                        size = int(stated) if stated.isdigit() else None
-                        digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
-                    row = [fields.get(f"warc-{c}") for c in ("record-id", "type", "concurrent-to", "refers-to", "target-uri")]
-                    rows.append([*row, list(fields.items()), list(http.items()), size, digest, body if payloads else None])
-                    held += len(body) if payloads else 300
-                    if held > 4 << 20:
-                        yield out(rows)
-                        rows, held = [], 0
-                if rows:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = ((f.as_py(), p.as_py()) for batch in batches for f, p in zip(batch.column("file"), batch.column("piece")))
+        rows, held = [], 0
+        for _, mine in groupby(pieces, lambda x: x[0]):
+            for fields, block in parse_records(io.BufferedReader(_Pieces(p for _, p in mine), 1 << 16)):
+                rows.append(_row(fields, block, payloads))
+                held += 500 + (len(block) if payloads else 0)
+                if held > 4 << 20:
                     yield out(rows)
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(parse, RECORD)
+                    rows, held = [], 0
+        if rows:
+            yield out(rows)
+
+    lines = spark.read.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)
+    pieces = lines.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece"))
+    plain = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc").load(path)
+    return pieces.union(plain.select(F.xxhash64("path"), "content")).mapInArrow(parse, RECORD)
 
 
 def captures(records: DataFrame) -> DataFrame:

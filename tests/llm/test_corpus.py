@@ -258,6 +258,37 @@ def test_archives_round_trip(spark):
     assert warc.archived(none).count() == 0
 
 
+def test_archives_with_separators_everywhere(spark):
+    import random
+
+    draw = random.Random(4)
+    ends = ["\r\n\r\n", "\r\n", "\r", "\n", "\r\r\n\r\n", "a", "WARC/1.1\r\n", "\u00fc"]
+    texts = ["".join(draw.choice(ends) for _ in range(draw.randrange(12))) for _ in range(300)]
+    # Across the buffers of the reader, too.
+    texts += ["x" * n + "\r\n\r\n\r\n" + "y" * 7 for n in range(65400, 65540, 5)] + ["\r\n\r\n" * 70_000, "z" * 3_000_000]
+    rows = list(enumerate(texts))
+    out = warc.archived(spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("u")))
+    got = {int(r.response.fields["x-page-id"]): r.response for r in out.collect()}
+    last = {t: i for i, t in rows}
+    for i, text in rows:
+        assert got[i].payload_digest == base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+        assert got[i].type == ("response" if last[text] == i else "revisit")
+        if last[text] == i:
+            assert got[i].payload == text.encode()
+        else:
+            assert got[i].fields["x-refers-to-page"] == str(last[text])
+
+
+def test_plain_and_gzip_archives_of_a_folder(spark, tmp_path):
+    import gzip
+
+    raw = lambda k: f"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: {k}\r\n\r\n{'v' * k}\r\n\r\n".encode()
+    (tmp_path / "a.warc").write_bytes(raw(1) + raw(2))
+    (tmp_path / "b.warc").write_bytes(raw(3))
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(raw(4)) + gzip.compress(raw(5)))
+    assert sorted(len(r.payload) for r in warc.read_records(spark, str(tmp_path)).collect()) == [1, 2, 3, 4, 5]
+
+
 def test_plain_archives_and_folded_headers():
     import io
 
