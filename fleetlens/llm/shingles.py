@@ -3,8 +3,11 @@
 All shingles are put into one order: by how many documents of a sample have them, rare ones
 first, then by hash. Of two sets with a similarity of ``least`` or more, each has a shingle
 of the other among its first ``n - ceil(least * n) + 1``. So documents meet by the shingles
-of these prefixes; where the first common shingle stands bounds the overlap, and what is
-left is compared whole. The order decides how much there is to compare, not what is found.
+of these prefixes; where the first common shingle stands bounds the overlap, and so does
+the number of common ones: of the prefix that ends first, all shingles that the other text
+has are in the other prefix, so the overlap is at most that number and what lies behind.
+What is left is compared whole. The order decides how much there is to compare, not what is
+found.
 
 A shingle that more than ``MOST`` prefixes hold would make pairs by the square. There each
 document is first compared with a few pivots, and then only with those of the group that
@@ -129,6 +132,33 @@ def _possible(least: tuple[int, int]):
     return behind * (a + b) >= (F.col("x.n") + F.col("y.n")).cast("long") * a
 
 
+def _counted(light: DataFrame, heavy: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs ``a, b`` that meet in light groups and have enough common prefix shingles.
+
+    The first common one must be possible. Heavy groups make no pairs here, so all of their
+    rows that both texts have count as common.
+    """
+    met = light.alias("x").join(light.alias("y"), "gram").where(F.col("x.code") < F.col("y.code"))
+    pairs = (
+        met.groupBy(F.col("x.code").alias("a"), F.col("y.code").alias("b"))
+        .agg(
+            F.count("*").alias("common"),
+            F.max(_possible(least)).alias("near"),
+            F.max("x.n").cast("long").alias("n"),
+            F.max("y.n").cast("long").alias("m"),
+        )
+        .where("near")
+    )
+    held = heavy.groupBy("code").agg(F.count("*").alias("_held"))
+    for side in ("a", "b"):
+        more = held.select(F.col("code").alias(side), F.col("_held").alias(f"_{side}"))
+        pairs = pairs.join(more, side, "left").fillna(0, [f"_{side}"])
+    a, b = least
+    behind = F.floor((F.greatest("n", "m") * a + (b - 1)) / b) - 1
+    most = F.col("common") + F.least("_a", "_b") + behind
+    return pairs.where(most * (a + b) >= (F.col("n") + F.col("m")) * a).select("a", "b")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     a, b = F.col("x.code"), F.col("y.code")
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
@@ -158,16 +188,12 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int = 5, least: tuple[in
     # Made twice: to write all prefixes takes more disk than to hash them again takes time.
     rows = _rows(docs, shingle, least, rare)
     shared = written(
-        rows.groupBy("gram")
-        .agg(F.min("code").alias("a"), F.max("code").alias("b"), F.count("*").alias("held"))
-        .where("a != b")
-        .select("gram", "held"),
+        rows.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1"),
         "shingle-grams",
     )
     members = written(rows.join(shared, "gram").distinct(), "shingle-members")
     light, heavy = members.where(F.col("held") <= MOST), members.where(F.col("held") > MOST)
-    met = light.alias("x").join(light.alias("y"), "gram").where((F.col("x.code") < F.col("y.code")) & _possible(least))
-    pairs = written(_pairs(met), "shingle-pairs")
+    pairs = written(_counted(light, heavy, least), "shingle-pairs")
     picked = pairs.select(F.col("a").alias("code")).union(pairs.select("b")).union(heavy.select("code")).distinct()
     picked = written(picked.join(classes.select("code", F.col("first").alias("doc_id")), "code"), "shingle-picked")
     # Rows that share an id may have different texts.
