@@ -170,10 +170,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: tuple[int
         sets = ((shingle_set(a.as_py(), shingle), shingle_set(b.as_py(), shingle)) for a, b in zip(left, right))
         return pa.array((alike(a, b, least) for a, b in sets), pa.bool_())
 
-    both = (
-        pairs.join(texts.select(F.col("code").alias("a"), F.col("text").alias("_left")), "a")
-        .join(texts.select(F.col("code").alias("b"), F.col("text").alias("_right")), "b")
-    )
+    # Texts are shuffled once for both sides; then only those of pairs move.
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("code")).join(texts, "code")
+    both = sides.groupBy("a", "b").agg(F.min_by("text", "code").alias("_left"), F.max_by("text", "code").alias("_right"))
     return written(both.where(check("_left", "_right")).select("a", "b"), "shingle-links")
 
 
