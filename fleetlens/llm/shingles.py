@@ -6,41 +6,46 @@ of the other among its first ``n - ceil(least * n) + 1``. So documents meet by t
 of these prefixes; where the first common shingle stands bounds the overlap, and so does
 the number of common ones: of the prefix that ends first, all shingles that the other text
 has are in the other prefix, so the overlap is at most that number and what lies behind.
-What is left is compared whole. The order decides how much there is to compare, not what is
-found.
+
+What is left is first compared by parity sketches: one bit per low bits of a hash, set if an
+odd number of the shingles fall there. Every bit that differs in two sketches needs a shingle
+that only one of the texts has, so pairs with too many of them are out, and no pair of
+``least`` or more is. The others are compared whole. The order and the sketches decide how
+much there is to compare, not what is found.
 
 A shingle that more than ``MOST`` prefixes hold would make pairs by the square. There each
 document is first compared with a few pivots, and then only with those of the group that
 are in another component: one of near copies becomes one component on the way.
+
+Texts are hashed once, into a table of prefixes and sketches (``described``); all later steps
+but the comparison of whole texts read that table, or columns of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from fleetlens.llm.shared import components, written
 
 #: Of the sample: documents, how many must share a shingle to count as frequent, and how many such are kept.
 SAMPLE, FREQUENT, LISTED = 4000, 3, 100_000
 MOST, PIVOTS, ROUNDS = 8, 3, 2
-#: Rows that a task gathers before it hands them on.
-BATCH_ROWS = 20_000
+#: Bits of a sketch per shingle, at least; rounded up to a power of two.
+SKETCH_BITS = 2
 
 
 def _joined(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The different hashes of the word shingles, ascending; words as in ``simhash``."""
-    words = _joined(text)
+def hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """The hashes of the word shingles in their order, repeats included."""
     if not words:
         return np.zeros(0, np.uint64)
     digest, joined = xxhash.xxh64_intdigest, b" ".join(words)
@@ -50,18 +55,28 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     starts, ends = (ends - sizes)[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist()
-    return np.unique(np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends)), np.uint64, len(starts)))
+    return np.fromiter((digest(joined[s:e], 42) for s, e in zip(starts, ends)), np.uint64, len(starts))
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The different hashes of the word shingles, ascending; words as in ``simhash``."""
+    return np.unique(hashes(_joined(text), shingle))
 
 
-def code(text: str | None) -> int | None:
-    """One number for all texts with the same words in the same order; null without words."""
-    words = _joined(text)
-    return xxhash.xxh64_intdigest(b" ".join(words), 7) - (1 << 63) if words else None
+def sketch(grams: np.ndarray) -> bytes:
+    """The parity of the number of shingles for each value of their lowest bits."""
+    bits = max(64, 1 << (SKETCH_BITS * len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-@F.arrow_udf(LongType())
-def coded(texts: pa.Array) -> pa.Array:
-    return pa.array((code(t.as_py()) for t in texts), pa.int64())
+def differing(left: bytes, right: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two texts has."""
+    a, b = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+    size = min(len(a), len(b))
+    # The longer sketch is folded: its parities for fewer low bits.
+    a, b = (np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: tuple[int, int]) -> bool:
@@ -69,45 +84,59 @@ def alike(a: np.ndarray, b: np.ndarray, least: tuple[int, int]) -> bool:
     return both * least[1] >= least[0] * (len(a) + len(b) - both)
 
 
-def _rows(docs: DataFrame, shingle: int, least: tuple[int, int] | None, rare: dict[int, int]) -> DataFrame:
-    """``gram, code, n, at``: the prefix of every text, or all its shingles without ``least``."""
-    kind = pa.schema([("gram", pa.int64()), ("code", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
+def described(
+    docs: DataFrame,
+    shingle: int,
+    least: tuple[int, int] | None,
+    rare: dict[int, int],
+    mark: Callable[[np.ndarray], int],
+) -> DataFrame:
+    """``doc_id, body, fp, code, n, sketch, grams`` of every row of ``docs``.
+
+    ``body`` is a hash of the text, ``fp`` what ``mark`` makes of its shingles, ``code`` one
+    number for all texts with the same words in the same order (null without words), ``n``
+    the number of different shingles, ``grams`` the prefix, or all of them without ``least``.
+    """
     known = np.array(sorted(rare), np.uint64)
     times = np.array([rare[k] for k in sorted(rare)], np.int64)
 
-    def gathered(parts: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*parts), kind)]
-        return pa.RecordBatch.from_arrays(columns, schema=kind)
+    def row(text: str | None) -> tuple:
+        words = _joined(text)
+        every = hashes(words, shingle)
+        grams = np.unique(every)
+        n = len(grams)
+        if not n:
+            return mark(every), None, 0, None, grams
+        code, parities = xxhash.xxh64_intdigest(b" ".join(words), 7) - (1 << 63), sketch(grams)
+        if len(known):
+            k = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+            grams = grams[np.argsort(np.where(known[k] == grams, times[k], 0), kind="stable")]
+        return mark(every), code, n, parities, grams if least is None else grams[: n - -(-least[0] * n // least[1]) + 1]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                grams = shingle_set(text.as_py(), shingle)
-                n = len(grams)
-                if not n:
-                    continue
-                if len(known):
-                    k = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                    grams = grams[np.argsort(np.where(known[k] == grams, times[k], 0), kind="stable")]
-                part = grams if least is None else grams[: n - -(-least[0] * n // least[1]) + 1]
-                size = len(part)
-                parts.append(
-                    (
-                        part.view(np.int64),
-                        np.full(size, code(text.as_py()), np.int64),
-                        np.full(size, n, np.int32),
-                        np.arange(size, dtype=np.int32),
-                    )
-                )
-                held += size
-                if held > BATCH_ROWS:
-                    yield gathered(parts)
-                    parts, held = [], 0
-        if parts:
-            yield gathered(parts)
-
-    return docs.select("text").mapInArrow(cut, "gram long, code long, n int, at int")
+            if not batch.num_rows:
+                continue
+            fp, code, n, parities, grams = zip(*(row(t.as_py()) for t in batch.column("text")))
+            ends = np.concatenate([[0], np.cumsum([len(g) for g in grams])])
+            values = pa.array(np.concatenate(grams).view(np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("body"),
+                    pa.array(fp, pa.int64()),
+                    pa.array(code, pa.int64()),
+                    pa.array(n, pa.int32()),
+                    pa.array(parities, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
+                ],
+                names=["doc_id", "body", "fp", "code", "n", "sketch", "grams"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("body")).mapInArrow(
+        cut, f"doc_id {kind}, body long, fp long, code long, n int, sketch binary, grams array<long>"
+    )
 
 
 def frequent(docs: DataFrame, shingle: int) -> dict[int, int]:
@@ -115,7 +144,8 @@ def frequent(docs: DataFrame, shingle: int) -> dict[int, int]:
     every = max(1, docs.count() // SAMPLE)
     some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(every)) == 0)
     found = (
-        _rows(some, shingle, None, {})
+        described(some, shingle, None, {}, len)
+        .select("code", F.explode("grams").alias("gram"))
         .groupBy("gram")
         .agg(F.count("*").alias("times"), F.min("code").alias("a"), F.max("code").alias("b"))
         .where((F.col("times") >= FREQUENT) & (F.col("a") != F.col("b")))
@@ -164,6 +194,22 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _close(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The pairs whose sketches allow a similarity of ``least``, as a written table."""
+    a, b = least
+
+    @F.arrow_udf("boolean")
+    def allowed(left: pa.Array, right: pa.Array, sizes: pa.Array) -> pa.Array:
+        rows = zip(left, right, sizes.to_pylist())
+        return pa.array((differing(x.as_py(), y.as_py()) * (a + b) <= n * (b - a) for x, y, n in rows), pa.bool_())
+
+    for side in ("a", "b"):
+        more = sets.select(F.col("code").alias(side), F.col("n").alias(f"_n{side}"), F.col("sketch").alias(f"_{side}"))
+        pairs = pairs.join(more, side)
+    near = pairs.where(allowed("_a", "_b", (F.col("_na") + F.col("_nb")).cast("long")))
+    return written(near.select("a", "b"), "shingle-pairs")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
     @F.arrow_udf("boolean")
     def check(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -176,28 +222,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: tuple[int
     return written(both.where(check("_left", "_right")).select("a", "b"), "shingle-links")
 
 
-def links(docs: DataFrame, classes: DataFrame, shingle: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
+def links(docs: DataFrame, sets: DataFrame, shingle: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
     """Links ``a, b`` that connect all codes with a similarity of ``least`` or more.
 
-    ``classes`` has the id ``first`` of one document for each ``code``. Only pairs that are
-    alike are linked; those already connected through others may be left out.
+    ``sets`` is a written table with one row of ``described`` for each ``code``. Only pairs
+    that are alike are linked; those already connected through others may be left out.
     """
-    docs = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    rare = frequent(docs, shingle)
-    # Made twice: to write all prefixes takes more disk than to hash them again takes time.
-    rows = _rows(docs, shingle, least, rare)
-    shared = written(
-        rows.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1"),
-        "shingle-grams",
-    )
-    members = written(rows.join(shared, "gram").distinct(), "shingle-members")
+    rows = sets.select("code", "n", F.posexplode("grams").alias("at", "gram"))
+    shared = written(rows.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1"), "shingle-grams")
+    members = written(rows.join(shared, "gram"), "shingle-members")
     light, heavy = members.where(F.col("held") <= MOST), members.where(F.col("held") > MOST)
-    pairs = written(_counted(light, heavy, least), "shingle-pairs")
+    pairs = _close(_counted(light, heavy, least), sets, least)
     picked = pairs.select(F.col("a").alias("code")).union(pairs.select("b")).union(heavy.select("code")).distinct()
-    picked = written(picked.join(classes.select("code", F.col("first").alias("doc_id")), "code"), "shingle-picked")
-    # Rows that share an id may have different texts.
-    texts = docs.join(picked, "doc_id").where(coded("text") == F.col("code")).select("code", "text")
-    texts = written(texts.dropDuplicates(["code"]), "shingle-texts")
+    picked = written(sets.select("code", "doc_id", "body").join(picked, "code"), "shingle-picked")
+    # Rows that share an id may have different texts, and equal ones need one.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).join(picked, ["doc_id", "body"])
+    texts = written(texts.select("code", "text").dropDuplicates(["code"]), "shingle-texts")
     found = _verified(pairs, texts, shingle, least)
     for turn in range(ROUNDS):
         if heavy.isEmpty():
@@ -206,12 +246,12 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int = 5, least: tuple[in
         tops = heavy.groupBy("gram").agg(F.array(*(pivot(turn * PIVOTS + k) for k in range(PIVOTS))).alias("_tops"))
         tops = written(tops.select("gram", F.inline(F.array_distinct("_tops"))), "shingle-pivots")
         near = heavy.alias("x").join(tops.alias("y"), "gram").where((F.col("x.code") != F.col("y.code")) & _possible(least))
-        found = found.union(_verified(written(_pairs(near), "shingle-pairs"), texts, shingle, least))
+        found = found.union(_verified(_close(_pairs(near), sets, least), texts, shingle, least))
         heavy = _open(heavy, found)
     met = heavy.alias("x").join(heavy.alias("y"), "gram").where(
         (F.col("x.code") < F.col("y.code")) & (F.col("x.root") != F.col("y.root")) & _possible(least)
     )
-    return found.union(_verified(written(_pairs(met), "shingle-pairs"), texts, shingle, least))
+    return found.union(_verified(_close(_pairs(met), sets, least), texts, shingle, least))
 
 
 def _open(heavy: DataFrame, found: DataFrame) -> DataFrame:

@@ -59,6 +59,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return _signed(int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big"))
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: bits that over half of them have; zero of none."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 1 << 16):
+        some = hashes[k : k + (1 << 16)].astype(">u8")
+        ones += np.unpackbits(some.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return _signed(int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big"))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -192,12 +201,11 @@ def _components(
 ) -> tuple[DataFrame, DataFrame]:
     """The documents as ``doc_id, body, fp``, and of each fingerprint that several rows have
     or that is linked ``fp, root, component_id``."""
-    marked = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("body"),
-        fingerprints(shingle)("text").alias("fp"),
-        *([shingles.coded("text").alias("code")] if least else []),
-    )
+    if least:
+        rare = shingles.frequent(docs, shingle)
+        marked = shingles.described(docs, shingle, least, rare, majority)
+    else:
+        marked = docs.select("doc_id", F.xxhash64("text").alias("body"), fingerprints(shingle)("text").alias("fp"))
     marked = written(marked, "simhash-docs")
     classes = written(
         marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "simhash-classes"
@@ -219,11 +227,11 @@ def _components(
 
 def _alike(docs: DataFrame, marked: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
     """Links between the fingerprints of texts whose shingles are alike."""
-    known = marked.where(F.col("doc_id").isNotNull() & F.col("code").isNotNull())
-    known = written(known.groupBy("code", "fp").agg(F.min("doc_id").alias("first")), "simhash-codes")
-    found = shingles.links(docs, known, shingle, least)
+    sets = marked.where(F.col("doc_id").isNotNull() & F.col("code").isNotNull()).dropDuplicates(["code"])
+    sets = written(sets, "simhash-sets")
+    found = shingles.links(docs, sets, shingle, least)
     for side in ("a", "b"):
-        found = found.join(known.select(F.col("code").alias(side), F.col("fp").alias(f"_{side}")), side)
+        found = found.join(sets.select(F.col("code").alias(side), F.col("fp").alias(f"_{side}")), side)
     return found.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
 
@@ -237,11 +245,15 @@ def one_of_each(
     component one stays (the one with the smallest text hash, any one if the texts are equal).
     """
     marked, found = _components(docs, shingle, radius, 4096, least)
-    rows = marked.where(F.col("doc_id").isNotNull()).join(found, "fp", "left")
-    # A fingerprint that no other row has is a component by itself.
-    best = rows.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(F.struct("doc_id", "body")).alias("_best"))
+    # A fingerprint that no other row has is a component by itself, and not among these.
+    rows = marked.where(F.col("doc_id").isNotNull()).select("doc_id", "body", "fp").join(found, "fp")
+    best = rows.groupBy("root").agg(F.min(F.struct("doc_id", "body")).alias("_best")).select("_best.*", F.lit(True).alias("best"))
+    texts = rows.groupBy("doc_id", "body").agg(F.count("*").alias("n")).join(best, ["doc_id", "body"], "left")
     body = fresh(docs, "_body")
-    keep = best.select("_best.doc_id", F.col("_best.body").alias(body)).distinct()
+    marks = written(texts.where("best is null or n > 1").withColumnRenamed("body", body), "simhash-marks")
+    # Whole documents move only if these marks are too many to be handed to all tasks.
     mine = docs.where(F.col("doc_id").isNotNull()).withColumn(body, F.xxhash64("text"))
-    kept = mine.join(keep.hint("merge"), ["doc_id", body], "left_semi").dropDuplicates(["doc_id", body])
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    single = mine.join(marks, ["doc_id", body], "left_anti")
+    repeated = mine.join(marks.where("best"), ["doc_id", body], "left_semi").dropDuplicates(["doc_id", body])
+    kept = single.select(*docs.columns).union(repeated.select(*docs.columns))
+    return kept.union(docs.where(F.col("doc_id").isNull()))

@@ -162,3 +162,57 @@ def test_texts_that_overflow_the_splitter(spark):
     rows = packing.pieces(docs, ranks, split, 1 << 30, added=queries.added(), json_path=queries.vocabulary_json()).collect()
     ids = [np.array([*exact.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
     assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for n, m, both in [(1, 1, 0), (1, 1, 1), (3, 900, 2), (300, 310, 280), (300, 310, 10), (5000, 4000, 3900), (40, 0, 0)]:
+        pool = np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64))
+        a, b = pool[:n], np.concatenate([pool[:both], pool[n : n + m - both]])
+        exact = len(np.setxor1d(a, b))
+        bound = shingles.differing(shingles.sketch(a), shingles.sketch(np.sort(b)))
+        assert bound <= exact and (exact == 0 or bound > 0 or exact <= 2)
+        assert shingles.differing(shingles.sketch(a), shingles.sketch(a)) == 0
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "one", "A b c d e", "a b c d e f g a b c d e", "é " * 300 + "ÀB c"])
+def test_one_pass_gives_the_known_fingerprints(text):
+    words = shingles._joined(text)
+    assert simhash.majority(shingles.hashes(words, 5)) == simhash.fingerprint(text, 5)
+
+
+def test_sketches_lose_no_pair(spark):
+    rng = random.Random(11)
+    made = []
+    for _ in range(25):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.choice([6, 30, 120, 700]))]
+        for _ in range(4):
+            words = list(base)
+            for _ in range(rng.randrange(1 + len(base) // 60 + 1)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(4000)}"
+            made.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    sets = [shingles.shingle_set(t, 5) for t in made]
+    root = list(range(len(made)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for j in range(len(made)):
+        for i in range(j):
+            near = shingles.alike(sets[i], sets[j], (4, 5))
+            bits = bin((simhash.fingerprint(made[i], 5) ^ simhash.fingerprint(made[j], 5)) & (1 << 64) - 1).count("1")
+            if near or bits <= 3:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    kept = {r.doc_id for r in simhash.one_of_each(docs, least=(4, 5)).collect()}
+    assert kept == {i for i in range(len(made)) if top(i) == i}
+
+
+def test_repeated_rows_stay_once(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (2, "other words here"), (3, "q r s t u v"), (3, "q r s t u v"), (1, "x"), (None, "a b c")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), least=(4, 5)).collect()
+    expected = [(1, "a b c"), (1, "x"), (2, "other words here"), (3, "q r s t u v"), (None, "a b c")]
+    assert sorted(map(tuple, kept), key=str) == sorted(expected, key=str)
