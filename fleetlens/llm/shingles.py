@@ -28,14 +28,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.shared import components, written
 
 #: Of the sample: documents, how many must share a shingle to count as frequent, and how many such are kept.
 SAMPLE, FREQUENT, LISTED = 4000, 3, 100_000
-MOST, PIVOTS, ROUNDS = 8, 3, 2
+#: Larger groups have pivots, and so many; how many of the first such shingles a row lists.
+MOST, PIVOTS, LISTS = 8, 6, 8
 #: Bits of a sketch per shingle, at least; rounded up to a power of two.
 SKETCH_BITS = 2
 
@@ -210,15 +211,21 @@ def _close(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFra
     return written(near.select("a", "b"), "shingle-pairs")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
+    """The pairs that are alike, by their whole texts; only texts of pairs move."""
+
     @F.arrow_udf("boolean")
     def check(left: pa.Array, right: pa.Array) -> pa.Array:
         sets = ((shingle_set(a.as_py(), shingle), shingle_set(b.as_py(), shingle)) for a, b in zip(left, right))
         return pa.array((alike(a, b, least) for a, b in sets), pa.bool_())
 
-    # Texts are shuffled once for both sides; then only those of pairs move.
-    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("code")).join(texts, "code")
-    both = sides.groupBy("a", "b").agg(F.min_by("text", "code").alias("_left"), F.max_by("text", "code").alias("_right"))
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("code"))
+    picked = written(sets.select("code", "doc_id", "body").join(sides.select("code").distinct(), "code"), "shingle-picked")
+    # Rows that share an id may have different texts, and equal ones need one.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).join(picked, ["doc_id", "body"])
+    texts = written(texts.select("code", "text").dropDuplicates(["code"]), "shingle-texts")
+    both = sides.join(texts, "code").groupBy("a", "b")
+    both = both.agg(F.min_by("text", "code").alias("_left"), F.max_by("text", "code").alias("_right"))
     return written(both.where(check("_left", "_right")).select("a", "b"), "shingle-links")
 
 
@@ -232,33 +239,40 @@ def links(docs: DataFrame, sets: DataFrame, shingle: int = 5, least: tuple[int,
     shared = written(rows.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1"), "shingle-grams")
     members = written(rows.join(shared, "gram"), "shingle-members")
     light, heavy = members.where(F.col("held") <= MOST), members.where(F.col("held") > MOST)
-    pairs = _close(_counted(light, heavy, least), sets, least)
-    picked = pairs.select(F.col("a").alias("code")).union(pairs.select("b")).union(heavy.select("code")).distinct()
-    picked = written(sets.select("code", "doc_id", "body").join(picked, "code"), "shingle-picked")
-    # Rows that share an id may have different texts, and equal ones need one.
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).join(picked, ["doc_id", "body"])
-    texts = written(texts.select("code", "text").dropDuplicates(["code"]), "shingle-texts")
-    found = _verified(pairs, texts, shingle, least)
-    for turn in range(ROUNDS):
-        if heavy.isEmpty():
-            return found
-        pivot = lambda k: F.min(F.struct(F.xxhash64("code", F.lit(k)).alias("key"), "code", "n", "at"))
-        tops = heavy.groupBy("gram").agg(F.array(*(pivot(turn * PIVOTS + k) for k in range(PIVOTS))).alias("_tops"))
-        tops = written(tops.select("gram", F.inline(F.array_distinct("_tops"))), "shingle-pivots")
-        near = heavy.alias("x").join(tops.alias("y"), "gram").where((F.col("x.code") != F.col("y.code")) & _possible(least))
-        found = found.union(_verified(_close(_pairs(near), sets, least), texts, shingle, least))
-        heavy = _open(heavy, found)
+    pivot = lambda k: F.min(F.struct(F.xxhash64("code", F.lit(k)).alias("key"), "code", "n", "at"))
+    tops = heavy.groupBy("gram").agg(F.array(*(pivot(k) for k in range(PIVOTS))).alias("_tops"))
+    tops = written(tops.select("gram", F.inline(F.array_distinct("_tops"))), "shingle-pivots")
+    near = heavy.alias("x").join(tops.alias("y"), "gram").where((F.col("x.code") != F.col("y.code")) & _possible(least))
+    pairs = written(_counted(light, heavy, least).union(_pairs(near)).distinct(), "shingle-met")
+    found = _verified(_close(pairs, sets, least), docs, sets, shingle, least)
+    if heavy.isEmpty():
+        return found
+    heavy = _open(heavy, found)
     met = heavy.alias("x").join(heavy.alias("y"), "gram").where(
-        (F.col("x.code") < F.col("y.code")) & (F.col("x.root") != F.col("y.root")) & _possible(least)
+        (F.col("x.code") < F.col("y.code")) & (F.col("x.root") != F.col("y.root")) & _possible(least) & _first_common()
     )
-    return found.union(_verified(_close(_pairs(met), sets, least), texts, shingle, least))
+    pairs = written(_pairs(met), "shingle-met")
+    return found.union(_verified(_close(pairs, sets, least), docs, sets, shingle, least))
+
+
+def _first_common():
+    """False if rows ``x`` and ``y`` meet earlier in their orders, by what they have listed.
+
+    Lists hold the first shingles in order. So if a common one is in both, the first common
+    one is; if none is, nothing is known, and the pair is made here as well.
+    """
+    both = F.array_intersect("x.listed", "y.listed")
+    return (F.size(both) == 0) | (F.get(both, F.lit(0)) == F.col("gram"))
 
 
 def _open(heavy: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of the groups with more than one component, with their ``root``."""
+    """Rows of the groups with more than one component, with ``root`` and the first shingles ``listed``."""
     roots = written(components(found, "shingle-rounds").select(F.col("node").alias("code"), "root"), "shingle-roots")
-    rows = written(
-        heavy.drop("root").join(roots, "code", "left").withColumn("root", F.coalesce("root", "code")), "shingle-rooted"
-    )
+    first = F.slice(F.array_sort(F.collect_list(F.struct("at", "gram"))), 1, LISTS).getField("gram").alias("listed")
+    # The first LISTS rows of every text, before they are put together.
+    order = F.row_number().over(Window.partitionBy("code").orderBy("at"))
+    lists = heavy.withColumn("_order", order).where(F.col("_order") <= LISTS).groupBy("code").agg(first)
+    rows = heavy.join(lists, "code").join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
+    rows = written(rows, "shingle-rooted")
     groups = rows.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("gram")
     return written(rows.join(groups, "gram"), "shingle-heavy")

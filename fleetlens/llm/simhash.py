@@ -204,6 +204,7 @@ def _components(
     if least:
         rare = shingles.frequent(docs, shingle)
         marked = shingles.described(docs, shingle, least, rare, majority)
+        marked = marked.withColumn("row", F.monotonically_increasing_id())
     else:
         marked = docs.select("doc_id", F.xxhash64("text").alias("body"), fingerprints(shingle)("text").alias("fp"))
     marked = written(marked, "simhash-docs")
@@ -227,7 +228,11 @@ def _components(
 
 def _alike(docs: DataFrame, marked: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
     """Links between the fingerprints of texts whose shingles are alike."""
-    sets = marked.where(F.col("doc_id").isNotNull() & F.col("code").isNotNull()).dropDuplicates(["code"])
+    known = marked.where(F.col("doc_id").isNotNull() & F.col("code").isNotNull())
+    # Of rows with one code one is taken; the others are looked up, so that no prefix moves.
+    several = known.groupBy("code").agg(F.min("row").alias("_row"), F.count("*").alias("_n")).where("_n > 1")
+    several = written(several.select("code", "_row"), "simhash-several")
+    sets = known.join(several, "code", "left").where("_row is null or _row = row").drop("_row", "row")
     sets = written(sets, "simhash-sets")
     found = shingles.links(docs, sets, shingle, least)
     for side in ("a", "b"):
