@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalars import partition_of
-from fleetlens.operators.ordered import DEFAULT, Limits, cut, first_rows, numbered, previous
+from fleetlens.operators.ordered import DEFAULT, Limits, cut, first_rows, numbered
 from fleetlens.streaming.runs import shared_folder
 
 
@@ -125,6 +126,12 @@ def recently_seen(
     return fresh, list(memory)
 
 
+#: Rows of a key whose neighbourhoods one task looks through together.
+CHUNK = 65_536
+#: Blocks that one wider block unites.
+WIDER = 16
+
+
 def lru_dedup(
     df: DataFrame,
     keys: Sequence[str],
@@ -137,32 +144,36 @@ def lru_dedup(
     """Drop an event if its id is among the ``size`` ids last met for its key.
 
     That is so if fewer than ``size`` different ids lie between the event and the one with
-    the same id before it. With fewer than ``size`` events in between nothing has to be
-    counted. Else the different ids are the events in between less those that another one in
-    between follows with the same id: the *pairs* (event, next event of that id) that lie
-    wholly inside. Only ids that occur again make pairs. They are numbered by their ends, and
-    a number of pairs is a sum over blocks of 1, 2, 4, ... of them, at most one of each
-    size; in a block one running count in the order of the beginnings answers all questions.
-
-    All steps are windows over columns that hot keys are cut by. Events are numbered once and
-    held as a table (``hold``: by default written below the shared folder), so that events
-    equal in the whole order have one place each. Missing keys or ids are values like others.
+    the same id before it. The places of a key are parted into blocks of twice ``size``. The
+    events back to the begin of the block before settle nearly all cases: an id is met there
+    for the first time if it was last met before them. What is left asks further back, in
+    blocks that get wider (``_far``), until it has found ``size`` ids or its own one. After
+    each step at most ``size`` events of a block still ask, and at most ``size`` of its rows
+    can be an answer. So rows and questions get fewer with the width of the blocks, and all
+    steps together move a fixed number of rows for each row of ``df``.
+
+    All steps are windows over columns that hot keys are cut by, or over blocks. Events are
+    numbered once and held as a table (``hold``: by default written below the shared folder),
+    so that events equal in the whole order have one place each. Missing keys or ids are
+    values like others.
     """
-    keys = list(keys)
+    keys, hold = list(keys), hold or _written
     if not keys:
         df, keys = df.withColumn("_one", F.lit(0)), ["_one"]
     placed = numbered(df, keys, order, "_place", limits)
     by_id = list(dict.fromkeys([*keys, id_column]))
-    linked = previous(placed, by_id, ["_place"], {"_before": F.col("_place")}, limits)
-    table = (hold or _written)(linked.withColumn("_row", F.monotonically_increasing_id()))
+    runs = cut(placed, by_id, ["_place"], limits).with_neighbours(before=1, after=1)
+    ends = {"_before": F.lag("_place").over(runs.window), "_after": F.lead("_place").over(runs.window)}
+    linked = runs.result(runs.df.withColumns(ends))
+    block = 2 * max(size, 1)
+    table = hold(_nearby(linked, keys, size, block, limits))
     columns = [c for c in df.columns if c != "_one"]
-    gap = F.col("_place") - F.col("_before") - 1
-    new, open_ = table.where(F.col("_before").isNull()), table.where(gap >= size)
+    kept = table.where(F.col("_before").isNull() | (F.col("_met") >= size)).select(*columns)
+    open_ = table.where((F.col("_met") < size) & (F.col("_before") < F.col("_start")))
     if open_.isEmpty():
-        return new.select(*columns)
-    inside = _pairs_inside(table.where(F.col("_before").isNotNull()), keys, gap >= size, limits)
-    counted = open_.join(inside, "_row", "left").where(gap - F.coalesce("_inside", F.lit(0)) >= size)
-    return new.select(*columns).unionByName(counted.select(*columns))
+        return kept
+    far = _far(table, open_, keys, size, block, hold)
+    return kept.unionByName(_joined(open_, far, [*keys, "_place"], "left_semi").select(*columns))
 
 
 def _written(df: DataFrame) -> DataFrame:
@@ -171,34 +182,66 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _pairs_inside(pairs: DataFrame, keys: list[str], asked: Column, limits: Limits) -> DataFrame:
-    """``_row, _inside`` for the pairs that ``asked`` selects: how many others lie inside.
+def _joined(df: DataFrame, other: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on null-safe equality; the columns of ``by`` come from ``df``."""
+    names = {c: f"_other_{i}" for i, c in enumerate(by)}
+    other = other.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return df.join(other, reduce(lambda a, b: a & b, same), how).drop(*names.values())
+
+
+def _nearby(df: DataFrame, keys: list[str], size: int, block: int, limits: Limits) -> DataFrame:
+    """Add ``_start``, where the block before the own one begins, and ``_met``: how many ids
+    lie after ``_start`` and ``_before``. Null if no more than ``size`` rows could."""
+    chunk = max(4 * block, min(CHUNK, limits.max_rows))
+    number = F.expr(f"(_place - 1) div {chunk}")
+    at_end = F.expr(f"(_place - 1) % {chunk} >= {chunk - 2 * block}")
+    chunks = F.when(at_end, F.array(number, number + 1)).otherwise(F.array(number))
+    rows = df.withColumns({"_own": number, "_chunk": F.explode(chunks)})
+    line = Window.partitionBy(*keys, "_chunk").orderBy("_place").rowsBetween(-2 * block, -1)
+    befores = F.collect_list(F.coalesce("_before", F.lit(0))).over(line)
+    rows = rows.withColumn("_befores", befores).where("_chunk = _own")
+    start = F.expr(f"greatest(1, ((_place - 1) div {block} - 1) * {block} + 1)")
+    rows = rows.withColumns({"_start": start.cast("long"), "_gap": F.col("_place") - F.col("_before") - 1})
+    rows = rows.withColumn("_near", F.least("_gap", F.col("_place") - F.col("_start")).cast("int"))
+    near = F.slice("_befores", F.size("_befores") - F.col("_near") + 1, F.col("_near"))
+    met = F.size(F.filter(near, lambda before: before < F.col("_place") - F.col("_near")))
+    rows = rows.withColumn("_met", F.when(F.col("_gap") >= size, met))
+    return rows.drop("_own", "_chunk", "_befores", "_gap", "_near")
+
+
+def _far(
+    table: DataFrame,
+    questions: DataFrame,
+    keys: list[str],
+    size: int,
+    block: int,
+    hold: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``keys, _place`` of the questions with ``size`` or more ids after ``_before``.
 
-    A pair is ``_before`` to ``_place`` of its key. Inside are those that end earlier and
-    begin later. Pairs without any may be left out.
+    ``_met`` of them are known to lie from ``_start`` on, where a block begins. For all that
+    comes after a block, its ids are the rows that no row of the block follows with the same
+    id; and of those only the last ``size`` matter, as the others lie behind ``size`` ids.
     """
-    narrow = pairs.select(*keys, "_row", "_before", "_place", asked.alias("_asked"))
-    runs = cut(narrow, keys, ["_place"], limits)
-    ends = runs.with_columns({"_nth": runs.numbered() - 1, "_of": runs.counted()})
-    ends = ends.result(ends.df)
-    sizes = "sequence(0, length(bin(_of)) - 1)"
-
-    def spread(rows: DataFrame, odd: int, block: str) -> DataFrame:
-        """A row for each size; block of the pair's number, or the last one before it."""
-        levels = F.explode(F.expr(f"filter({sizes}, l -> shiftright(_nth, l) % 2 = {odd})"))
-        return rows.withColumn("_size", levels).select(
-            *keys, "_size", F.expr(block).alias("_block"), (-F.col("_before")).alias("_later"), "_row"
-        )
-
-    # The numbers before n are the blocks that the ones in n's binary form name; each begins at
-    # an even multiple of its size, so a pair only has to stand in its even blocks.
-    questions = spread(ends.where("_asked"), 1, "shiftright(_nth, _size) - 1").withColumn("_held", F.lit(0))
-    places = spread(ends, 0, "shiftright(_nth, _size)").withColumns({"_held": F.lit(1), "_row": F.lit(None).cast("long")})
-    block = [*keys, "_size", "_block"]
-    known = questions.select(F.struct(*block).alias("_wanted")).distinct()
-    places = places.join(known, F.struct(*block) == F.col("_wanted"), "left_semi")
-    total = F.sum("_held")
-    runs = cut(places.unionByName(questions), block, ["_later"], limits).with_carry("_carry", total, F.sum)
-    so_far = total.over(runs.window.rowsBetween(Window.unboundedPreceding, 0))
-    found = runs.result(runs.df.withColumn("_found", F.coalesce("_carry", F.lit(0)) + so_far))
-    return found.where(F.col("_row").isNotNull()).groupBy("_row").agg(F.sum("_found").alias("_inside"))
+    rows = table.select(*keys, "_place", "_after")
+    asked = questions.select(*keys, "_place", "_before", "_start", "_met")
+    answers = []
+    while not asked.isEmpty():
+        number, next_ = F.expr(f"(_place - 1) div {block}"), F.expr(f"(_after - 1) div {block}")
+        lasts = rows.withColumn("_block", number).where(F.coalesce(next_ > number, F.lit(True)))
+        rows = hold(first_rows(lasts, [*keys, "_block"], [F.col("_place").desc()], size).drop("_block"))
+        block *= WIDER
+        wider = rows.withColumn("_block", F.expr(f"(_place - 1) div {block}"))
+        wider = wider.groupBy(*keys, "_block").agg(F.collect_list(F.struct("_place", "_after")).alias("_lasts"))
+        found = _joined(asked.withColumn("_block", F.expr(f"(_start - 2) div {block}")), wider, [*keys, "_block"])
+
+        def met(row):
+            still = row["_after"].isNull() | (row["_after"] > F.col("_place"))
+            return (row["_place"] > F.col("_before")) & (row["_place"] < F.col("_start")) & still
+
+        found = found.withColumn("_met", F.col("_met") + F.size(F.filter("_lasts", met)))
+        found = hold(found.withColumn("_start", F.col("_block") * block + 1).drop("_lasts", "_block"))
+        answers.append(found.where(F.col("_met") >= size).select(*keys, "_place"))
+        asked = found.where((F.col("_met") < size) & (F.col("_before") < F.col("_start")))
+    return reduce(DataFrame.unionByName, answers)

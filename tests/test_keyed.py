@@ -305,6 +305,27 @@ def test_pairs_inside_equal_a_replay(spark, tiny, size):
     assert dedup.lru_dedup(df.limit(0), ["k"], "i", ["n"], size).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 3, 20])
+def test_far_questions_equal_a_replay(spark, tiny, size):
+    """One id fills nearly all places, so that the others ask back over many wide blocks."""
+    rng = random.Random(size)
+    rows = [("a", "hot" if rng.random() < 0.97 else f"i{rng.randrange(2 * size)}") for _ in range(6000)]
+    rows += [("b", f"i{n}") for n in range(size)] + [("b", "hot")] * 900 + [("b", f"i{n}") for n in range(size)]
+    rows = [(*r, n) for n, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k string, i string, n long").repartition(5)
+    for limits in (DEFAULT, tiny):
+        kept = dedup.lru_dedup(df, ["k"], "i", ["n"], size, limits)
+        assert [tuple(r) for r in kept.orderBy("n").collect()] == replayed(rows, size)
+
+
+def test_ids_among_many_need_no_pairs(spark):
+    """All cases are settled by the rows just before: nothing is joined or counted up."""
+    rows = spark.range(20_000).select(F.lit("a").alias("k"), (F.col("id") % 500).alias("i"), F.col("id").alias("n"))
+    kept = dedup.lru_dedup(rows, ["k"], "i", ["n"], 20)
+    assert kept.count() == 20_000
+    assert not re.search("Join|Window", kept._jdf.queryExecution().executedPlan().toString())
+
+
 def recent_scores(rows, history, age):
     """Plain z-scores: rows (key, microseconds, n, value) against the recent ones before."""
     out, past = {}, {}
