@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from math import log2
 from statistics import NormalDist
 
@@ -114,24 +115,40 @@ def spike_dip(
     )
 
 
+#: Rows of a run whose medians one task finds.
+RUN_ROWS = 50_000
+
+
 def _against_median(
     df: DataFrame, keys: list[str], time: str, value: str, tie: Sequence[str], history: int, age: int, limits: Limits
 ) -> DataFrame:
     """Add ``_middle``, ``_spread`` and ``_n`` of the recent values before each row.
 
     The median of the distances from a median that moves with each row has no running form:
-    here, and only here, a row carries its at most ``history`` values.
+    here, and only here, a row carries its at most ``history`` values. As that costs far more
+    than to move a row, keys are cut into many short runs. How many values are recent is
+    a difference of two row numbers; missing values count as rows, and as the largest.
     """
-    runs = cut(df, keys, [time, *tie], limits).with_neighbours(before=history)
-    frame = runs.window.rowsBetween(-history, -1)
+    short = replace(limits, max_rows=min(limits.max_rows, RUN_ROWS))
+    runs = cut(df, keys, [time, *tie], short).with_neighbours(before=history)
     at = F.unix_micros(time)
-    before = F.collect_list(F.struct(at.alias("t"), F.col(value).alias("v"))).over(frame)
-    oldest = F.col("_t") - F.lit(age)
-    rows = runs.df.withColumn("_t", at).withColumn("_before", before)
-    recent = F.transform(F.filter("_before", lambda p: p["t"] >= oldest), lambda p: p["v"])
-    rows = rows.withColumn("_before", recent).withColumn("_middle", _median(F.col("_before")))
-    spread = _median(F.transform("_before", lambda v: F.abs(v - F.col("_middle")))) * F.lit(1.4826)
-    return runs.result(rows.withColumn("_spread", spread).withColumn("_n", F.size("_before")))
+    line, ages = runs.whole.orderBy("_t", *tie), runs.whole.orderBy("_t")
+    rows = runs.df.withColumn("_t", at).withColumns(
+        {
+            "_line": F.collect_list(F.struct(F.col(value).alias("v"))).over(line.rowsBetween(-history, -1)),
+            "_nth": F.row_number().over(line),
+            "_old": F.count(F.lit(1)).over(ages.rangeBetween(Window.unboundedPreceding, -age - 1)),
+        }
+    )
+    n = F.least(F.size("_line"), F.col("_nth") - 1 - F.col("_old"))
+    # Without a time nothing is recent.
+    rows = rows.withColumn("_n", F.when(F.col("_t").isNull(), 0).otherwise(F.greatest(n, F.lit(0))).cast("int"))
+    recent = F.slice(F.col("_line")["v"], F.size("_line") - F.col("_n") + 1, F.col("_n"))
+    rows = rows.withColumn("_known", F.sort_array(F.array_compact(recent)))
+    rows = rows.withColumn("_middle", _median("_known", "_n"))
+    rows = rows.withColumn("_far", F.sort_array(F.transform("_known", lambda v: F.abs(v - F.col("_middle")))))
+    rows = rows.withColumn("_spread", _median("_far", "_n") * F.lit(1.4826))
+    return runs.result(rows.drop("_line", "_known", "_far"))
 
 
 #: Rows of a key whose running sums are kept together.
@@ -222,8 +239,8 @@ def _against_mean(
     )
 
 
-def _median(values: Column) -> Column:
-    ordered, n = F.array_sort(values), F.size(values)
+def _median(ordered: str, n: str) -> Column:
+    """Of ``n`` values, the present ones of which are given in order; the others come last."""
     high = F.get(ordered, F.shiftright(n, 1))
-    low = F.get(ordered, F.shiftright(n - 1, 1))
-    return F.when(n > 0, (high + low) / 2)
+    low = F.get(ordered, F.shiftright(F.col(n) - 1, 1))
+    return F.when(F.col(n) > 0, (high + low) / 2)

@@ -326,6 +326,52 @@ def test_ids_among_many_need_no_pairs(spark):
     assert not re.search("Join|Window", kept._jdf.queryExecution().executedPlan().toString())
 
 
+def test_robust_scores_with_missing_values_equal_a_model(spark, tiny):
+    """Missing values count as rows of the history, and as its largest values."""
+    rng = random.Random(5)
+    rows = [(k, rng.randrange(400) * 1000, n, rng.choice([None, 1.0, 2.5, 7.0, -3.0])) for n in range(150) for k in "ab"]
+    want = []
+    for key in "ab":
+        line = sorted(r for r in rows if r[0] == key)
+        for i, (_, t, n, v) in enumerate(line):
+            recent = [r[3] for r in line[max(0, i - 8) : i] if r[1] >= t - 20_000]
+
+            def median(values):
+                ordered = sorted(values, key=lambda x: (x is None, x))
+                pair = [ordered[len(ordered) // 2], ordered[(len(ordered) - 1) // 2]]
+                return None if None in pair else sum(pair) / 2
+
+            middle = median(recent) if recent else None
+            spread = median([None if x is None or middle is None else abs(x - middle) for x in recent]) if recent else None
+            score = 0.0
+            if middle is not None and v is not None and spread is not None:
+                if spread > 0:
+                    score = (v - middle) / (spread * 1.4826)
+                elif len(recent) > 1 and v != middle:
+                    score = float("inf") if v > middle else float("-inf")
+            elif v is None and spread is not None and spread > 0:
+                score = None
+            want.append((key, n, score))
+    df = spark.createDataFrame(rows, "PartitionId string, t long, n long, value double")
+    df = df.withColumn("enqueuedAt", F.timestamp_micros("t"))
+    for limits in (DEFAULT, tiny):
+        got = spike_dip(df, tie=["n"], history=8, duration_ms=20, robust=True, limits=limits, keep=["n"])
+        found = {(r["PartitionId"], r["n"]): r["score"] for r in got.collect()}
+        assert len(found) == len(want)
+        for key, n, score in want:
+            assert found[key, n] == (score if score is None else pytest.approx(score)), (key, n)
+
+
+def test_robust_scores_of_one_key_are_many_tasks_work(spark):
+    rows = spark.range(120_000).select(
+        F.lit("p").alias("PartitionId"), F.timestamp_millis("id").alias("enqueuedAt"), "id", (F.col("id") % 9 / 2).alias("value")
+    )
+    scored = spike_dip(rows, tie=["id"], robust=True)
+    assert scored.count() == 120_000
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "_hot" in plan and "array_sort" not in plan
+
+
 def recent_scores(rows, history, age):
     """Plain z-scores: rows (key, microseconds, n, value) against the recent ones before."""
     out, past = {}, {}
