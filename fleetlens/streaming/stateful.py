@@ -11,7 +11,9 @@ from collections.abc import Iterable, Iterator, MutableMapping
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -199,8 +201,77 @@ def tag_stream(
     )
 
 
+#: Types that pass a state function as texts, and back, without loss.
+TEXTS = (T.StringType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+#: Rows that a state function hands out at once.
+OUT_ROWS = 10_000
+
+
+def _as_text(column: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    return F.hex(column) if isinstance(kind, T.BinaryType) else F.col(column).cast("string")
+
+
+def _from_text(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(text.cast("long"))
+    return F.unhex(text) if isinstance(kind, T.BinaryType) else text.cast(kind)
+
+
+def _held_as(kind: T.DataType) -> pa.DataType:
+    """The type in which texts are held: the smallest that gives the same texts back."""
+    return pa.int64() if isinstance(kind, (T.IntegralType, T.TimestampType)) else pa.large_string()
+
+
+def _sorted_as(kind: T.DataType) -> pa.DataType:
+    """The type whose order is that of the values."""
+    if isinstance(kind, T.DecimalType):
+        return pa.decimal128(kind.precision, kind.scale)
+    return pa.float64() if isinstance(kind, (T.FloatType, T.DoubleType)) else _held_as(kind)
+
+
 class RememberIds(StatefulProcessor):
-    """Passes an event on unless its id is among the last ones met for its key."""
+    """Passes an event on unless its id is among the last ones met for its key.
+
+    Rows come as texts, ``c0``, ``c1`` and so on. Those of a key and micro-batch are held as
+    columns, not as objects, are sorted by row numbers, and leave in small parts.
+    """
+
+    def __init__(self, kinds: list[T.DataType], id_column: int, order: list[int], size: int) -> None:
+        self.kinds, self.id_column, self.order, self.size = kinds, id_column, order, size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.memory = handle.getValueState("ids", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else []
+        batch = self._held(rows)
+        order = {f"o{i}": batch.column(i).cast(_sorted_as(self.kinds[i])) for i in self.order}
+        by = [(name, "ascending") for name in order]
+        places = pc.sort_indices(pa.table(order), sort_keys=by, null_placement="at_start")
+        del order
+        for start in range(0, len(places), OUT_ROWS):
+            part = batch.take(places.slice(start, OUT_ROWS))
+            fresh, memory = recently_seen(part.column(self.id_column).to_pylist(), self.size, memory)
+            kept = part.filter(pa.array(fresh))
+            if kept.num_rows:
+                yield pd.DataFrame({c: pd.Series(kept.column(c).cast("string").to_pylist(), dtype=object) for c in kept.column_names})
+        self.memory.update((json.dumps(memory),))
+
+    def _held(self, rows: Iterator[pd.DataFrame]) -> pa.Table:
+        parts = []
+        for frame in rows:
+            texts = {f"c{i}": pa.array(frame[f"c{i}"], pa.large_string(), from_pandas=True) for i in range(len(self.kinds))}
+            parts.append(pa.table({c: texts[c].cast(_held_as(k)) for c, k in zip(texts, self.kinds, strict=True)}))
+        return pa.concat_tables(parts).combine_chunks()
+
+    def close(self) -> None:
+        pass
+
+
+class RememberRows(StatefulProcessor):
+    """The same on whole rows, for tables with nested columns."""
 
     def __init__(self, id_column: str, order: list[str], size: int) -> None:
         self.id_column, self.order, self.size = id_column, order, size
@@ -225,9 +296,19 @@ def lru_stream(
 ) -> DataFrame:
     """Exact bounded duplicate filter of a stream. Ids are texts or whole numbers.
 
-    Rows pass through the state function unchanged, so it works on rows: a table with
-    missing whole numbers would lose digits on its way through pandas.
+    Columns pass through the state function as texts: pandas would lose digits of missing
+    whole numbers, and rows as objects take some ten times the memory. Tables with nested
+    columns pass as rows.
     """
-    return df.groupBy(*keys).transformWithState(
-        RememberIds(id_column, list(order), size), df.schema, "append", "none"
-    )
+    kinds, names = [f.dataType for f in df.schema], df.columns
+    if not all(isinstance(k, TEXTS) for k in kinds):
+        return df.groupBy(*keys).transformWithState(
+            RememberRows(id_column, list(order), size), df.schema, "append", "none"
+        )
+    texts = [_as_text(c, k).alias(f"c{i}") for i, (c, k) in enumerate(zip(names, kinds, strict=True))]
+    # One key that is never missing: pandas would tell a missing number from itself.
+    rows = df.select(F.to_json(F.struct(*keys)).alias("of"), *texts)
+    wire = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    remember = RememberIds(kinds, names.index(id_column), [names.index(c) for c in order], size)
+    kept = rows.groupBy("of").transformWithStateInPandas(remember, wire, "append", "none")
+    return kept.select(*[_from_text(F.col(f"c{i}"), k).alias(c) for i, (c, k) in enumerate(zip(names, kinds, strict=True))])

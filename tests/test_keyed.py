@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 import re
+import tracemalloc
 from datetime import datetime, timedelta
+from decimal import Decimal
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from fleetlens.operators.anomaly import spike_dip
 from fleetlens.operators import anomaly, dedup, patterns
@@ -372,6 +377,67 @@ def test_robust_scores_of_one_key_are_many_tasks_work(spark):
     assert "_hot" in plan and "array_sort" not in plan
 
 
+class OneValue:
+    """A value state outside of a stream."""
+
+    def __init__(self):
+        self.held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+
+def test_stream_memory_holds_columns_not_objects():
+    """A large micro-batch of one key, out of order: some ten bytes per number, small parts out."""
+    n = 200_000
+    order = [i * 7919 % n for i in range(n)]
+
+    def frames():
+        for start in range(0, n, 10_000):
+            part = order[start : start + 10_000]
+            yield pd.DataFrame({"c0": [str(i % 5_000) for i in part], "c1": [str(i) for i in part]})
+
+    remember = stateful.RememberIds([LongType(), LongType()], 0, [1], 20)
+    remember.memory = OneValue()
+    tracemalloc.start()
+    parts = [(len(f), f["c1"].iloc[0], f["c1"].iloc[-1]) for f in remember.handleInputRows(("k",), frames(), None)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [p[0] for p in parts] == [10_000] * 20 and parts[0][1] == "0" and parts[-1][2] == str(n - 1)
+    assert peak < 12_000_000
+    assert json.loads(remember.memory.get()[0]) == list(range(4980, 5000))
+
+
+def test_stream_memory_returns_values_unchanged(spark, tmp_path):
+    kinds = "k string, i long, n long, x double, b boolean, t timestamp, d date, c decimal(20,3), y binary"
+    rows = [
+        (None, 2**60 + 1, 0, float("nan"), None, AT, AT.date(), Decimal("1.500"), b"\x00\xff"),
+        (None, None, 1, None, True, None, None, None, None),
+        ("", None, 2, -0.0, False, AT, None, Decimal("-7"), b""),
+        (None, 2**60 + 1, 3, 1.0, None, None, None, None, None),
+        (None, None, 10, 0.1 + 0.2, None, None, None, None, None),
+        ("", 5, 11, float("inf"), None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, kinds)
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    for size, n in ((1, 6), (3, 4)):
+        kept = stateful.lru_stream(source, ["k"], "i", ["n"], size)
+        assert kept.dtypes == df.dtypes
+        writer = runs.pipeline(kept, [], str(tmp_path / f"checkpoint{size}"))
+        runs.drain(writer.foreachBatch(sinks.append_once(f"{out}{size}")), need_batches=1)
+        got = sinks.read_batches(spark, f"{out}{size}", df.schema).drop("batch_id").collect()
+        want = dedup.lru_dedup(df, ["k"], "i", ["n"], size).collect()
+        assert len(got) == n and sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def recent_scores(rows, history, age):
     """Plain z-scores: rows (key, microseconds, n, value) against the recent ones before."""
     out, past = {}, {}
