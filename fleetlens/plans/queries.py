@@ -903,8 +903,8 @@ def stream_history_and_status(spark, sf_dir):
         "value",
         F.to_json(F.struct(F.col("complexData")["k"].alias("moreData1"))).alias("ComplexData"),
     )
-    for writer in newest.history_and_status(rows, history, status, runs.shared_folder(spark, "checkpoint")):
-        _kept(writer)
+    writers = newest.history_and_status(rows, history, status, runs.shared_folder(spark, "checkpoint"))
+    runs.drain_all(writers, timeout_s=1800, need_batches=3)
     stored = sinks.read_batches(spark, history, rows.schema)
     stored = stored.groupBy("deviceId").agg(F.count(F.lit(1)).alias("n_stored"))
     return newest.current(spark, status).join(stored, "deviceId").select(

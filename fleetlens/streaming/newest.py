@@ -9,9 +9,9 @@ versions of the table and their removal use a table format (``sinks.delta_merge`
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -24,15 +24,21 @@ _MET, _ROW = "_met", "_row"
 
 
 def newest_stream(
-    df: DataFrame, keys: Sequence[str] = ("id",), order: Sequence[str] = ("enqueuedAt",)
+    df: DataFrame,
+    keys: Sequence[str] = ("id",),
+    order: Sequence[str] = ("enqueuedAt",),
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """The newest row per key, by ``order``; of rows equal in it that of the later micro-batch,
     and within one micro-batch any of them. Without ``order`` the later micro-batch wins.
 
     Null order values come first. Needs output mode ``update`` (changed keys) or
-    ``complete`` (all keys, each time).
+    ``complete`` (all keys, each time). The columns ``derived`` are added to the kept rows:
+    inside the aggregate, so that they are worked out only when a row replaces another one.
     """
-    rest = [c for c in df.columns if c not in keys]
+    derived = derived or {}
+    names = dict.fromkeys([*df.columns, *derived])
+    rest = [derived.get(c, F.col(c)).alias(c) for c in names if c not in keys]
     # The time of the micro-batch: one value for all its rows, and the same in a replay.
     rows = df.withColumn(_MET, F.current_timestamp())
     best = F.max_by(F.struct(*rest), F.struct(*order, _MET))
@@ -45,12 +51,13 @@ def keep_newest(
     keys: Sequence[str] = ("id",),
     order: Sequence[str] = ("enqueuedAt",),
     changes: sinks.Write | None = None,
+    derived: Mapping[str, Column] | None = None,
 ) -> DataStreamWriter:
     """A writer that keeps the newest rows in the state below ``checkpoint``.
 
     ``changes`` gets the changed keys of each micro-batch, e.g. ``sinks.append_once(path)``.
     """
-    writer = newest_stream(df, keys, order).writeStream.outputMode("update")
+    writer = newest_stream(df, keys, order, derived).writeStream.outputMode("update")
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.format("noop") if changes is None else writer.foreachBatch(changes)
 
@@ -93,9 +100,15 @@ def keep_status(
     A row with a higher sequence number stays, unless ``always_replace`` asks for that of
     the later micro-batch.
     """
-    columns = {f"MoreData{i}": json_number(detail, f"$.moreData{i}") for i in range(1, 6)}
+    columns = {f"MoreData{i}": _number_in(detail, f"moreData{i}") for i in range(1, 6)}
     order = () if always_replace else (SEQUENCE, "eventId")
-    return keep_newest(events.withColumns(columns), checkpoint, ("deviceId",), order, changes)
+    return keep_newest(events, checkpoint, ("deviceId",), order, changes, columns)
+
+
+def _number_in(detail: str, name: str) -> Column:
+    """A number of a JSON text, which is parsed only if it can hold the name, plain or escaped."""
+    text = F.col(detail)
+    return F.when(text.contains(name) | text.contains("\\"), json_number(detail, f"$.{name}"))
 
 
 def history_and_status(
@@ -103,7 +116,8 @@ def history_and_status(
 ) -> tuple[DataStreamWriter, DataStreamWriter]:
     """Dual write: all events into the folder ``history``, and the status of each device.
 
-    Two queries over one source, each exactly once by itself; neither waits for the other.
+    Two queries over one source, each exactly once by itself; neither waits for the other, so
+    run them at once (``runs.drain_all``).
     """
     append = events.writeStream.option("checkpointLocation", history_checkpoint)
     return append.foreachBatch(sinks.payload_append(history)), keep_status(events, status_checkpoint)

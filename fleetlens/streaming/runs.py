@@ -41,14 +41,29 @@ def drain(
     writer: DataStreamWriter, timeout_s: float = 300, need_batches: int = 0
 ) -> StreamingQuery:
     """Process what is there, then stop. ``need_batches`` fails if fewer had rows."""
-    query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"the stream did not end within {timeout_s} s")
-    filled = sum(p["numInputRows"] > 0 for p in query.recentProgress)
-    if filled < need_batches:
-        raise RuntimeError(f"the stream had {filled} micro-batches with rows")
-    return query
+    return drain_all([writer], timeout_s, need_batches)[0]
+
+
+def drain_all(
+    writers: Iterable[DataStreamWriter], timeout_s: float = 300, need_batches: int = 0
+) -> list[StreamingQuery]:
+    """The same with several queries at once. If one fails, all are stopped."""
+    started: list[StreamingQuery] = []
+    until = time.monotonic() + timeout_s
+    try:
+        for writer in writers:
+            started.append(writer.trigger(availableNow=True).start())
+        for query in started:
+            if not query.awaitTermination(max(until - time.monotonic(), 0.001)):
+                raise TimeoutError(f"the stream did not end within {timeout_s} s")
+            filled = sum(p["numInputRows"] > 0 for p in query.recentProgress)
+            if filled < need_batches:
+                raise RuntimeError(f"the stream had {filled} micro-batches with rows")
+    finally:
+        for query in started:
+            if query.isActive:
+                query.stop()
+    return started
 
 
 def every(writer: DataStreamWriter, interval: str = "5 minutes") -> StreamingQuery:

@@ -6,6 +6,7 @@ import json
 import os
 import random
 import re
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -470,3 +471,34 @@ def test_a_catalog_table_reads_the_wanted_partitions(spark, tmp_path, rows):
         assert "enqueuedAt" in some.columns and files.first_of_table(spark, "export_of_test", 3).count() == 3
     finally:
         spark.sql("DROP TABLE IF EXISTS export_of_test")
+
+
+def test_streams_drained_at_once(spark, tmp_path):
+    """Each of two streams waits inside its micro-batch for the other one."""
+    spark.range(10).write.parquet(str(tmp_path / "in"))
+    source, meet = spark.readStream.schema("id long").parquet(str(tmp_path / "in")), threading.Barrier(2)
+
+    def writer(name, body):
+        return runs.pipeline(source, [], str(tmp_path / name)).foreachBatch(body)
+
+    both = [writer(name, lambda batch, n: (meet.wait(60), batch.count())) for name in "ab"]
+    assert len(runs.drain_all(both, need_batches=1)) == 2
+
+    def fail(batch, n):
+        raise ValueError("no")
+
+    with pytest.raises(Exception, match="no"):
+        runs.drain_all([writer("c", fail), writer("d", lambda batch, n: None)])
+    assert not spark.streams.active
+
+
+def test_status_numbers_only_from_texts_that_hold_them(spark, tmp_path):
+    texts = ['{"moreData1": 1.5}', '{"more\\u0044ata2": 2}', '{"moreData3": "x", "moreData4": 4}', "no json moreData5", None]
+    rows = spark.createDataFrame([(f"d{i}", "e", i, t) for i, t in enumerate(texts)], "deviceId string, eventId string, deviceSequenceNumber long, ComplexData string")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    runs.drain(newest.keep_status(stream, str(tmp_path / "c")), need_batches=1)
+    got = newest.current(spark, str(tmp_path / "c")).orderBy("deviceId").select(*[f"MoreData{i}" for i in range(1, 6)]).collect()
+    found = [tuple(None if x is None else float(x) for x in r) for r in got]
+    none = (None,) * 5
+    assert found == [(1.5, *none[1:]), (None, 2.0, None, None, None), (None, None, None, 4.0, None), none, none]
