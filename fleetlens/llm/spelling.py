@@ -125,8 +125,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     for one in (1, 0):
         for k, (x, y) in reversed(list(enumerate(zip(_places(a, length, one, 0), _places(b, length, one, one))))):
             first = F.when((longer == one) & (x == y), 4 * one + k).otherwise(first)
+    # Spark takes eight places a word for one, and would send them through the driver.
     return (
-        chunked.join(grams, "code")
+        chunked.join(grams.hint("merge"), "code")
         .where(((longer == 1) | (a < b)) & (F.levenshtein(a, b, 1) == 1) & (first == F.col("place")))
         .select("a", "a_n", "b", "b_n")
     )
@@ -154,7 +155,7 @@ def forms(words: DataFrame, factor: int = 2) -> DataFrame:
         .agg(F.count("*").alias("n_near"), best.alias("_best"))
     )
     common = -F.col("_best.less") >= factor * F.col("n")
-    return words.join(near, "word", "left").select(
+    return words.join(near.hint("merge"), "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -169,12 +170,13 @@ def with_roots(found: DataFrame) -> DataFrame:
     Counts at least double from word to form, so there are no circles, and a chain is no
     longer than the binary logarithm of the largest count. Each round doubles how far a
     word sees. A form that very many words share is a hot key of these joins; both sides
-    are read from written tables, so that adaptive execution can split it.
+    are read from written tables, so that adaptive execution can split it. Nothing is
+    broadcast: in memory, rows take a multiple of their place in a file.
     """
     steps = written(found.where(F.col("form").isNotNull()).select("word", F.col("form").alias("root")), "spelling-steps")
     while True:
         next_ = steps.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        joined = steps.join(next_, "root", "left")
+        joined = steps.join(next_.hint("merge"), "root", "left")
         steps = written(
             joined.select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved")),
             "spelling-steps",
@@ -183,7 +185,7 @@ def with_roots(found: DataFrame) -> DataFrame:
         steps = steps.drop("_moved")
         if not moved:
             break
-    return found.join(steps, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return found.join(steps.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def variants(docs: DataFrame, shortest: int = 5, least: int = 3, factor: int = 2, every: int = 97) -> DataFrame:

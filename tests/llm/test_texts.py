@@ -224,6 +224,17 @@ def test_long_chains_and_hubs(spark):
     assert found["hubpu"].root == "hubpu1" and found["hubpv"].form is None and found["hubpv"].n_near == 8
 
 
+def test_nothing_of_the_vocabulary_goes_through_the_driver(spark):
+    """Spark takes the exploded places, and files of short words, for far smaller than they are."""
+    rows = [("abcdef" + "x" * k, 3 * 2**k) for k in range(9)] + [("other", 1)]
+    words = written(spark.createDataFrame(rows, "word string, n long"), "words")
+    pairs, found = spelling.near_pairs(words), spelling.forms(words)
+    rooted = spelling.with_roots(written(found, "forms"))
+    for df, n in ((pairs, 8), (found, 10), (rooted, 10)):
+        assert len(df.collect()) == n
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_gathered_words_are_handed_on(spark):
     docs = [(k, " ".join(f"word{chr(97 + i)}{chr(97 + k % 3)}" for i in range(20))) for k in range(12)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
