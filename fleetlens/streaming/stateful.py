@@ -1,13 +1,13 @@
 """Keyed state in streams: event patterns with silence timers, bounded duplicate memory.
 
 The batch forms (``operators.patterns``, ``operators.dedup``) give the same results on
-the same arrival order. State is one small JSON text per key, and per tagged event.
+the same arrival order. State is one small JSON text per key, or per bucket of devices.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator, MutableMapping
+from collections.abc import Iterator, MutableMapping
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -23,15 +23,17 @@ from fleetlens.operators.patterns import BAND, BAND_AND_CO2, COUNTED, FIRST, SIL
 from fleetlens.schema import TAG
 
 STATE = T.StructType([T.StructField("state", T.StringType())])
-EVENT_ID = T.StructType([T.StructField("eventId", T.StringType())])
+#: Rows that a state function hands out at once.
+OUT_ROWS = 10_000
 
 
 @dataclass
 class DeviceMemory:
-    """What is remembered of a device: its last events, and all tags it got.
+    """What is remembered of a device: its last events, and the tags given, by event id.
 
-    The ring is a small text. The tags are in ``given``, by event id; a stream keeps them
-    as a state of its own, so that an event touches the entry of its id only.
+    ``dump`` leaves out ``given``: that holds the tags of a micro-batch, and a stream
+    remembers those of earlier ones natively. Of events but the last one only the two
+    marks are kept.
     """
 
     rules: Rules = field(default_factory=Rules)
@@ -41,13 +43,17 @@ class DeviceMemory:
 
     @classmethod
     def load(cls, text: str | None, rules: Rules, given: MutableMapping | None = None) -> DeviceMemory:
-        data = json.loads(text) if text else {}
-        memory = cls(rules, data.get("ring", []), {} if given is None else given)
-        memory.tagged = data.get("tagged", False)
+        memory = cls(rules, given={} if given is None else given)
+        if text:
+            event_id, created, marks, memory.tagged = json.loads(text)
+            memory.ring = [[None, None, band, high] for band, high in marks]
+            if memory.ring:
+                memory.ring[-1][:2] = event_id, created
         return memory
 
     def dump(self) -> str:
-        return json.dumps({"ring": self.ring, "tagged": self.tagged})
+        event_id, created = self.ring[-1][:2] if self.ring else (None, None)
+        return json.dumps([event_id, created, [[int(e[2]), int(e[3])] for e in self.ring], self.tagged])
 
     def add(self, event_id, created, kind, value) -> list[tuple]:
         """Remember an event; the tags it causes as ``(created, id, tag)``."""
@@ -85,39 +91,18 @@ class DeviceMemory:
             self.tagged = True
         return [(created, event_id, tag) for tag in new]
 
+    def due(self, silence_ms: int) -> int:
+        """When the device is silent, unless it sends another event."""
+        return self.ring[-1][1] // 1000 + silence_ms
 
-class GivenTags(MutableMapping):
-    """The tags of a device by event id, in the state store."""
-
-    def __init__(self, state) -> None:
-        self.state = state
-
-    def __getitem__(self, event_id):
-        if not self.state.containsKey((event_id,)):
-            raise KeyError(event_id)
-        return json.loads(self.state.getValue((event_id,))[0])
-
-    def __setitem__(self, event_id, tags) -> None:
-        self.state.updateValue((event_id,), (json.dumps(tags),))
-
-    def __delitem__(self, event_id) -> None:
-        self.state.removeKey((event_id,))
-
-    def __iter__(self):
-        return (key[0] for key in self.state.keys())
-
-    def __len__(self) -> int:
-        return sum(1 for _ in self)
 
-
-def _frame(device: str, tags: Iterable[tuple]) -> pd.DataFrame:
-    tags = list(tags)
+def _frame(tags: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(
         {
-            "deviceId": [device] * len(tags),
-            "trigger_at": pd.to_datetime([t[0] for t in tags], unit="us", utc=True),
-            "trigger_id": [t[1] for t in tags],
-            "tag": [t[2] for t in tags],
+            "deviceId": [t[0] for t in tags],
+            "trigger_at": pd.to_datetime([t[1] for t in tags], unit="us", utc=True),
+            "trigger_id": [t[2] for t in tags],
+            "tag": [t[3] for t in tags],
         }
     )
 
@@ -125,46 +110,85 @@ def _frame(device: str, tags: Iterable[tuple]) -> pd.DataFrame:
 class TagEvents(StatefulProcessor):
     """Tags per device in arrival order; ``silence_ms`` sets event-time timers.
 
-    With ``keep_tags_ms`` the tags of an event are forgotten so long after they were given.
+    A state key is a bucket of devices. A call to the state store takes as long as dozens of
+    events, so a micro-batch reads and writes a bucket once, and a bucket has one timer: the
+    next one of its devices. Only the last event of a device counts for its silence, so a
+    device has one time at which it is due, until it is told silent. A tag may come once more
+    for an event id that comes again in another micro-batch.
     """
 
-    def __init__(self, rules: Rules, silence_ms: int | None, keep_tags_ms: int | None) -> None:
-        self.rules, self.silence_ms, self.keep_tags_ms = rules, silence_ms, keep_tags_ms
+    def __init__(self, rules: Rules, silence_ms: int | None) -> None:
+        self.rules, self.silence_ms = rules, silence_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.memory = handle.getValueState("memory", STATE)
-        self.given = handle.getMapState("given", EVENT_ID, STATE, self.keep_tags_ms)
-
-    def _load(self) -> DeviceMemory:
-        text = self.memory.get()[0] if self.memory.exists() else None
-        return DeviceMemory.load(text, self.rules, GivenTags(self.given))
+        self.state = handle.getValueState("devices", STATE)
+
+    def _load(self) -> tuple[int | None, dict]:
+        """The timer of the bucket, and by device when it is due and its memory as a text."""
+        state = self.state.get()
+        timer, devices = json.loads(state[0]) if state else (None, [])
+        return timer, {device: (due, text) for device, due, text in devices}
+
+    def _store(self, timer: int | None, devices: dict, watermark: int) -> None:
+        """Set the next timer. Those up to the watermark go off, or have done so."""
+        following = min((due for due, _ in devices.values() if due is not None), default=None)
+        if following != timer:
+            if timer is not None and timer > watermark:
+                self.handle.deleteTimer(timer)
+            if following is not None:
+                self.handle.registerTimer(following)
+        listed = [[device, *held] for device, held in devices.items()]
+        self.state.update((json.dumps([following, listed]),))
+
+    def _silent(self, devices: dict, watermark: int) -> list[tuple]:
+        """The tags of devices that are due, which they are no more afterwards."""
+        tags = []
+        for device, (due, text) in devices.items():
+            if due is not None and due <= watermark:
+                memory = DeviceMemory.load(text, self.rules)
+                tags += [(device, *tag) for tag in memory.silence(due, self.silence_ms)]
+                devices[device] = (None, text)
+        return tags
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        memory, tags = self._load(), []
+        timer, devices = self._load()
         batch = pd.concat(list(rows)).sort_values(["arrived_us", "arrived_tie"], kind="stable")
-        for event_id, created, kind, value in zip(
-            batch["eventId"], batch["created_us"], batch["type"], batch["value"], strict=True
-        ):
-            created, value = int(created), None if pd.isna(value) else float(value)
-            tags += memory.add(event_id, created, kind, value)
-            if self.silence_ms is not None:
-                self.handle.registerTimer(created // 1000 + self.silence_ms)
-        self.memory.update((memory.dump(),))
-        if tags:
-            yield _frame(key[0], tags)
+        batch["value"] = batch["value"].astype("float64")
+        names = ["deviceId", "eventId", "created_us", "type", "value"]
+        memories: dict[str, DeviceMemory] = {}
+        tags = []
+        for device, event_id, created, kind, value in zip(*(batch[c].tolist() for c in names), strict=True):
+            if device not in memories:
+                _, text = devices.get(device, (None, None))
+                memories[device] = DeviceMemory.load(text, self.rules)
+            known = None if value != value else value
+            tags += [(device, *tag) for tag in memories[device].add(event_id, int(created), kind, known)]
+        for device, memory in memories.items():
+            due = None if self.silence_ms is None else memory.due(self.silence_ms)
+            devices[device] = (due, memory.dump())
+        watermark = timerValues.getCurrentWatermarkInMs()
+        tags += self._silent(devices, watermark)
+        self._store(timer, devices, watermark)
+        yield from _frames(tags)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        memory = self._load()
-        tags = memory.silence(expiredTimerInfo.getExpiryTimeInMs(), self.silence_ms)
+        timer, devices = self._load()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        tags = self._silent(devices, watermark)
         if tags:
-            self.memory.update((memory.dump(),))
-            yield _frame(key[0], tags)
+            self._store(timer, devices, watermark)
+        yield from _frames(tags)
 
     def close(self) -> None:
         pass
 
 
+def _frames(tags: list[tuple]) -> Iterator[pd.DataFrame]:
+    for start in range(0, len(tags), OUT_ROWS):
+        yield _frame(tags[start : start + OUT_ROWS])
+
+
 def tag_stream(
     df: DataFrame,
     rules: Rules = Rules(),
@@ -173,17 +197,23 @@ def tag_stream(
     arrived: str = "enqueuedAt",
     tie: str = "eventId",
     keep_tags_ms: int | None = None,
+    buckets: int = 1024,
 ) -> DataFrame:
     """Pattern and silence tags of a stream. A tag is given once per event id, for as long
-    as the state is kept; ``keep_tags_ms`` (off by default) bounds that time.
+    as the state is kept.
 
     With timers, Spark drops events that arrive behind the watermark. ``silence_ms=None``
-    has no timers and no watermark, and takes every event.
+    has no timers and no watermark, and takes every event. ``buckets`` of devices must not
+    change while a checkpoint lives. ``keep_tags_ms`` is refused, as Spark does: state has a
+    time to live in processing time only.
     """
+    if keep_tags_ms is not None:
+        raise ValueError("keep_tags_ms: Spark has no time to live of state in event time")
     timed = silence_ms is not None
     rows = df.withWatermark(arrived, delay) if timed else df
     # Columns reach the state function as named tuples: no leading underscores.
     narrow = rows.select(
+        F.pmod(F.xxhash64("deviceId"), F.lit(buckets)).cast("string").alias("bucket"),
         "deviceId",
         "eventId",
         "type",
@@ -193,18 +223,14 @@ def tag_stream(
         F.col(tie).alias("arrived_tie"),
         *([arrived] if timed else []),
     )
-    return narrow.groupBy("deviceId").transformWithStateInPandas(
-        TagEvents(rules, silence_ms, keep_tags_ms),
-        TAG,
-        "append",
-        "eventTime" if timed else "none",
+    tags = narrow.groupBy("bucket").transformWithStateInPandas(
+        TagEvents(rules, silence_ms), TAG, "append", "eventTime" if timed else "none"
     )
+    return tags.dropDuplicates(["deviceId", "trigger_id", "tag"])
 
 
 #: Types that pass a state function as texts, and back, without loss.
 TEXTS = (T.StringType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
-#: Rows that a state function hands out at once.
-OUT_ROWS = 10_000
 
 
 def _as_text(column: str, kind: T.DataType) -> Column:

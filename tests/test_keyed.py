@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -15,6 +16,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import stateful_processor
 from pyspark.sql.types import LongType
 
 from fleetlens.operators.anomaly import spike_dip
@@ -262,6 +264,115 @@ def test_silence_timer(spark, tmp_path):
     assert at == AT
 
 
+def timed_tags(batches, rules, silence_ms):
+    """Tags by micro-batch, with a timer for each event and all tags remembered, one by one."""
+    rings, given, timers, mark, got = {}, set(), set(), None, []
+
+    def tag(n, device, event_id, created, texts):
+        for text in texts:
+            if (device, event_id, text) not in given:
+                given.add((device, event_id, text))
+                got.append((n, device, event_id, created, text))
+
+    for n, batch in enumerate([*batches, []]):
+        for device, event_id, kind, value, created, _, _ in sorted(batch, key=lambda e: e[5:]):
+            ring = rings.setdefault(device, [])
+            first = not ring
+            ring.append((event_id, kind, value, created))
+            del ring[: -rules.ring]
+            in_band = [k == "TEMP" and v is not None and rules.band_low <= v < rules.band_high for _, k, v, _ in ring]
+            high = any(k == "CO2" and v is not None and v > rules.co2_above for _, k, v, _ in ring)
+            several = sum(in_band) >= 2
+            texts = [patterns.FIRST] * first + [f"{len(ring)}{patterns.COUNTED}"] * (1 < len(ring) < rules.ring)
+            texts += [patterns.BAND] * (several and in_band[-1]) + [patterns.BAND_AND_CO2] * (several and high)
+            tag(n, device, event_id, created, texts)
+            timers.add((created + timedelta(milliseconds=silence_ms), device))
+        for timer in sorted(timers):
+            if mark and timer[0] <= mark:
+                timers.remove(timer)
+                event_id, _, _, created = rings[timer[1]][-1]
+                if timer[0] - created >= timedelta(milliseconds=silence_ms):
+                    tag(n, timer[1], event_id, created, [f"{patterns.SILENT}{silence_ms}ms"])
+        mark = max([e[5] for e in batch], default=mark)
+    return sorted(got)
+
+
+@pytest.mark.parametrize("buckets", [1, 1024])
+def test_timers_of_buckets_equal_one_timer_per_event(spark, tmp_path, buckets):
+    """Devices that share a bucket or not, created out of order, with repeated ids, due just now, silent twice."""
+    rng = random.Random(5)
+    batches, n = [], 0
+    for k in range(5):
+        start = AT + timedelta(seconds=100 * k)
+        part = []
+        for i in range(12):
+            at, device = start + timedelta(seconds=i), rng.choice([f"d{k}", f"d{k + 1}", "d0"][: 3 if k == 4 else 2])
+            late = timedelta(seconds=rng.choice([0, 0, 0, 30, 400]))
+            part.append((device, f"e{rng.randrange(25)}", rng.choice(["TEMP", "CO2"]), rng.choice([75.0, 90.0, None]), at - late, at, n))
+            n += 1
+        batches.append(part)
+    batches[1].append(("now", "x", "CO2", 1.0, AT + timedelta(seconds=161), AT + timedelta(seconds=111), n))  # due at 211 s
+    batches[4].append(("d1", batches[1][0][1], "CO2", 1.0, AT, AT + timedelta(seconds=412), n + 1))
+    schema = spark.createDataFrame(batches[0], EVENTS).schema
+    for k, part in enumerate(batches):
+        write_batches(spark, f"{tmp_path}/in{k}", part, schema, 100)
+        (name,) = (f for f in (tmp_path / f"in{k}" / "part-000000").iterdir() if f.name.endswith(".parquet"))
+        os.utime(name, (1_000_000 + k, 1_000_000 + k))
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in*/part-*")
+    rules, out = patterns.Rules(), str(tmp_path / "out")
+    step = lambda s: stateful.tag_stream(s, rules, 50_000, "0 seconds", tie="n", buckets=buckets)
+    runs.drain(runs.pipeline(rows, [step], str(tmp_path / "checkpoint")).foreachBatch(sinks.append_once(out)), need_batches=5)
+    names = ["batch_id", "deviceId", "trigger_id", "trigger_at", "tag"]
+    got = sorted(tuple(r[c] for c in names) for r in sinks.read_batches(spark, out, stateful.TAG).collect())
+    want = timed_tags(batches, rules, 50_000)
+    assert got == want and len({t[0] for t in want if t[4].startswith("NoNews")}) >= 3
+    assert any(t[1] == "now" and t[0] == 3 and t[4].startswith("NoNews") for t in want)
+
+
+class CountedState:
+    """A state store of one key that counts the calls it gets."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, kind):
+        return self
+
+    def getMapState(self, name, key, value, ttl):
+        return self
+
+    def _called(self, result=None):
+        self.calls += 1
+        return result
+
+    exists = lambda self: self._called(self.value is not None)
+    get = lambda self: self._called(self.value)
+    containsKey = lambda self, key: self._called(False)
+    updateValue = lambda self, key, value: self._called()
+    registerTimer = lambda self, at: self._called(self.timers.add(at))
+    deleteTimer = lambda self, at: self._called(self.timers.discard(at))
+
+    def update(self, value):
+        self.value = self._called(value)
+
+
+def test_a_bucket_is_read_and_written_once():
+    columns = ["deviceId", "eventId", "type", "value", "created_us", "arrived_us", "arrived_tie"]
+    events = [(f"d{i % 30}", f"e{i}", "TEMP", 75.0, i * 1_000_000, i * 1_000_000, i) for i in range(600)]
+    times = lambda ms: stateful_processor.TimerValues(0, ms)
+    state, process = CountedState(), stateful.TagEvents(patterns.Rules(), silence_ms=1000)
+    process.init(state)
+    for start in (0, 300):
+        part = pd.DataFrame(events[start : start + 300], columns=columns)
+        found = pd.concat(process.handleInputRows(("7",), iter([part]), times(0)))
+        assert len(found) >= 300 and state.calls <= 4
+        state.calls = 0
+    assert state.timers == {571_000}  # the device that is silent first
+    tags = pd.concat(process.handleExpiredTimer(("7",), times(580_000), stateful_processor.ExpiredTimerInfo(571_000)))
+    assert list(tags["trigger_id"]) == [f"e{i}" for i in range(570, 580)] and state.timers == {571_000, 581_000}
+    assert state.calls <= 3 and not list(process.handleExpiredTimer(("7",), times(580_000), None))
+
+
 def test_tags_are_remembered_over_many_others():
     memory = stateful.DeviceMemory()
     tags = [t[2] for i in range(1300) for t in memory.add(f"e{i}", i, "TEMP", 75.0) if i == 5]
